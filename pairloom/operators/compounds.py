@@ -60,8 +60,6 @@ def atc_labels(tables: Tables) -> DataFrame:
         tables["molecule_atc_classification"]
         .join(levels, "level5")
         .join(tables["molecule_hierarchy"], "molregno")
-        .select(s.PARENT, "label")
-        .distinct()
         .groupBy(s.PARENT)
         .agg(joined_labels(F.collect_set("label"), ATC_SEPARATOR).alias("atc_level1"))
     )

@@ -24,16 +24,19 @@ def spread_join(
     lookup: DataFrame,
     key: str,
     spread_by: list[str],
-    hot: DataFrame,
+    hot: DataFrame | None,
     how: str = "left",
     salts: int = SALTS,
 ) -> DataFrame:
     """Join ``lookup`` on ``key``, with the rows of each hot key spread over ``salts`` tasks.
 
-    ``hot`` comes from ``hot_keys``: its size is bounded by rows / min_rows, so it is broadcast. Only the
-    lookup rows of hot keys are repeated. Rows with a NULL key find no lookup row and are spread as well.
-    The salt is a hash of ``spread_by``, so a task that runs again yields the same rows.
+    ``hot`` comes from ``hot_keys``: its size is bounded by rows / min_rows, so it is broadcast. None says
+    that ``df`` is too small to have any, and makes this a plain join. Only the lookup rows of hot keys
+    are repeated. Rows with a NULL key find no lookup row and are spread as well. The salt is a hash of
+    ``spread_by``, so a task that runs again yields the same rows.
     """
+    if hot is None:
+        return df.join(lookup, key, how)
     marked = F.broadcast(hot.select(key, F.lit(True).alias("_hot")))
     slot = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
     salted = (

@@ -47,10 +47,17 @@ def apply_scope(df: DataFrame, cfg: PairConfig) -> DataFrame:
     return df.withColumns(flags)
 
 
-def subset_flags(df: DataFrame, cfg: PairConfig, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add the six subset flags; ``df`` is read twice, so hand in a staged table."""
+def hot_groups(groups: DataFrame, rows: int | None, hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Groups too large for one task; None if a table of ``rows`` rows cannot have any."""
+    if rows is not None and rows <= hot_rows:
+        return None
+    return groups.filter(F.col("n_rows") > hot_rows).select(GROUP)
+
+
+def subset_flags(df: DataFrame, cfg: PairConfig, rows: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Add the six subset flags; ``df`` is read twice, so hand in a staged table (and its row count)."""
     groups = group_qualification(df, cfg)
-    hot = groups.filter(F.col("n_rows") > hot_rows).select(GROUP)
+    hot = hot_groups(groups, rows, hot_rows)
     any_level = [name for suffix in s.SUFFIXES for name in s.flag_columns(suffix, cfg.min_pairs(suffix))[:1]]
     qualified = groups.filter(F.col(any_level[0]) | F.col(any_level[1])).drop("n_rows")
     return apply_scope(spread_join(df, qualified, GROUP, [s.PARENT], hot), cfg)

@@ -44,14 +44,13 @@ def class_hierarchy(tables: Tables) -> DataFrame:
 
 
 def target_class_rows(tables: Tables) -> DataFrame:
-    """Distinct (target, level 1, level 2) over the components of a target."""
+    """(target, level 1, level 2) over the components of a target; rows may repeat."""
     return (
         tables["target_components"]
         .join(tables["component_sequences"], "component_id", "left_semi")
         .join(tables["component_class"], "component_id")
         .join(class_hierarchy(tables).select("protein_class_id", "l1", "l2"), "protein_class_id")
         .select(s.TID, "l1", "l2")
-        .distinct()
     )
 
 

@@ -25,9 +25,9 @@ from pairloom.operators import (
     subsets,
     targets,
 )
-from pairloom.operators.joins import HOT_ROWS, hot_keys, spread_join
+from pairloom.operators.joins import HOT_ROWS, spread_join
 from pairloom.operators.measurements import PHASE
-from pairloom.sinks.staging import stage
+from pairloom.sinks.staging import Staged, stage
 from pairloom.sources import Tables
 
 
@@ -71,18 +71,22 @@ def related_pairs(tables: Tables, cfg: PairConfig) -> DataFrame:
     return interaction.keep_related(universe(tables, cfg, only_known_targets=True))
 
 
+def describe_compounds(pairs: DataFrame, tables: Tables, cfg: PairConfig) -> DataFrame:
+    """All compound columns and efficiencies, for mixtures too."""
+    described = pairs.drop(PHASE).join(compounds.compound_profile(tables, cfg), s.PARENT, "left")
+    return compounds.add_efficiency(described).withColumns(pair_keys())
+
+
 def described_pairs(tables: Tables, cfg: PairConfig) -> DataFrame:
-    """Related pairs with all compound columns and efficiencies, mixtures included."""
-    profile = compounds.compound_profile(tables, cfg)
-    pairs = related_pairs(tables, cfg).drop(PHASE).join(profile, s.PARENT, "left")
-    return compounds.add_efficiency(pairs).withColumns(pair_keys())
+    """Related pairs with all compound columns, mixtures included."""
+    return describe_compounds(related_pairs(tables, cfg), tables, cfg)
 
 
-def core(tables: Tables, cfg: PairConfig) -> DataFrame:
-    """Related pairs of compounds with a single structure: keys, measures, flags, class. Staged."""
+def core(tables: Tables, cfg: PairConfig) -> Staged:
+    """Related pairs of compounds with a single structure: keys, measures, flags, class."""
     single = compounds.single_structure_compounds(tables)
-    pairs = interaction.keep_related(universe(tables, cfg, True, single))
-    return stage(pairs, "core").withColumns(pair_keys())
+    staged = stage(interaction.keep_related(universe(tables, cfg, True, single)), "core")
+    return Staged(staged.frame.withColumns(pair_keys()), staged.rows)
 
 
 def target_profile(tables: Tables) -> DataFrame:
@@ -90,32 +94,31 @@ def target_profile(tables: Tables) -> DataFrame:
     return measurements.target_attributes(tables).join(targets.target_classes(tables), s.TID, "left")
 
 
-def add_compounds(pairs: DataFrame, tables: Tables, cfg: PairConfig, hot_rows: int = HOT_ROWS) -> DataFrame:
+def add_compounds(pairs: Staged, tables: Tables, cfg: PairConfig, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Compound columns, efficiencies and, if asked for, descriptors."""
     profile = compounds.drop_mixtures(compounds.compound_profile(tables, cfg))
     if cfg.descriptors:
         profile = profile.withColumns(smiles_counts(F.col(s.SMILES)))
-    hot = hot_keys(pairs, s.PARENT, hot_rows)
-    described = spread_join(pairs.drop(PHASE), profile, s.PARENT, [s.TID, s.MUTATION], hot, "inner")
+    hot = pairs.hot(s.PARENT, hot_rows)
+    described = spread_join(pairs.frame.drop(PHASE), profile, s.PARENT, [s.TID, s.MUTATION], hot, "inner")
     return compounds.add_efficiency(described)
 
 
-def clean_table(pairs: DataFrame, tables: Tables, cfg: PairConfig, hot_rows: int = HOT_ROWS) -> DataFrame:
+def clean_table(pairs: Staged, tables: Tables, cfg: PairConfig, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The staged pairs with all columns but the subset flags, cleaned."""
-    hot = hot_keys(pairs, s.TID, hot_rows)
-    described = spread_join(
-        add_compounds(pairs, tables, cfg, hot_rows), target_profile(tables), s.TID, [s.PARENT], hot
-    )
+    described = add_compounds(pairs, tables, cfg, hot_rows)
+    hot = pairs.hot(s.TID, hot_rows)
+    described = spread_join(described, target_profile(tables), s.TID, [s.PARENT], hot)
     return cleaning.clean(described, s.result_ddl(cfg.descriptors))
 
 
-def full_table(pairs: DataFrame, tables: Tables, cfg: PairConfig, hot_rows: int = HOT_ROWS) -> DataFrame:
+def full_table(pairs: Staged, tables: Tables, cfg: PairConfig, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The staged pairs with all columns and the subset flags, cleaned.
 
     Flags and target columns depend on target and mutation, so one lookup brings both.
     """
-    groups = subsets.group_qualification(pairs, cfg, keep=[s.TID])
-    hot = groups.filter(F.col("n_rows") > hot_rows).select(subsets.GROUP)
+    groups = subsets.group_qualification(pairs.frame, cfg, keep=[s.TID])
+    hot = subsets.hot_groups(groups, pairs.rows, hot_rows)
     lookup = groups.join(target_profile(tables), s.TID, "left").drop(s.TID, "n_rows")
     described = add_compounds(pairs, tables, cfg, hot_rows)
     flagged = subsets.apply_scope(spread_join(described, lookup, subsets.GROUP, [s.PARENT], hot), cfg)
@@ -129,13 +132,14 @@ def step_sizes(tables: Tables, cfg: PairConfig, labels: tuple[str, ...], measure
     computed once instead of once per step. ``labels`` names the seven steps.
     """
     single = compounds.single_structure_compounds(tables).withColumn("_single", F.lit(True))
-    pairs = stage(universe(tables, cfg).join(single, s.PARENT, "left"), "universe").withColumns(pair_keys())
+    staged = stage(universe(tables, cfg).join(single, s.PARENT, "left"), "universe")
+    pairs = staged.frame.withColumns(pair_keys())
     related = F.col(s.INTERACTION) != s.OTHER_CLASS
     remaining = related & F.coalesce("_single", F.lit(False))
     kept = pairs.filter(remaining)
     groups = subsets.group_qualification(kept, cfg)
     flags = [f for x in s.SUFFIXES for f in s.flag_columns(x, cfg.min_pairs(x))]
-    hot = groups.filter(F.col("n_rows") > HOT_ROWS).select(subsets.GROUP)
+    hot = subsets.hot_groups(groups, staged.rows)
     flagged = spread_join(pairs, groups.drop("n_rows"), subsets.GROUP, [s.PARENT], hot)
     flagged = subsets.apply_scope(flagged, cfg).withColumns({f: F.col(f) & remaining for f in flags})
 
@@ -153,7 +157,8 @@ def step_sizes(tables: Tables, cfg: PairConfig, labels: tuple[str, ...], measure
 
 def quality_summary(tables: Tables, cfg: PairConfig) -> DataFrame:
     """Violations of all invariants: on the described pairs with mixtures, and on the final table."""
-    described = described_pairs(tables, cfg).withColumns(smiles_counts(F.col(s.SMILES)))
+    related = stage(related_pairs(tables, cfg), "related")
+    described = describe_compounds(related.frame, tables, cfg).withColumns(smiles_counts(F.col(s.SMILES)))
     null_flags, property_checks = quality.property_checks(compounds.compound_props(tables))
     labelled = compounds.atc_labels(tables).select(s.PARENT, F.lit(True).alias("_has_atc"))
     before = described.join(null_flags, s.PARENT, "left").join(labelled, s.PARENT, "left")
@@ -167,12 +172,13 @@ def quality_summary(tables: Tables, cfg: PairConfig) -> DataFrame:
     )
     found = quality.count_violations(before, checks)
 
-    pairs = core(tables, cfg)
+    single = related.frame.join(compounds.single_structure_compounds(tables), s.PARENT, "left_semi")
+    pairs = Staged(single.withColumns(pair_keys()), related.rows)
     final = full_table(pairs, tables, cfg)
     classes = targets.target_classes(tables).select(
         s.TID, *[F.when(F.col(f"target_class_l{i}").isNotNull(), True).alias(f"_has_l{i}") for i in (1, 2)]
     )
-    levels = quality.flag_levels(pairs, cfg)
+    levels = quality.flag_levels(pairs.frame, cfg)
     after = (
         final.join(classes, s.TID, "left")
         .join(levels, subsets.GROUP, "left")

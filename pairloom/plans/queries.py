@@ -81,11 +81,11 @@ def parent_consistency(tables: Tables) -> DataFrame:
 
 
 def target_classes(tables: Tables) -> DataFrame:
-    return targets.target_classes(tables, known.targets_of(pair_table.core(tables, CONFIG)))
+    return targets.target_classes(tables, known.targets_of(pair_table.core(tables, CONFIG).frame))
 
 
 def ambiguous_targets(tables: Tables) -> DataFrame:
-    present = known.targets_of(pair_table.core(tables, CONFIG))
+    present = known.targets_of(pair_table.core(tables, CONFIG).frame)
     return targets.ambiguous_targets(pair_table.target_profile(tables).join(present, s.TID, "left_semi"))
 
 
@@ -94,7 +94,8 @@ def clean_dataset(tables: Tables) -> DataFrame:
 
 
 def subset_flags(tables: Tables) -> DataFrame:
-    flagged = subsets.subset_flags(pair_table.core(tables, CONFIG), CONFIG)
+    pairs = pair_table.core(tables, CONFIG)
+    flagged = subsets.subset_flags(pairs.frame, CONFIG, pairs.rows)
     names = [f for x in s.SUFFIXES for f in s.flag_columns(x, CONFIG.min_pairs(x))]
     return flagged.select(s.ROW_KEY, *names)
 
@@ -114,7 +115,7 @@ def subset_query(suffix: str, level: int | None) -> Query:
 
 
 def distinct_stats(tables: Tables) -> DataFrame:
-    return stats.distinct_stats(pair_table.core(tables, CONFIG))
+    return stats.distinct_stats(pair_table.core(tables, CONFIG).frame)
 
 
 def step_sizes(measured_only: bool) -> Query:

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from pairloom.operators.joins import HOT_ROWS, hot_keys
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -29,12 +33,26 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[application]
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+@dataclass(frozen=True)
+class Staged:
+    """A written table and its number of rows."""
+
+    frame: DataFrame
+    rows: int
+
+    def hot(self, key: str, min_rows: int = HOT_ROWS) -> DataFrame | None:
+        """Hot values of ``key``; None if the table is too small to have any."""
+        return hot_keys(self.frame, key, min_rows) if self.rows > min_rows else None
+
+
+def stage(df: DataFrame, name: str) -> Staged:
     """Write ``df`` once and go on from the written table.
 
-    Lost executors then cost no recomputation, and later steps read only the columns they need.
+    Lost executors then cost no recomputation, and later steps read only the columns they need. The rows
+    are counted while they are written.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return Staged(spark.read.schema(df.schema).parquet(path), seen.get["rows"])
