@@ -9,6 +9,7 @@ from __future__ import annotations
 from pairloom import schema as s
 from pairloom.functions import smiles as tokens
 from pairloom.operators import interaction, known, stats
+from pairloom.plans import pair_table
 from pairloom.schema import columns_of
 from pairloom.sources.fixture_views import duckdb_views
 
@@ -267,24 +268,13 @@ def stats_select() -> str:
     return query("\nUNION ALL ".join(rows))
 
 
-STEP_LABELS = (
-    "activity ct-pairs",
-    "dm ct-pairs",
-    "DTI annotations",
-    "compound props",
-    "removed smiles",
-    "tclass annotations",
-    "clean df",
-)
-
-
 def sizes_select(measured_only: bool) -> str:
     """One SELECT per step over the table as it is after the step."""
     any_value = "coalesce(" + listed([c for c in AGGREGATES if c.startswith(s.VALUE)]) + ") IS NOT NULL"
     value_of = {x: f"{s.value_column('mean', x)} IS NOT NULL" for x in s.SUFFIXES}
     measured_pair = f"(SELECT * FROM classified WHERE {value_of['BF']})"
     sources = dict(
-        zip(STEP_LABELS, [measured_pair, "classified", "related", "described", "single", "labelled", "clean"])
+        zip(pair_table.STEPS, [measured_pair, "classified", "related", "described", "single", "labelled", "clean"])
     )
     rows = []
 

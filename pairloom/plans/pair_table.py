@@ -31,6 +31,18 @@ from pairloom.sinks.staging import Staged, stage
 from pairloom.sources import Tables
 
 
+# Labels of the steps whose sizes are reported.
+STEPS = (
+    "activity ct-pairs",
+    "dm ct-pairs",
+    "DTI annotations",
+    "compound props",
+    "removed smiles",
+    "tclass annotations",
+    "clean df",
+)
+
+
 def activity_rows(tables: Tables, cfg: PairConfig) -> DataFrame:
     """All valid measurements of any assay type, described."""
     rows = measurements.measurement_rows(tables, cfg, measurements.assay_targets(tables, cfg))
@@ -125,11 +137,11 @@ def full_table(pairs: Staged, tables: Tables, cfg: PairConfig, hot_rows: int = H
     return cleaning.clean(flagged, s.full_ddl(cfg.min_pairs_bf, cfg.min_pairs_b, cfg.descriptors))
 
 
-def step_sizes(tables: Tables, cfg: PairConfig, labels: tuple[str, ...], measured_only: bool) -> DataFrame:
+def step_sizes(tables: Tables, cfg: PairConfig, measured_only: bool) -> DataFrame:
     """Sizes after each step and of each subset, from one table of all pairs.
 
     Each step only removes rows, so a step is a condition on the rows of the first one; the pairs are
-    computed once instead of once per step. ``labels`` names the seven steps.
+    computed once instead of once per step.
     """
     single = compounds.single_structure_compounds(tables).withColumn("_single", F.lit(True))
     staged = stage(universe(tables, cfg).join(single, s.PARENT, "left"), "universe")
@@ -145,7 +157,7 @@ def step_sizes(tables: Tables, cfg: PairConfig, labels: tuple[str, ...], measure
 
     present = [stats.any_value(), F.lit(True), related, related, remaining, remaining, remaining]
     steps = {}
-    for i, (label, rows) in enumerate(zip(labels, present)):
+    for i, (label, rows) in enumerate(zip(STEPS, present)):
         drug = stats.drug_by_phase() if i < 2 else interaction.is_drug()
         steps[label] = (rows & stats.any_value() if measured_only else rows, drug)
     for x in s.SUFFIXES:

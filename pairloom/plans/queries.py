@@ -18,7 +18,7 @@ from pairloom.operators.cleaning import round_doubles
 from pairloom.operators.known import IN_KNOWN, IN_KNOWN_MUTATION, KEEP_BINDING
 from pairloom.operators.measurements import CARRIED, THERAPEUTIC
 from pairloom.plans import pair_table
-from pairloom.plans.oracle import MIN_PAIRS, STEP_LABELS
+from pairloom.plans.oracle import MIN_PAIRS
 from pairloom.sinks.csv import read_csv, write_csv
 from pairloom.sinks.staging import shared_folder
 from pairloom.sources import Tables
@@ -119,7 +119,7 @@ def distinct_stats(tables: Tables) -> DataFrame:
 
 
 def step_sizes(measured_only: bool) -> Query:
-    return on_tables(lambda tables: pair_table.step_sizes(tables, CONFIG, STEP_LABELS, measured_only))
+    return on_tables(lambda tables: pair_table.step_sizes(tables, CONFIG, measured_only))
 
 
 def dq_summary(tables: Tables) -> DataFrame:
