@@ -26,10 +26,10 @@ IN_KNOWN = "pair_in_dm_table"
 KEEP_BINDING = "keep_for_binding"
 
 
-def known_pairs(tables: Tables, compounds: DataFrame | None = None) -> DataFrame:
+def known_pairs(tables: Tables) -> DataFrame:
     """Distinct curated pairs of parent compound and target that matter for the disease."""
     curated = tables["drug_mechanism"].filter((F.col("disease_efficacy") == 1) & F.col(s.TID).isNotNull())
-    return curated.join(parent_map(tables, compounds), "molregno").select(*s.PAIR, PHASE).distinct()
+    return curated.join(parent_map(tables), "molregno").select(*s.PAIR, PHASE).distinct()
 
 
 def target_mappings(tables: Tables) -> DataFrame:
@@ -80,12 +80,17 @@ def pair_universe(cells: DataFrame, expanded: DataFrame) -> DataFrame:
 
     Curated pairs enter the grouping as cells without a value: a pair that is also measured merges with
     them, any other one becomes a row of its own. So neither an anti join nor a membership join is
-    needed, and the measurements are read once. Grouping and window share the shuffle on (compound,
-    target).
+    needed, and the measurements are read once. All windows and the grouping share one shuffle on
+    (compound, target) and one sort.
     """
-    curated = expanded.select(*s.PAIR, PHASE, F.lit(True).alias(THERAPEUTIC), F.lit(True).alias("_curated"))
-    measured = cells.withColumn("_curated", F.lit(False))
-    cells = measured.unionByName(curated, allowMissingColumns=True).repartition(*s.PAIR)
+    curated = expanded.select(
+        *s.PAIR, PHASE, F.lit(True).alias(THERAPEUTIC), F.lit(0).alias("n_BF"), F.lit(0).alias("n_B")
+    )
+    cells = (
+        cells.withColumn("_curated", F.lit(False))
+        .unionByName(curated.withColumn("_curated", F.lit(True)), allowMissingColumns=True)
+        .repartition(*s.PAIR)
+    )
     pairs = pair_aggregates(cells, F.bool_or("_curated").alias(IN_KNOWN_MUTATION))
     any_mutation = F.max(IN_KNOWN_MUTATION).over(Window.partitionBy(*s.PAIR))
     return pairs.withColumn(IN_KNOWN, any_mutation).withColumn(KEEP_BINDING, keep_for_binding())

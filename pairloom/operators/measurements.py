@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairloom import schema as s
@@ -106,22 +106,43 @@ def measurement_cells(rows: DataFrame) -> DataFrame:
     )
 
 
-def pair_measures(suffix: str) -> list[Column]:
-    """Mean, maximum, exact median and first years of the cells of a pair for one assay subset."""
+def _rank_columns(suffix: str) -> dict[str, Column]:
+    """Measurements of a pair up to a cell in value order, and in all."""
+    pair = Window.partitionBy(*s.PAIR_MUTATION)
+    n = F.col(f"n_{suffix}")
+    return {
+        f"upto_{suffix}": F.sum(n).over(pair.orderBy(s.VALUE).rowsBetween(Window.unboundedPreceding, 0)),
+        f"all_{suffix}": F.sum(n).over(pair),
+    }
+
+
+def _pair_measures(suffix: str) -> list[Column]:
+    """Mean, maximum, exact median and first years of the ranked cells of a pair for one assay subset.
+
+    The median is the mean of the two middle measurements, which are the same one if their number is odd.
+    """
     value, n, year = F.col(s.VALUE), F.col(f"n_{suffix}"), F.col(f"year_{suffix}")
+    upto, count = F.col(f"upto_{suffix}"), F.col(f"all_{suffix}")
+    lower = F.min(F.when((count > 0) & (2 * upto >= count), value))
+    upper = F.min(F.when(2 * upto > count, value))
     return [
         ratio(F.sum(value * n), F.sum(n)).alias(s.value_column("mean", suffix)),
         F.max(F.when(n > 0, value)).alias(s.value_column("max", suffix)),
-        F.percentile(value, F.lit(0.5), n).alias(s.value_column("median", suffix)),
+        ((lower + upper) / 2).alias(s.value_column("median", suffix)),
         F.min(year).alias(s.first_year_column(suffix)),
         F.min(F.when(value.isNotNull(), year)).alias(s.first_measured_year_column(suffix)),
     ]
 
 
 def pair_aggregates(cells: DataFrame, *more: Column) -> DataFrame:
-    """One row per pair with the measures of both assay subsets, in one aggregation."""
-    measures = [m for suffix in s.SUFFIXES for m in pair_measures(suffix)]
-    return cells.groupBy(*s.PAIR_MUTATION, *CARRIED).agg(*measures, *more)
+    """One row per pair with the measures of both assay subsets.
+
+    The windows sort the cells of a pair and spill, so no pair has to fit into memory; grouping reuses
+    their shuffle. ``more`` are further aggregates.
+    """
+    ranked = cells.withColumns({k: c for suffix in s.SUFFIXES for k, c in _rank_columns(suffix).items()})
+    measures = [m for suffix in s.SUFFIXES for m in _pair_measures(suffix)]
+    return ranked.groupBy(*s.PAIR_MUTATION, *CARRIED).agg(*measures, *more)
 
 
 def compound_attributes(tables: Tables) -> DataFrame:

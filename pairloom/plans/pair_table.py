@@ -56,8 +56,8 @@ def measured_pairs(tables: Tables, cfg: PairConfig) -> DataFrame:
     return measurements.pair_aggregates(cells)
 
 
-def expanded_known_pairs(tables: Tables, only_compounds: DataFrame | None = None) -> DataFrame:
-    return known.expand_pairs(known.known_pairs(tables, only_compounds), known.target_mappings(tables))
+def expanded_known_pairs(tables: Tables) -> DataFrame:
+    return known.expand_pairs(known.known_pairs(tables), known.target_mappings(tables))
 
 
 def universe(
@@ -66,15 +66,16 @@ def universe(
     """Measured and curated pairs with membership flags and interaction class.
 
     ``only_known_targets`` leaves out what would be dropped as unrelated: a known pair makes its target a
-    known one, so the class of a pair on any other target is fixed.
+    known one, so the class of a pair on any other target is fixed. The curated pairs are staged, as they
+    serve as targets and as pairs; the size of the written table decides how they are joined.
     """
-    curated = expanded_known_pairs(tables)
+    curated = stage(expanded_known_pairs(tables), "known").frame
     assays = measurements.assay_targets(
         tables, cfg, known.targets_of(curated), only_known_targets, measurements.USED_ASSAYS
     )
     cells = measurements.measurement_cells(measurements.measurement_rows(tables, cfg, assays, only_compounds))
     if only_compounds is not None:
-        curated = expanded_known_pairs(tables, only_compounds)
+        curated = curated.join(only_compounds, s.PARENT, "left_semi")
     return interaction.classify(known.pair_universe(cells, curated))
 
 
