@@ -11,12 +11,6 @@ BEI_FACTOR = 1000
 SEI_FACTOR = 100
 
 
-def round_half_even(value: Column, places: int = 4) -> Column:
-    """Round the binary value half to even (``F.round`` rounds the decimal text half up)."""
-    scale = 10.0**places
-    return F.rint(value * scale) / scale
-
-
 def ratio(numerator: Column, denominator: Column) -> Column:
     """NULL where the denominator is 0 or NULL; plain division raises on 0 in ANSI mode."""
     return numerator / F.nullif(denominator, F.lit(0))
