@@ -6,11 +6,12 @@ from a shuffle. Lookups that were aggregated on the join key do not, so hot keys
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
 SALTS = 64
+NARROW_SALTS = 8
 
 
 def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame:
@@ -38,17 +39,32 @@ def spread_join(
     if hot is None:
         return df.join(lookup, key, how)
     marked = F.broadcast(hot.select(key, F.lit(True).alias("_hot")))
-    slot = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    salted = (
-        df.join(marked, key, "left")
-        .withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), slot).otherwise(F.lit(0)))
-        .drop("_hot")
+    salted = df.join(marked, key, "left").withColumn(
+        "_salt", F.when(F.col("_hot") | F.col(key).isNull(), _slot(spread_by, salts)).otherwise(F.lit(0))
     )
-    slots = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = lookup.join(marked, key, "left").withColumn("_salt", F.explode(slots)).drop("_hot")
+    slots = F.when(F.col("_hot"), _slots(salts)).otherwise(F.array(F.lit(0)))
+    repeated = lookup.join(marked, key, "left").withColumn("_salt", F.explode(slots))
+    return salted.drop("_hot").join(repeated.drop("_hot"), [key, "_salt"], how).drop("_salt")
+
+
+def salted_join(
+    df: DataFrame, lookup: DataFrame, key: str, spread_by: list[str], how: str = "inner", salts: int = NARROW_SALTS
+) -> DataFrame:
+    """Join with every key spread over ``salts`` tasks: for narrow lookups, whose rows are cheap to repeat,
+    and inputs that are not staged, so that counting their hot keys would compute them twice."""
+    salted = df.withColumn("_salt", _slot(spread_by, salts))
+    repeated = lookup.withColumn("_salt", F.explode(_slots(salts)))
     return salted.join(repeated, [key, "_salt"], how).drop("_salt")
 
 
+def _slot(spread_by: list[str], salts: int) -> Column:
+    return F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+
+
+def _slots(salts: int) -> Column:
+    return F.sequence(F.lit(0), F.lit(salts - 1))
+
+
 def sparse_lookup(df: DataFrame, lookup: DataFrame, key: str, spread_by: str) -> DataFrame:
     """Left join on a key that is NULL on most rows.
 

@@ -9,7 +9,7 @@ from pairloom import schema as s
 from pairloom.config import PairConfig
 from pairloom.functions.numeric import ratio
 from pairloom.functions.text import none_if, pair_keys
-from pairloom.operators.joins import sparse_lookup
+from pairloom.operators.joins import salted_join, sparse_lookup
 from pairloom.sources import Tables
 
 # Assay types and the validity rule of a measurement.
@@ -61,7 +61,8 @@ def assay_targets(
     assays = tables["assays"]
     if assay_types:
         assays = assays.filter(F.col("assay_type").isin(*assay_types))
-    assays = sparse_lookup(assays.join(targets, s.TID), tables["variant_sequences"], "variant_id", "assay_id")
+    assays = salted_join(assays, targets, s.TID, ["assay_id"])
+    assays = sparse_lookup(assays, tables["variant_sequences"], "variant_id", "assay_id")
     return assays.select("assay_id", "assay_type", s.TID, s.MUTATION, THERAPEUTIC)
 
 

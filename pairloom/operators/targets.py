@@ -45,13 +45,13 @@ def class_hierarchy(tables: Tables) -> DataFrame:
 
 def target_class_rows(tables: Tables) -> DataFrame:
     """(target, level 1, level 2) over the components of a target; rows may repeat."""
-    return (
-        tables["target_components"]
+    component_labels = (
+        tables["component_class"]
         .join(tables["component_sequences"], "component_id", "left_semi")
-        .join(tables["component_class"], "component_id")
         .join(class_hierarchy(tables).select("protein_class_id", "l1", "l2"), "protein_class_id")
-        .select(s.TID, "l1", "l2")
+        .select("component_id", "l1", "l2")
     )
+    return tables["target_components"].join(component_labels, "component_id").select(s.TID, "l1", "l2")
 
 
 def target_classes(tables: Tables, targets: DataFrame | None = None) -> DataFrame:

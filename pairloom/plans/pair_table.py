@@ -69,13 +69,14 @@ def universe(
     known one, so the class of a pair on any other target is fixed. The curated pairs are staged, as they
     serve as targets and as pairs; the size of the written table decides how they are joined.
     """
-    curated = stage(expanded_known_pairs(tables), "known").frame
+    staged = stage(expanded_known_pairs(tables), "known")
+    curated = staged.frame
     assays = measurements.assay_targets(
         tables, cfg, known.targets_of(curated), only_known_targets, measurements.USED_ASSAYS
     )
     cells = measurements.measurement_cells(measurements.measurement_rows(tables, cfg, assays, only_compounds))
     if only_compounds is not None:
-        curated = curated.join(only_compounds, s.PARENT, "left_semi")
+        curated = spread_join(curated, only_compounds, s.PARENT, [s.TID], staged.hot(s.PARENT), "left_semi")
     return interaction.classify(known.pair_universe(cells, curated))
 
 
@@ -84,15 +85,17 @@ def related_pairs(tables: Tables, cfg: PairConfig) -> DataFrame:
     return interaction.keep_related(universe(tables, cfg, only_known_targets=True))
 
 
-def describe_compounds(pairs: DataFrame, tables: Tables, cfg: PairConfig) -> DataFrame:
+def describe_compounds(pairs: Staged, tables: Tables, cfg: PairConfig) -> DataFrame:
     """All compound columns and efficiencies, for mixtures too."""
-    described = pairs.drop(PHASE).join(compounds.compound_profile(tables, cfg), s.PARENT, "left")
+    profile = compounds.compound_profile(tables, cfg)
+    hot = pairs.hot(s.PARENT)
+    described = spread_join(pairs.frame.drop(PHASE), profile, s.PARENT, [s.TID, s.MUTATION], hot)
     return compounds.add_efficiency(described).withColumns(pair_keys())
 
 
 def described_pairs(tables: Tables, cfg: PairConfig) -> DataFrame:
     """Related pairs with all compound columns, mixtures included."""
-    return describe_compounds(related_pairs(tables, cfg), tables, cfg)
+    return describe_compounds(stage(related_pairs(tables, cfg), "related"), tables, cfg)
 
 
 def core(tables: Tables, cfg: PairConfig) -> Staged:
@@ -107,35 +110,37 @@ def target_profile(tables: Tables) -> DataFrame:
     return measurements.target_attributes(tables).join(targets.target_classes(tables), s.TID, "left")
 
 
-def add_compounds(pairs: Staged, tables: Tables, cfg: PairConfig, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Compound columns, efficiencies and, if asked for, descriptors."""
+def add_compounds(
+    pairs: DataFrame, hot: DataFrame | None, tables: Tables, cfg: PairConfig
+) -> DataFrame:
+    """Compound columns, efficiencies and, if asked for, descriptors; ``hot`` are hot compounds."""
     profile = compounds.drop_mixtures(compounds.compound_profile(tables, cfg))
     if cfg.descriptors:
         profile = profile.withColumns(smiles_counts(F.col(s.SMILES)))
-    hot = pairs.hot(s.PARENT, hot_rows)
-    described = spread_join(pairs.frame.drop(PHASE), profile, s.PARENT, [s.TID, s.MUTATION], hot, "inner")
+    described = spread_join(pairs.drop(PHASE), profile, s.PARENT, [s.TID, s.MUTATION], hot, "inner")
     return compounds.add_efficiency(described)
 
 
 def clean_table(pairs: Staged, tables: Tables, cfg: PairConfig, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The staged pairs with all columns but the subset flags, cleaned."""
-    described = add_compounds(pairs, tables, cfg, hot_rows)
-    hot = pairs.hot(s.TID, hot_rows)
-    described = spread_join(described, target_profile(tables), s.TID, [s.PARENT], hot)
+    located = spread_join(pairs.frame, target_profile(tables), s.TID, [s.PARENT], pairs.hot(s.TID, hot_rows))
+    described = add_compounds(located, pairs.hot(s.PARENT, hot_rows), tables, cfg)
     return cleaning.clean(described, s.result_ddl(cfg.descriptors))
 
 
 def full_table(pairs: Staged, tables: Tables, cfg: PairConfig, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The staged pairs with all columns and the subset flags, cleaned.
 
-    Flags and target columns depend on target and mutation, so one lookup brings both.
+    Flags and target columns depend on target and mutation, so one lookup brings both. It comes before
+    the wide compound columns, which are then shuffled once.
     """
     groups = subsets.group_qualification(pairs.frame, cfg, keep=[s.TID])
     hot = subsets.hot_groups(groups, pairs.rows, hot_rows)
     lookup = groups.join(target_profile(tables), s.TID, "left").drop(s.TID, "n_rows")
-    described = add_compounds(pairs, tables, cfg, hot_rows)
-    flagged = subsets.apply_scope(spread_join(described, lookup, subsets.GROUP, [s.PARENT], hot), cfg)
-    return cleaning.clean(flagged, s.full_ddl(cfg.min_pairs_bf, cfg.min_pairs_b, cfg.descriptors))
+    located = spread_join(pairs.frame, lookup, subsets.GROUP, [s.PARENT], hot)
+    flagged = subsets.apply_scope(located, cfg)
+    described = add_compounds(flagged, pairs.hot(s.PARENT, hot_rows), tables, cfg)
+    return cleaning.clean(described, s.full_ddl(cfg.min_pairs_bf, cfg.min_pairs_b, cfg.descriptors))
 
 
 def step_sizes(tables: Tables, cfg: PairConfig, measured_only: bool) -> DataFrame:
@@ -145,8 +150,9 @@ def step_sizes(tables: Tables, cfg: PairConfig, measured_only: bool) -> DataFram
     computed once instead of once per step.
     """
     single = compounds.single_structure_compounds(tables).withColumn("_single", F.lit(True))
-    staged = stage(universe(tables, cfg).join(single, s.PARENT, "left"), "universe")
-    pairs = staged.frame.withColumns(pair_keys())
+    staged = stage(universe(tables, cfg), "universe")
+    marked = spread_join(staged.frame, single, s.PARENT, [s.TID, s.MUTATION], staged.hot(s.PARENT))
+    pairs = marked.withColumns(pair_keys())
     related = F.col(s.INTERACTION) != s.OTHER_CLASS
     remaining = related & F.coalesce("_single", F.lit(False))
     kept = pairs.filter(remaining)
@@ -171,10 +177,13 @@ def step_sizes(tables: Tables, cfg: PairConfig, measured_only: bool) -> DataFram
 def quality_summary(tables: Tables, cfg: PairConfig) -> DataFrame:
     """Violations of all invariants: on the described pairs with mixtures, and on the final table."""
     related = stage(related_pairs(tables, cfg), "related")
-    described = describe_compounds(related.frame, tables, cfg).withColumns(smiles_counts(F.col(s.SMILES)))
+    hot_compounds = related.hot(s.PARENT)
+    described = describe_compounds(related, tables, cfg).withColumns(smiles_counts(F.col(s.SMILES)))
     null_flags, property_checks = quality.property_checks(compounds.compound_props(tables))
     labelled = compounds.atc_labels(tables).select(s.PARENT, F.lit(True).alias("_has_atc"))
-    before = described.join(null_flags, s.PARENT, "left").join(labelled, s.PARENT, "left")
+    before = described
+    for lookup in (null_flags, labelled):
+        before = spread_join(before, lookup, s.PARENT, [s.TID, s.MUTATION], hot_compounds)
     checks = (
         quality.known_without_value_checks()
         | property_checks
@@ -185,17 +194,15 @@ def quality_summary(tables: Tables, cfg: PairConfig) -> DataFrame:
     )
     found = quality.count_violations(before, checks)
 
-    single = related.frame.join(compounds.single_structure_compounds(tables), s.PARENT, "left_semi")
-    pairs = Staged(single.withColumns(pair_keys()), related.rows)
+    single = compounds.single_structure_compounds(tables)
+    remaining = spread_join(related.frame, single, s.PARENT, [s.TID, s.MUTATION], hot_compounds, "left_semi")
+    pairs = Staged(remaining.withColumns(pair_keys()), related.rows)
     final = full_table(pairs, tables, cfg)
     classes = targets.target_classes(tables).select(
         s.TID, *[F.when(F.col(f"target_class_l{i}").isNotNull(), True).alias(f"_has_l{i}") for i in (1, 2)]
     )
-    levels = quality.flag_levels(pairs.frame, cfg)
-    after = (
-        final.join(classes, s.TID, "left")
-        .join(levels, subsets.GROUP, "left")
-    )
+    after = spread_join(final, classes, s.TID, [s.PARENT], pairs.hot(s.TID))
+    after = spread_join(after, quality.flag_levels(pairs.frame, cfg), subsets.GROUP, [s.PARENT], pairs.hot(subsets.GROUP))
     checks = quality.label_check("target_class_l1", "_has_l1") | quality.label_check("target_class_l2", "_has_l2")
     checks |= quality.literal_null_checks(final) | quality.flag_checks(cfg)
     return found.unionByName(quality.count_violations(after, checks))
