@@ -174,14 +174,15 @@ def step_sizes(tables: Tables, cfg: PairConfig, measured_only: bool) -> DataFram
     return stats.step_sizes(flagged, steps)
 
 
-def quality_summary(tables: Tables, cfg: PairConfig) -> DataFrame:
-    """Violations of all invariants: on the described pairs with mixtures, and on the final table."""
-    related = stage(related_pairs(tables, cfg), "related")
-    hot_compounds = related.hot(s.PARENT)
-    described = describe_compounds(related, tables, cfg).withColumns(smiles_counts(F.col(s.SMILES)))
+def quality_summary(
+    described: Staged, pairs: Staged, final: DataFrame, tables: Tables, cfg: PairConfig
+) -> DataFrame:
+    """Violations of all invariants: on the described pairs (which may hold mixtures), and on the final
+    table made of ``pairs``."""
+    hot_compounds = described.hot(s.PARENT)
+    before = describe_compounds(described, tables, cfg).withColumns(smiles_counts(F.col(s.SMILES)))
     null_flags, property_checks = quality.property_checks(compounds.compound_props(tables))
     labelled = compounds.atc_labels(tables).select(s.PARENT, F.lit(True).alias("_has_atc"))
-    before = described
     for lookup in (null_flags, labelled):
         before = spread_join(before, lookup, s.PARENT, [s.TID, s.MUTATION], hot_compounds)
     checks = (
@@ -194,15 +195,19 @@ def quality_summary(tables: Tables, cfg: PairConfig) -> DataFrame:
     )
     found = quality.count_violations(before, checks)
 
-    single = compounds.single_structure_compounds(tables)
-    remaining = spread_join(related.frame, single, s.PARENT, [s.TID, s.MUTATION], hot_compounds, "left_semi")
-    pairs = Staged(remaining.withColumns(pair_keys()), related.rows)
-    final = full_table(pairs, tables, cfg)
     classes = targets.target_classes(tables).select(
         s.TID, *[F.when(F.col(f"target_class_l{i}").isNotNull(), True).alias(f"_has_l{i}") for i in (1, 2)]
     )
+    levels = quality.flag_levels(pairs.frame, cfg)
     after = spread_join(final, classes, s.TID, [s.PARENT], pairs.hot(s.TID))
-    after = spread_join(after, quality.flag_levels(pairs.frame, cfg), subsets.GROUP, [s.PARENT], pairs.hot(subsets.GROUP))
+    after = spread_join(after, levels, subsets.GROUP, [s.PARENT], pairs.hot(subsets.GROUP))
     checks = quality.label_check("target_class_l1", "_has_l1") | quality.label_check("target_class_l2", "_has_l2")
     checks |= quality.literal_null_checks(final) | quality.flag_checks(cfg)
     return found.unionByName(quality.count_violations(after, checks))
+
+
+def single_structure_pairs(related: Staged, tables: Tables) -> Staged:
+    """The staged pairs without mixtures and compounds without a structure; the row count is a bound."""
+    single = compounds.single_structure_compounds(tables)
+    kept = spread_join(related.frame, single, s.PARENT, [s.TID, s.MUTATION], related.hot(s.PARENT), "left_semi")
+    return Staged(kept.withColumns(pair_keys()), related.rows)

@@ -18,15 +18,23 @@ def write_artifact(df: DataFrame, path: str, delimiter: str) -> None:
     write_csv(stats.distinct_stats(written), f"{path}_stats", delimiter)
 
 
+def require_no_violations(summary: DataFrame) -> None:
+    """``summary`` has one row per check."""
+    failed = {r["check"]: r["violations"] for r in summary.filter("violations > 0").collect()}
+    if failed:
+        raise ValueError(f"invariants of the pair table are violated: {failed}")
+
+
 def publish(tables: Tables, cfg: PairConfig, out: OutputConfig) -> list[str]:
-    """Write the full table, the wanted subsets with statistics, ambiguous targets and, if asked for,
-    the sizes after each step. The full table is staged, so each artifact is a filter on it.
+    """Check the table, then write it, the wanted subsets with statistics, ambiguous targets and, if asked
+    for, the sizes after each step. The full table is staged, so each artifact is a filter on it.
 
     Returns the paths of the artifacts.
     """
     base = f"{out.path}/{out.release}_CTI_{cfg.source_label}"
     pairs = pair_table.core(tables, cfg)
     full = stage(pair_table.full_table(pairs, tables, cfg), "full").frame
+    require_no_violations(pair_table.quality_summary(pairs, pairs, full, tables, cfg))
     paths = []
 
     if out.write_full:

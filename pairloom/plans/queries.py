@@ -20,7 +20,7 @@ from pairloom.operators.measurements import CARRIED, THERAPEUTIC
 from pairloom.plans import pair_table
 from pairloom.plans.oracle import MIN_PAIRS
 from pairloom.sinks.csv import read_csv, write_csv
-from pairloom.sinks.staging import shared_folder
+from pairloom.sinks.staging import shared_folder, stage
 from pairloom.sources import Tables
 from pairloom.sources.fixture_views import base_table, fixture_tables
 
@@ -123,7 +123,10 @@ def step_sizes(measured_only: bool) -> Query:
 
 
 def dq_summary(tables: Tables) -> DataFrame:
-    return pair_table.quality_summary(tables, DESCRIBED)
+    related = stage(pair_table.related_pairs(tables, DESCRIBED), "related")
+    pairs = pair_table.single_structure_pairs(related, tables)
+    final = pair_table.full_table(pairs, tables, DESCRIBED)
+    return pair_table.quality_summary(related, pairs, final, tables, DESCRIBED)
 
 
 def csv_roundtrip(tables: Tables) -> DataFrame:

@@ -1,0 +1,100 @@
+"""Shapes of the physical plans as they are when nothing is small enough to be broadcast."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from pairloom.operators import compounds, stats, subsets
+from pairloom.plans import pair_table
+from pairloom.plans.queries import CONFIG
+from pairloom.sources.fixture_views import fixture_tables
+
+SETTINGS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.enabled": "false",
+    "spark.sql.maxMetadataStringLength": "10000",
+}
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    before = {k: spark.conf.get(k) for k in SETTINGS}
+    for k, v in SETTINGS.items():
+        spark.conf.set(k, v)
+    yield fixture_tables(spark, "/root/testdata/sf0.001")
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def plan(df) -> list[str]:
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return re.sub(r"#\d+L?", "", text).splitlines()
+
+
+def lines(df, *parts: str) -> list[str]:
+    return [line for line in plan(df) if all(p in line for p in parts)]
+
+
+@pytest.fixture(scope="module")
+def universe(tables):
+    return pair_table.universe(tables, CONFIG, True, compounds.single_structure_compounds(tables))
+
+
+def test_measurements_are_read_once_with_their_columns_only(universe):
+    scans = lines(universe, "FileScan", "l_quantity")
+    assert len(scans) == 1
+    assert "l_extendedprice" not in scans[0] and "l_shipdate" not in scans[0]
+
+
+def test_measurements_are_shuffled_per_join_and_folded_before_the_pairs(universe):
+    """Three joins, the folding, the pairs: five shuffles on the way of the measurements."""
+    for keys in (
+        "(assay_id, 8)", "(doc_id, 8)", "(molregno, 8)", "(parent_molregno, tid, mutation, max_phase, true, pchembl_value, 8)"
+    ):
+        assert lines(universe, "Exchange hashpartitioning" + keys)
+    assert len(lines(universe, "Exchange hashpartitioning(parent_molregno, tid, 8)")) == 1
+    assert not lines(universe, "Exchange hashpartitioning(parent_molregno, tid, mutation, 8)")
+    assert len(lines(universe, "partial_count(1)")) == 1
+
+
+def test_no_cross_joins_and_no_python(universe, tables):
+    pairs = pair_table.core(tables, CONFIG)
+    for df in (universe, pair_table.full_table(pairs, tables, CONFIG), pair_table.full_table(pairs, tables, CONFIG, 5)):
+        for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
+            assert not lines(df, word)
+
+
+def test_subset_flags_use_no_window_and_read_few_columns(tables):
+    pairs = pair_table.core(tables, CONFIG)
+    flagged = subsets.subset_flags(pairs.frame, CONFIG, pairs.rows).select("cpd_target_pair_mutation", "BF_20")
+    assert not lines(flagged, "Window")
+    scans = lines(flagged, "FileScan")
+    assert len(scans) == 2 and all("median" not in scan for scan in scans)
+
+
+def test_distinct_counts_expand_once_and_shuffle_combined_values(spark, tables):
+    pairs = pair_table.core(tables, CONFIG)
+    counted = stats.distinct_stats(pairs.frame)
+    assert len(lines(counted, "Generate explode")) == 1
+    assert len(lines(counted, "FileScan")) == 1
+    assert lines(counted, "partial_bit_or")
+
+
+def test_filters_reach_the_scan(spark, tables, tmp_path):
+    """On stored tables, validity rules and the source restriction are pushed into the files."""
+    from pairloom.operators import measurements
+    from pairloom.sources import read_tables
+
+    for name in ("activities", "assays", "variant_sequences", "target_dictionary", "docs", "molecule_hierarchy", "molecule_dictionary"):
+        tables[name].write.parquet(f"{tmp_path}/{name}")
+    stored = read_tables(spark, str(tmp_path))
+    rows = measurements.measurement_rows(stored, CONFIG, measurements.assay_targets(stored, CONFIG))
+    (scan,) = lines(rows, "FileScan", "pchembl_value")
+    for pushed in ("IsNotNull(pchembl_value)", "EqualTo(potential_duplicate,0)", "EqualTo(standard_relation,=)", "IsNull(data_validity_comment)"):
+        assert pushed in scan
+    (scan,) = lines(rows, "FileScan", "src_id")
+    assert "EqualTo(src_id,1)" in scan
+    assert rows.agg(F.count("*")).first()[0] > 0

@@ -97,3 +97,12 @@ def test_publish(spark, tmp_path):
     sizes = {r.step: r for r in rows["debug_sizes_all"].collect()}
     assert len(sizes) == 15
     assert sizes["activity ct-pairs"].cpd_target_pair_all == "4" and sizes["clean df"].cpd_target_pair_all == "3"
+
+
+def test_publish_stops_at_violations(spark, tmp_path):
+    tables = hand_tables(
+        spark, **compounds(1), **targets(5, pref_name="nan"), **measurements((1, 5, 5.0)), **curated((1, 5))
+    )
+    with pytest.raises(ValueError, match="literal:nan.: 1"):
+        publish(tables, PairConfig(), OutputConfig(str(tmp_path / "out")))
+    assert not os.path.exists(tmp_path / "out")
