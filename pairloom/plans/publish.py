@@ -14,8 +14,8 @@ from pairloom.sources import Tables
 
 def write_artifact(df: DataFrame, path: str, delimiter: str) -> None:
     """The rows in key order, checked after writing, and their distinct counts beside them."""
-    written = write_verified(df.orderBy(s.ROW_KEY), path, delimiter)
-    write_csv(stats.distinct_stats(written), f"{path}_stats", delimiter)
+    write_verified(df.orderBy(s.ROW_KEY), path, delimiter)
+    write_csv(stats.distinct_stats(df), f"{path}_stats", delimiter)
 
 
 def require_no_violations(summary: DataFrame) -> None:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pairloom.config import OutputConfig, PairConfig
 from pairloom.operators import quality
+from pairloom.plans import pair_table
 from pairloom.plans.publish import publish
 from pairloom.sinks.csv import read_csv, write_csv, write_verified
 from pairloom.sinks.staging import shared_folder, stage
@@ -106,3 +107,19 @@ def test_publish_stops_at_violations(spark, tmp_path):
     with pytest.raises(ValueError, match="literal:nan.: 1"):
         publish(tables, PairConfig(), OutputConfig(str(tmp_path / "out")))
     assert not os.path.exists(tmp_path / "out")
+
+
+def test_stage_of_nothing(spark):
+    """Also where the optimizer sees that there are no rows."""
+    for empty in (spark.range(0), spark.range(10).filter("id > 20"), spark.range(10).filter("false")):
+        staged = stage(empty, "nothing")
+        assert staged.rows == staged.frame.count() == 0
+
+
+def test_no_known_pairs(spark):
+    """Without curated pairs no target is a known one, so no pair remains."""
+    tables = hand_tables(spark, **compounds(1), **targets(5), **measurements((1, 5, 5.0)))
+    cfg = PairConfig()
+    pairs = pair_table.core(tables, cfg)
+    assert pairs.rows == 0
+    assert pair_table.full_table(pairs, tables, cfg).count() == 0
