@@ -7,19 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import simhash
+from pairloom.llm import passages, simhash
 from pairloom.llm.shared import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = passages.without_repeats(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def queries() -> dict[str, Query]:
-    return {"op8_simhash_near_dedup": op8_simhash_near_dedup}
+    found = [op2_substring_dedup, op8_simhash_near_dedup]
+    return {query.__name__: query for query in found}
 
 
 def oracle_sql() -> dict[str, str]:
