@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import passages, simhash
+from pairloom.llm import decontaminate, passages, simhash
 from pairloom.llm.shared import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = passages.without_repeats(documents(spark, sf_dir))
     return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -24,7 +28,7 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op2_substring_dedup, op8_simhash_near_dedup]
+    found = [op1_benchmark_decontamination, op2_substring_dedup, op8_simhash_near_dedup]
     return {query.__name__: query for query in found}
 
 
