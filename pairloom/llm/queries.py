@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import decontaminate, passages, simhash
+from pairloom.llm import decontaminate, passages, secrets, simhash
 from pairloom.llm.shared import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,10 +27,14 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
-    found = [op1_benchmark_decontamination, op2_substring_dedup, op8_simhash_near_dedup]
+    found = [op1_benchmark_decontamination, op2_substring_dedup, op8_simhash_near_dedup, op9_secret_scans]
     return {query.__name__: query for query in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_secret_scans": secrets.ORACLE_SQL}
