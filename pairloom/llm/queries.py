@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import decontaminate, passages, secrets, simhash
+from pairloom.llm import decontaminate, fingerprints, passages, secrets, simhash
 from pairloom.llm.shared import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compared(documents(spark, sf_dir))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -32,7 +36,13 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_benchmark_decontamination, op2_substring_dedup, op8_simhash_near_dedup, op9_secret_scans]
+    found = [
+        op1_benchmark_decontamination,
+        op2_substring_dedup,
+        op3_document_fingerprints,
+        op8_simhash_near_dedup,
+        op9_secret_scans,
+    ]
     return {query.__name__: query for query in found}
 
 
