@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import decontaminate, fingerprints, passages, secrets, simhash
+from pairloom.llm import decontaminate, fingerprints, packing, passages, secrets, simhash, urls
 from pairloom.llm.shared import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +27,14 @@ def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared(documents(spark, sf_dir))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filtered(spark.read.parquet(f"{sf_dir}/pages.parquet"), urls.RULES)
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -40,6 +49,8 @@ def queries() -> dict[str, Query]:
         op1_benchmark_decontamination,
         op2_substring_dedup,
         op3_document_fingerprints,
+        op4_packing,
+        op5_url_filters,
         op8_simhash_near_dedup,
         op9_secret_scans,
     ]
@@ -47,4 +58,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_secret_scans": secrets.ORACLE_SQL}
+    return {"op5_url_filters": urls.ORACLE_SQL, "op9_secret_scans": secrets.ORACLE_SQL}

@@ -27,3 +27,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def stored(spark: SparkSession, name: str, data: bytes) -> str:
+    """Path of a file with ``data`` in the shared folder, whatever file system that is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder(spark)}/{name}")
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
+    out.write(bytearray(data))
+    out.close()
+    return path.toString()
