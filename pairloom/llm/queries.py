@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import decontaminate, fingerprints, packing, passages, secrets, simhash, urls
+from pairloom.llm import decontaminate, fingerprints, language, packing, passages, quality, secrets, simhash, urls
 from pairloom.llm.shared import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,14 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filtered(spark.read.parquet(f"{sf_dir}/pages.parquet"), urls.RULES)
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predicted(documents(spark, sf_dir))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -51,6 +59,8 @@ def queries() -> dict[str, Query]:
         op3_document_fingerprints,
         op4_packing,
         op5_url_filters,
+        op6_quality_classifier,
+        op7_language_id,
         op8_simhash_near_dedup,
         op9_secret_scans,
     ]
