@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import decontaminate, fingerprints, language, packing, passages, quality, secrets, simhash, urls
+from pairloom.llm import decontaminate, extraction, fingerprints, language, packing, passages, quality, secrets, simhash, urls
 from pairloom.llm.shared import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,10 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(documents(spark, sf_dir))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extracted(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_benchmark_decontamination,
@@ -63,6 +67,7 @@ def queries() -> dict[str, Query]:
         op7_language_id,
         op8_simhash_near_dedup,
         op9_secret_scans,
+        op10_html_extraction,
     ]
     return {query.__name__: query for query in found}
 
