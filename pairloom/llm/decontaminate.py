@@ -163,6 +163,27 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return out
 
 
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that hold no passage of ``benchmark``, all columns unchanged; matching as above. Each row
+    is judged where it is read, so nothing is shuffled."""
+    for passages in _blocks(benchmark):
+        docs = _without(docs, passages)
+    return docs
+
+
+def _without(docs: DataFrame, passages: list[Passage]) -> DataFrame:
+    sent = docs.sparkSession.sparkContext.broadcast(passages)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = Pieces(sent.value)
+        for batch in chunks(batches):
+            keep = np.ones(batch.num_rows, dtype=bool)
+            keep[[text for text, _ in matches_in(normal_words(batch.column("text")), pieces)]] = False
+            yield batch.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _scan(docs: DataFrame, passages: list[Passage]) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(passages)
 

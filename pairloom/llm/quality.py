@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.shared import written
+from pairloom.llm.shared import carried, written
 from pairloom.llm.words import chunks, split, utf8, word_hashes
 
 THRESHOLD = 0.3
@@ -130,19 +130,18 @@ def fitted(moments: dict[int, tuple[float, np.ndarray, np.ndarray]]) -> Model:
 
 
 def described(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id``, the statistics ``x`` of each row, and the columns of ``carry`` unchanged."""
-    carried = [c for c in carry if c != "doc_id"]
+    """``doc_id``, the statistics ``x`` of each row, and the columns of ``carry`` as ``shared.carried`` names them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "_text"):
             x = statistics(batch.column("_text"))
             flat = pa.ListArray.from_arrays(np.arange(0, x.size + 1, N_STATISTICS, dtype=np.int32), pa.array(x.ravel()))
-            yield pa.record_batch(
-                [batch.column("doc_id"), flat, *(batch.column(c) for c in carried)], names=["doc_id", "x", *carried]
-            )
+            others = batch.schema.names[2:]
+            columns = [batch.column("doc_id"), flat, *(batch.column(c) for c in others)]
+            yield pa.record_batch(columns, names=["doc_id", "x", *others])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("_text"), *carried)
-    kinds = "".join(f", `{c}` {dict(rows.dtypes)[c]}" for c in carried)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("_text"), *carried(carry))
+    kinds = "".join(f", {c} {kind}" for c, kind in rows.dtypes[2:])
     return rows.mapInArrow(run, f"doc_id long, x array<double>{kinds}")
 
 
@@ -168,22 +167,31 @@ def trained(rows: DataFrame, labels: DataFrame) -> Model:
     return fitted({k: (total[k, 0, 0], total[k, 0, 1:], total[k, 1:, 1:]) for k in (0, 1)})
 
 
-def scored(docs: DataFrame, labels: DataFrame, carry: tuple[str, ...] = (), threshold: float = THRESHOLD) -> DataFrame:
-    """``doc_id``, ``held_out``, ``score`` (0 to 1, higher where label 1 is likelier) and ``predicted`` of every row
-    of ``docs``, with the columns of ``carry``.
+def with_scores(rows: DataFrame, model: Model) -> DataFrame:
+    @F.pandas_udf("double")
+    def score(x: pd.Series) -> pd.Series:
+        return pd.Series(model.scores(np.stack(x)) if len(x) else [])
+
+    return rows.withColumn("score", score("x"))
+
+
+def scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``doc_id``, ``held_out``, ``score`` (0 to 1, higher where label 1 is likelier) and ``predicted`` of every row.
 
     Learned from all rows of ``labels`` with quality 0 or 1 whose document is not held out; a document that is
     labelled twice counts twice. Only texts make scores. Null and empty texts get the score of a text without
     words; a null doc_id is scored, never learned. With one class the score is that class, without any label 0.5.
-    Repeated rows stay; an empty table gives no rows.
+    Repeated rows stay; an empty table gives no rows; other columns are not read.
     """
-    rows = written(described(docs, carry), "statistics")
-    model = trained(rows, labels)
+    rows = written(described(docs), "statistics")
+    out = with_scores(rows, trained(rows, labels))
+    predicted = (F.col("score") >= threshold).cast("int").alias("predicted")
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
 
-    @F.pandas_udf("double")
-    def score(x: pd.Series) -> pd.Series:
-        return pd.Series(model.scores(np.stack(x)) if len(x) else [])
 
-    out = rows.withColumn("score", score("x")).withColumn("held_out", held_out(F.col("doc_id")))
-    predicted = (F.col("score") >= threshold).cast("int").alias("predicted")
-    return out.select("doc_id", "held_out", "score", predicted, *(c for c in carry if c != "doc_id"))
+def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that the classifier does not reject, all columns unchanged. It learns as ``scored``."""
+    model = trained(described(docs), labels)
+    names = tuple(docs.columns)
+    rows = with_scores(described(docs, names), model)
+    return rows.filter(F.col("score") >= threshold).select(*carried(names, back=True))

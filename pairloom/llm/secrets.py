@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.shared import written
+from pairloom.llm.shared import carried, written
 
 # Fixed values of the contract: kinds in their order, patterns, the group that is the secret, its least length.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -78,7 +78,8 @@ def ownership(candidates: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", carry: tuple[str, ...] = ()) -> DataFrame:
-    """Secrets of every text: one row per row of ``docs``, with ``doc_id`` and the columns named in ``carry``.
+    """Secrets of every text: one row per row of ``docs``, with ``doc_id`` and the columns named in ``carry``, which
+    may have any name, behind those of the scan.
 
     ``base`` holds the spans of the listed kinds. ``added`` holds other long mixed runs that touch no base span and
     whose value belongs to fewer than WIDE_OWNERS owners in the whole corpus. ``live`` are the spans of both whose
@@ -94,7 +95,7 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", car
         F.col(owner).cast("string").alias("_owner"),
         F.col(repository).cast("string").alias("_repository"),
         text.alias("_text"),
-        *(F.col(c) for c in carry if c != "doc_id"),
+        *carried(carry),
     )
     base = F.array_sort(F.concat(*(_spans(F.col("_text"), i, *kind) for i, kind in enumerate(BASE))))
     rows = rows.withColumn("base", base).withColumn("_owned", _owned(F.col("_text")))
@@ -113,7 +114,7 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", car
     own = lambda x: ~F.array_contains(F.coalesce("_copied", F.array().cast("array<string>")), x["digest"])
     out = found.join(copied, KEY, "left").withColumn("added", F.filter("_owned", own))
     out = out.withColumn("live", F.array_sort(F.concat(F.filter("base", own), "added")))
-    return out.select("doc_id", *(c for c in carry if c != "doc_id"), "base", "added", "live")
+    return out.select("doc_id", "base", "added", "live", *carried(carry, back=True))
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -131,6 +132,20 @@ def report(docs: DataFrame) -> DataFrame:
     )
 
 
+def without_secrets(docs: DataFrame) -> DataFrame:
+    """``docs`` with every live secret in ``text`` replaced by a mark, and ``n_chars``, if it is there, set to the
+    length of the new text. Widely copied examples and all other columns stay as they are; null text stays null."""
+    names = docs.columns
+    found = scan(docs, carry=tuple(names))
+    hidden = found.toDF("_id", "_base", "_added", "_live", *names)
+    clean = F.when(F.size("_live") > 0, redacted(F.col("text"), F.col("_live"))).otherwise(F.col("text"))
+    out = hidden.withColumn("text", clean)
+    if "n_chars" in names:
+        changed = F.when(F.size("_live") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
+        out = out.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
+    return out.select(*names)
+
+
 def redacted(text: Column, spans: Column, mark: str = "<secret>") -> Column:
     """``text`` with each stretch covered by ``spans`` (sorted by start) replaced by ``mark``."""
 

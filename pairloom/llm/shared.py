@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def folder(spark: SparkSession) -> str:
@@ -25,6 +26,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def carried(names: tuple[str, ...], back: bool = False) -> list[Column]:
+    """Columns that an operator passes on under names that clash with none of its own, or (``back``) as they were."""
+    if back:
+        return [F.col(f"_carried_{i}").alias(c) for i, c in enumerate(names)]
+    return [F.col(f"`{c}`").alias(f"_carried_{i}") for i, c in enumerate(names)]
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

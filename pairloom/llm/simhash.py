@@ -42,14 +42,17 @@ def simhashes(texts: pa.Array, shingle_words: int) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
-    """``doc_id`` and ``fp`` (the 64 bits as a signed long) of every row; null or blank text has fingerprint 0."""
+    """``doc_id``, ``text_hash`` and ``fp`` (the 64 bits as a signed long) of every row; null or blank text has
+    fingerprint 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            fp = simhashes(batch.column("text"), shingle_words)
-            yield pa.record_batch([batch.column("doc_id"), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            fp = pa.array(simhashes(batch.column("text"), shingle_words).view(np.int64))
+            columns = [batch.column("doc_id"), batch.column("text_hash"), fp]
+            yield pa.record_batch(columns, names=["doc_id", "text_hash", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
 def links(fps: DataFrame) -> DataFrame:
@@ -75,17 +78,39 @@ def links(fps: DataFrame) -> DataFrame:
     return found.filter(near & once).select("a", "b")
 
 
+def grouped(docs: DataFrame, shingle_words: int = 3) -> tuple[DataFrame, DataFrame]:
+    """All rows of ``fingerprints``, and the ``root`` of each different ``fp``: equal for all that links connect.
+
+    Documents with the same fingerprint are one node, so copies are never paired.
+    """
+    prints = written(fingerprints(docs, shingle_words), "fingerprints")
+    nodes = written(prints.select("fp").distinct(), "distinct-fingerprints")
+    roots = written(components(links(nodes)), "roots").withColumnRenamed("node", "fp")
+    return prints, written(nodes.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root")), "rooted")
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
     """One row per document: ``doc_id``, ``fp``, ``component_id`` (the smallest doc_id reached by links).
 
-    Documents with the same fingerprint are one node, so copies are never paired. Rows repeated in ``docs``
-    stay repeated. A null doc_id takes part, but is never a component_id unless its component has no other.
-    Empty tables give empty results; other columns of ``docs`` are not read.
+    Rows repeated in ``docs`` stay repeated. A null doc_id takes part, but is a component_id only where its component
+    has no other. Empty tables give empty results; other columns of ``docs`` are not read.
     """
-    prints = written(fingerprints(docs, shingle_words), "fingerprints")
-    nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    roots = written(components(links(nodes.select("fp"))), "roots").withColumnRenamed("node", "fp")
-    rooted = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = written(rooted.select("fp", "root").join(least, "root").select("fp", "component_id"), "components")
+    prints, rooted = grouped(docs, shingle_words)
+    least = prints.groupBy("fp").agg(F.min("doc_id").alias("least")).join(rooted, "fp")
+    least = written(least.groupBy("root").agg(F.min("least").alias("component_id")), "least")
+    named = written(rooted.join(least, "root").select("fp", "component_id"), "components")
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
+    """One row of each group of near-duplicates, with the smallest doc_id (rows without one come last; among equal
+    ids the one whose text hash is smallest), all columns unchanged."""
+    prints, rooted = grouped(docs, shingle_words)
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    best = prints.groupBy("fp").agg(F.min(order).alias("best")).join(rooted, "fp")
+    best = best.groupBy("root").agg(F.min("best").alias("best")).select("best.*")
+    best = written(best.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")), "kept")
+    rows = docs.withColumn("_doc", F.col("doc_id").cast("long")).withColumn("_hash", F.xxhash64("text"))
+    chosen = F.expr("_doc <=> kept_doc AND _hash = kept_hash")
+    first = rows.join(best.toDF("kept_doc", "kept_hash"), chosen, "left_semi")
+    return first.dropDuplicates(["_doc", "_hash"]).select(*docs.columns)
