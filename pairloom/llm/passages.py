@@ -26,13 +26,12 @@ from pairloom.llm.words import WORD_BASES, Runs, chunks, split, utf8, word_hashe
 
 WINDOW = 35
 GRAM = 9
-HOT_SEGMENTS = 500  # different segments of one anchor, beyond which its windows are dealt by other anchors
+HOT_SEGMENTS = 100  # different segments of one anchor, beyond which its windows are dealt by other anchors
 HOT_ANCHORS = 100_000  # most anchors treated so: the threshold rises with the number of segments
 SHARD_CHARS = 1 << 20
 
 KEY = ["doc", "text_hash"]
-SEGMENT = ["anchor", "digest1", "digest2"]
-SEGMENTS_DDL = "doc long, text_hash long, anchor long, digest1 long, digest2 long, first int, n_windows int"
+SEGMENT = ["anchor", "digest"]  # hashes of the anchor and of the whole segment, 128 bits together
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -56,70 +55,77 @@ def _leftmost_least(values: np.ndarray, span: int) -> np.ndarray:
     return at
 
 
-def segments_of(data: np.ndarray, at: np.ndarray, hot: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Text number, anchor, two digests, first word (within the text) and number of windows of each segment.
+def segments_of(
+    data: np.ndarray, at: np.ndarray, hot: np.ndarray, window: int, gram: int, only_hot: bool = False
+) -> tuple[np.ndarray, ...]:
+    """Text number, anchor, digest, first word (within the text) and number of windows of each segment.
 
-    ``hot`` holds sorted anchors that are passed over. A window of hot anchors alone is a segment of its own, with
-    its digest as anchor.
+    ``hot`` holds sorted anchors. Windows of those get the least of their other runs as anchor, or, with hot ones
+    alone, their own digest, and are segments apart from the others, which stay as they are without ``hot``.
+    ``only_hot`` leaves the others out.
     """
     words = split(data, at)
     n = len(words)
     if n < window:
-        return tuple(np.zeros(0, dtype=np.int64) for _ in range(6))
+        return tuple(np.zeros(0, dtype=np.int64) for _ in range(5))
     hashes = word_hashes(words)
     runs = [Runs(hashes, base) for base in WORD_BASES]
     i = np.arange(n - gram + 1)
     grams = runs[0].hashes(i, i + gram)
-    ranks = grams
-    if len(hot):
-        found = hot[np.minimum(np.searchsorted(hot, grams), len(hot) - 1)] == grams
-        ranks = np.where(found, np.uint64(0xFFFFFFFFFFFFFFFF), grams)
-    place = _leftmost_least(ranks, window - gram + 1)
     text = words.text_of()
+    place = _leftmost_least(grams, window - gram + 1)
     starts = np.flatnonzero(text[: len(place)] == text[window - 1 :])  # windows within one text
-    place = place[starts]
-    lone = ranks[place] == np.uint64(0xFFFFFFFFFFFFFFFF)
+    moved = lone = np.zeros(len(starts), dtype=bool)
+    anchored = place[starts]
+    if len(hot):
+        is_hot = hot[np.minimum(np.searchsorted(hot, grams), len(hot) - 1)] == grams
+        moved = is_hot[anchored]
+        again = _leftmost_least(np.where(is_hot, np.uint64(0xFFFFFFFFFFFFFFFF), grams), window - gram + 1)[starts]
+        lone = moved & is_hot[again]
+        anchored = np.where(moved, again, anchored)
     new = np.ones(len(starts), dtype=bool)
-    new[1:] = (place[1:] != place[:-1]) | (text[starts[1:]] != text[starts[:-1]]) | lone[1:] | lone[:-1]
+    new[1:] = (anchored[1:] != anchored[:-1]) | (text[starts[1:]] != text[starts[:-1]])
+    new[1:] |= (moved[1:] != moved[:-1]) | lone[1:]
     head = np.flatnonzero(new)
     first, n_windows = starts[head], np.diff(np.append(head, len(starts)))
-    digests = [r.hashes(first, first + n_windows + window - 1) for r in runs]
-    anchor = np.where(lone[head], digests[0], grams[place[head]])
+    digest = runs[1].hashes(first, first + n_windows + window - 1)
+    anchor = np.where(lone[head], digest, grams[anchored[head]])
     owner = text[first]
-    return owner, anchor, digests[0], digests[1], first - words.first[owner], n_windows
+    out = owner, anchor, digest, first - words.first[owner], n_windows
+    return tuple(x[moved[head]] for x in out) if only_hot else out
 
 
-def _segments(keyed: DataFrame, hot: np.ndarray, window: int, gram: int) -> DataFrame:
+def _segments(keyed: DataFrame, hot: np.ndarray, window: int, gram: int, only_hot: bool = False) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            owner, anchor, d1, d2, first, n = segments_of(*utf8(batch.column("text")), hot, window, gram)
+            owner, anchor, digest, first, n = segments_of(*utf8(batch.column("text")), hot, window, gram, only_hot)
             yield pa.record_batch(
                 [
                     *(batch.column(k).take(pa.array(owner)) for k in KEY),
-                    *(pa.array(x.view(np.int64)) for x in (anchor, d1, d2)),
+                    *(pa.array(x.view(np.int64)) for x in (anchor, digest)),
                     *(pa.array(x.astype(np.int32)) for x in (first, n)),
                 ],
                 names=[*KEY, *SEGMENT, "first", "n_windows"],
             )
 
-    return keyed.mapInArrow(run, SEGMENTS_DDL)
+    return keyed.select(*KEY, "text").mapInArrow(
+        run, "doc long, text_hash long, anchor long, digest long, first int, n_windows int"
+    )
 
 
-def _different(keyed: DataFrame, hot: np.ndarray, window: int, gram: int) -> DataFrame:
-    """Each different segment with its number of places and one of them."""
-    rows = _segments(keyed, hot, window, gram)
-    place = F.struct(*KEY, "first", "n_windows")
-    return rows.groupBy(*SEGMENT).agg(F.count(F.lit(1)).alias("places"), F.min(place).alias("place"))
+def _different(segments: DataFrame) -> DataFrame:
+    """Each different segment with its number of places."""
+    return segments.groupBy(*SEGMENT).agg(F.count(F.lit(1)).alias("places"))
 
 
 def _anchors(different: DataFrame) -> DataFrame:
-    return different.groupBy("anchor").agg(F.sum("places").alias("places"), F.count(F.lit(1)).alias("segments"))
+    totals = different.groupBy("anchor").agg(F.sum("places").alias("places"), F.count(F.lit(1)).alias("segments"))
+    return totals.filter("places > 1")
 
 
-def _hot_anchors(anchors: DataFrame) -> np.ndarray:
+def _hot_anchors(different: DataFrame, anchors: DataFrame) -> np.ndarray:
     """Sorted anchors with too many different segments for one task; HOT_ANCHORS at most, whatever the input."""
-    total = anchors.agg(F.sum("segments")).first()[0] or 0
-    least = max(HOT_SEGMENTS, total // HOT_ANCHORS)
+    least = max(HOT_SEGMENTS, different.count() // HOT_ANCHORS)
     rows = anchors.filter(F.col("segments") > least).select("anchor").collect()
     return np.sort(np.array([r.anchor for r in rows], dtype=np.int64).view(np.uint64))
 
@@ -173,9 +179,11 @@ def _covered(automaton: ahocorasick.Automaton, words: list[str]) -> list[int]:
     return out
 
 
-def _texts_of(keyed: DataFrame, different: DataFrame, window: int) -> DataFrame:
-    """One copy of the words of each segment, cut from the document of its place."""
-    wanted = different.select("place.doc", "place.text_hash", F.struct(*SEGMENT, "places", "place").alias("s"))
+def _texts_of(keyed: DataFrame, rows: DataFrame, window: int) -> DataFrame:
+    """One copy of the words of each segment, cut from the first of its places."""
+    place = F.struct(*KEY, "first", "n_windows")
+    one = rows.groupBy(*SEGMENT, "places").agg(F.min(place).alias("place"))
+    wanted = one.select("place.doc", "place.text_hash", F.struct(*SEGMENT, "places", "place").alias("s"))
     wanted = written(wanted.groupBy(*KEY).agg(F.collect_list("s").alias("segments")), "wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,7 +198,7 @@ def _texts_of(keyed: DataFrame, different: DataFrame, window: int) -> DataFrame:
                 for s in segments:
                     first = s["place"]["first"]
                     cut = words[first : first + s["place"]["n_windows"] + window - 1]
-                    rows.append((s["anchor"], s["digest1"], s["digest2"], s["places"], b" ".join(cut).decode()))
+                    rows.append((s["anchor"], s["digest"], s["places"], b" ".join(cut).decode()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c) for c in zip(*rows)], names=[*SEGMENT, "places", "words"]
             ) if rows else pa.RecordBatch.from_pylist([], schema)
@@ -198,7 +206,7 @@ def _texts_of(keyed: DataFrame, different: DataFrame, window: int) -> DataFrame:
     schema = pa.schema([*((c, pa.int64()) for c in [*SEGMENT, "places"]), ("words", pa.string())])
     joined = keyed.join(wanted, KEY)
     return joined.select(*KEY, "text", "segments").mapInArrow(
-        run, "anchor long, digest1 long, digest2 long, places long, words string"
+        run, "anchor long, digest long, places long, words string"
     )
 
 
@@ -206,10 +214,10 @@ def _located(texts: DataFrame, window: int) -> DataFrame:
     """Segments with the word ranges that repeated windows cover in them; segments without any are left out."""
 
     def flush(shard: list[tuple]) -> pa.RecordBatch:
-        spans = covered_segments([(s[0], s[3], s[4].split(" ")) for s in shard], window)
-        kept = [(s[0], s[1], s[2], x) for s, x in zip(shard, spans) if x]
-        columns = list(zip(*kept)) or [[]] * 4
-        kinds = [pa.int64()] * 3 + [pa.list_(pa.int32())]
+        spans = covered_segments([(s[0], s[2], s[3].split(" ")) for s in shard], window)
+        kept = [(s[0], s[1], x) for s, x in zip(shard, spans) if x]
+        columns = list(zip(*kept)) or [[]] * 3
+        kinds = [pa.int64()] * 2 + [pa.list_(pa.int32())]
         return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=[*SEGMENT, "spans"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,34 +225,38 @@ def _located(texts: DataFrame, window: int) -> DataFrame:
         size = 0
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in [*SEGMENT, "places", "words"])):
-                if shard and row[:3] == shard[-1][:3]:  # cut from two copies of a repeated row
+                if shard and row[:2] == shard[-1][:2]:  # cut from two copies of a repeated row
                     continue
                 if size > SHARD_CHARS and row[0] != shard[-1][0]:
                     yield flush(shard)
                     shard, size = [], 0
                 shard.append(row)
-                size += len(row[4])
+                size += len(row[3])
         if shard:
             yield flush(shard)
 
     dealt = texts.repartition("anchor").sortWithinPartitions(*SEGMENT)
-    return dealt.mapInArrow(run, "anchor long, digest1 long, digest2 long, spans array<int>")
+    return dealt.mapInArrow(run, "anchor long, digest long, spans array<int>")
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """``doc``, ``text_hash`` and ``spans`` (sets of word ranges) of documents with repeated windows."""
     keyed = _keyed(docs)
-    hot = np.zeros(0, dtype=np.uint64)
-    different = written(_different(keyed, hot, window, gram), "segments")
+    none = np.zeros(0, dtype=np.uint64)
+    different = written(_different(_segments(keyed, none, window, gram)), "segments")
     anchors = written(_anchors(different), "anchors")
-    hot = _hot_anchors(anchors)
+    hot = _hot_anchors(different, anchors)
+    again = anchors.select("anchor")
     if len(hot):
-        different = written(_different(keyed, hot, window, gram), "segments")
-        anchors = written(_anchors(different), "anchors")
-    again = anchors.filter("places > 1").select("anchor")
-    candidates = written(different.join(again, "anchor", "left_semi"), "candidates")
-    located = written(_located(_texts_of(keyed, candidates, window), window), "located")
-    places = _segments(keyed, hot, window, gram).select(*KEY, *SEGMENT, "first").join(located, SEGMENT)
+        gone = F.broadcast(keyed.sparkSession.createDataFrame([(x,) for x in hot.view(np.int64).tolist()], "anchor long"))
+        moved = written(_different(_segments(keyed, hot, window, gram, only_hot=True)), "moved-segments")
+        moved_again = _anchors(moved).select("anchor")
+        different = different.join(gone, "anchor", "left_anti").unionByName(moved)
+        again = written(again.join(gone, "anchor", "left_anti").unionByName(moved_again).distinct(), "anchors")
+    candidates = written(different.join(again, "anchor"), "candidates")
+    rows = written(_segments(keyed, hot, window, gram).join(candidates, SEGMENT), "places")
+    located = written(_located(_texts_of(keyed, rows, window), window), "located")
+    places = rows.select(*KEY, *SEGMENT, "first").join(located, SEGMENT)
     return places.groupBy(*KEY).agg(F.collect_set(F.struct("first", "spans")).alias("found"))
 
 
