@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.shared import carried, written
+from pairloom.llm.shared import written
 from pairloom.llm.words import chunks, split, utf8, word_hashes
 
 THRESHOLD = 0.3
@@ -129,20 +129,16 @@ def fitted(moments: dict[int, tuple[float, np.ndarray, np.ndarray]]) -> Model:
     return Model(found[1], found[0])
 
 
-def described(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id``, the statistics ``x`` of each row, and the columns of ``carry`` as ``shared.carried`` names them."""
+def described(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and the statistics ``x`` of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "_text"):
-            x = statistics(batch.column("_text"))
+        for batch in chunks(batches):
+            x = statistics(batch.column("text"))
             flat = pa.ListArray.from_arrays(np.arange(0, x.size + 1, N_STATISTICS, dtype=np.int32), pa.array(x.ravel()))
-            others = batch.schema.names[2:]
-            columns = [batch.column("doc_id"), flat, *(batch.column(c) for c in others)]
-            yield pa.record_batch(columns, names=["doc_id", "x", *others])
+            yield pa.record_batch([batch.column("doc_id"), flat], names=["doc_id", "x"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("_text"), *carried(carry))
-    kinds = "".join(f", {c} {kind}" for c, kind in rows.dtypes[2:])
-    return rows.mapInArrow(run, f"doc_id long, x array<double>{kinds}")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, x array<double>")
 
 
 def trained(rows: DataFrame, labels: DataFrame) -> Model:
@@ -167,14 +163,6 @@ def trained(rows: DataFrame, labels: DataFrame) -> Model:
     return fitted({k: (total[k, 0, 0], total[k, 0, 1:], total[k, 1:, 1:]) for k in (0, 1)})
 
 
-def with_scores(rows: DataFrame, model: Model) -> DataFrame:
-    @F.pandas_udf("double")
-    def score(x: pd.Series) -> pd.Series:
-        return pd.Series(model.scores(np.stack(x)) if len(x) else [])
-
-    return rows.withColumn("score", score("x"))
-
-
 def scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id``, ``held_out``, ``score`` (0 to 1, higher where label 1 is likelier) and ``predicted`` of every row.
 
@@ -184,7 +172,13 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
     Repeated rows stay; an empty table gives no rows; other columns are not read.
     """
     rows = written(described(docs), "statistics")
-    out = with_scores(rows, trained(rows, labels))
+    model = trained(rows, labels)
+
+    @F.pandas_udf("double")
+    def score(x: pd.Series) -> pd.Series:
+        return pd.Series(model.scores(np.stack(x)) if len(x) else [])
+
+    out = rows.withColumn("score", score("x"))
     predicted = (F.col("score") >= threshold).cast("int").alias("predicted")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
 
@@ -192,6 +186,9 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that the classifier does not reject, all columns unchanged. It learns as ``scored``."""
     model = trained(described(docs), labels)
-    names = tuple(docs.columns)
-    rows = with_scores(described(docs, names), model)
-    return rows.filter(F.col("score") >= threshold).select(*carried(names, back=True))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            yield batch.filter(pa.array(model.scores(statistics(batch.column("text"))) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
