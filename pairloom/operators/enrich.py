@@ -8,7 +8,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.operators.joins import HOT_ROWS, SALTS, hot_keys, spread_join
+from pairloom.operators.joins import HOT_ROWS, hot_keys, spread_join
+
+DIGEST = "_digest"
 
 
 def enrich_by_key(
@@ -17,14 +19,16 @@ def enrich_by_key(
     compute: Callable[[DataFrame], DataFrame],
     spread_by: list[str],
     hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Left join of ``compute(distinct keys)``, which returns the key and the columns to add.
 
-    Rows with a NULL key get NULLs. Keys with many copies are spread over tasks by ``spread_by``.
+    Rows with a NULL key get NULLs. Keys travel as a 256-bit digest of their text: what is counted, broadcast and
+    joined has 64 characters, however long a key is. Keys with many copies are spread over tasks by ``spread_by``.
     """
-    keys = df.filter(F.col(key).isNotNull()).select(key).distinct()
-    return spread_join(df, compute(keys), key, spread_by, hot_keys(df, key, hot_rows), salts=salts)
+    rows = df.withColumn(DIGEST, F.sha2(F.col(key).cast("string"), 256))
+    keys = rows.filter(F.col(key).isNotNull()).groupBy(DIGEST).agg(F.any_value(key).alias(key))
+    added = compute(keys.select(key)).withColumn(DIGEST, F.sha2(F.col(key).cast("string"), 256)).drop(key)
+    return spread_join(rows, added, DIGEST, spread_by, hot_keys(rows, DIGEST, hot_rows)).drop(DIGEST)
 
 
 def per_batch(key: str, function: Callable[[pd.Series], pd.DataFrame], ddl: str) -> Callable[[DataFrame], DataFrame]:

@@ -10,41 +10,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
-SALTS = 64
 NARROW_SALTS = 8
+SLOTS = "_slots"
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame:
-    """Values of ``key`` on more than ``min_rows`` rows; at most rows / min_rows values."""
+def slots(rows: Column, hot_rows: int = HOT_ROWS) -> Column:
+    """Tasks over which the rows of a hot key are dealt: as many as keep each at ``hot_rows``."""
+    return F.ceil(rows / hot_rows).cast("int")
+
+
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Values of ``key`` on more than ``hot_rows`` rows, at most rows / hot_rows of them, and their slots."""
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.filter(F.col("_rows") > min_rows).select(key)
+    return counts.filter(F.col("_rows") > hot_rows).select(key, slots(F.col("_rows"), hot_rows).alias(SLOTS))
 
 
 def spread_join(
-    df: DataFrame,
-    lookup: DataFrame,
-    key: str,
-    spread_by: list[str],
-    hot: DataFrame | None,
-    how: str = "left",
-    salts: int = SALTS,
+    df: DataFrame, lookup: DataFrame, key: str, spread_by: list[str], hot: DataFrame, how: str = "left"
 ) -> DataFrame:
-    """Join ``lookup`` on ``key``, with the rows of each hot key spread over ``salts`` tasks.
+    """Join ``lookup`` on ``key``, with the rows of each hot key spread over its slots.
 
-    ``hot`` comes from ``hot_keys``: its size is bounded by rows / min_rows, so it is broadcast. None says
-    that ``df`` is too small to have any, and makes this a plain join. Only the lookup rows of hot keys
-    are repeated. Rows with a NULL key find no lookup row and are spread as well. The salt is a hash of
-    ``spread_by``, so a task that runs again yields the same rows.
+    ``hot`` comes from ``hot_keys``: it has at most rows / hot_rows rows, so it is broadcast. Only the lookup rows
+    of hot keys are repeated, once per slot. Rows with a NULL key find no lookup row and are spread as well. The
+    salt is a hash of ``spread_by``, so a task that runs again yields the same rows.
     """
-    if hot is None:
-        return df.join(lookup, key, how)
-    marked = F.broadcast(hot.select(key, F.lit(True).alias("_hot")))
-    salted = df.join(marked, key, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | F.col(key).isNull(), _slot(spread_by, salts)).otherwise(F.lit(0))
-    )
-    slots = F.when(F.col("_hot"), _slots(salts)).otherwise(F.array(F.lit(0)))
-    repeated = lookup.join(marked, key, "left").withColumn("_salt", F.explode(slots))
-    return salted.drop("_hot").join(repeated.drop("_hot"), [key, "_salt"], how).drop("_salt")
+    marked = F.broadcast(hot.select(key, SLOTS))
+    many = F.when(F.col(key).isNull(), F.lit(NARROW_SALTS)).otherwise(F.coalesce(SLOTS, F.lit(1)))
+    salted = df.join(marked, key, "left").withColumn("_salt", F.pmod(F.xxhash64(*spread_by), many).cast("int"))
+    numbers = F.sequence(F.lit(0), F.coalesce(SLOTS, F.lit(1)) - 1)
+    repeated = lookup.join(marked, key, "left").withColumn("_salt", F.explode(numbers))
+    return salted.drop(SLOTS).join(repeated.drop(SLOTS), [key, "_salt"], how).drop("_salt")
 
 
 def salted_join(

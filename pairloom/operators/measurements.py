@@ -148,13 +148,13 @@ def pair_aggregates(cells: DataFrame, *more: Column) -> DataFrame:
 
 def compound_attributes(tables: Tables) -> DataFrame:
     """Descriptive columns of a parent compound."""
-    renamed = {"molregno": s.PARENT, "chembl_id": "parent_chemblid", "pref_name": "parent_pref_name"}
+    renamed = {"molregno": s.PARENT, "public_id": "parent_public_id", "pref_name": "parent_pref_name"}
     return tables["molecule_dictionary"].withColumnsRenamed(renamed)
 
 
 def target_attributes(tables: Tables, fix_organism: bool = True) -> DataFrame:
     """Descriptive columns of a target; the text ``null`` as organism stands for a missing one."""
-    renamed = {"chembl_id": "target_chembl_id", "pref_name": "target_pref_name"}
+    renamed = {"public_id": "target_public_id", "pref_name": "target_pref_name"}
     targets = tables["target_dictionary"].withColumnsRenamed(renamed)
     return targets.withColumn("organism", none_if(F.col("organism"), "null")) if fix_organism else targets
 

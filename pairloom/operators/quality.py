@@ -110,12 +110,16 @@ def flag_checks(cfg: PairConfig) -> dict[str, Column]:
 def bag_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows that do not occur equally often in both frames, with ``surplus`` of the left one.
 
-    One aggregation finds the differences of both directions.
+    Rows are grouped by a 256-bit digest of all their columns, in both directions at once; whole rows are looked up
+    only for digests that differ.
     """
     if [(f.name, f.dataType) for f in left.schema] != [(f.name, f.dataType) for f in right.schema]:
         raise ValueError("the frames have different columns or types")
-    both = left.withColumn("_n", F.lit(1)).unionByName(right.withColumn("_n", F.lit(-1)))
-    return both.groupBy(*left.columns).agg(F.sum("_n").alias("surplus")).filter(F.col("surplus") != 0)
+    digest = F.sha2(F.to_json(F.struct(*left.columns), {"ignoreNullFields": "false"}), 256).alias("_digest")
+    both = left.select(digest, F.lit(1).alias("_n")).unionAll(right.select(digest, F.lit(-1).alias("_n")))
+    found = both.groupBy("_digest").agg(F.sum("_n").alias("surplus")).filter(F.col("surplus") != 0)
+    rows = left.unionByName(right).withColumn("_digest", digest)
+    return rows.join(found, "_digest").drop("_digest").distinct()
 
 
 def parent_consistency(dataset_compounds: DataFrame, hierarchy: DataFrame, structures: DataFrame) -> DataFrame:

@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom import schema as s
-from pairloom.operators.interaction import is_drug
-
 # The counted columns with their descriptions, and the row subsets by interaction class.
 COUNTED = {
     "parent_molregno": "compound ID",
@@ -34,26 +32,38 @@ def _small_frame(spark: SparkSession, columns: list[str], subsets: list[str]) ->
     return spark.createDataFrame(rows, "column STRING, column_description STRING, subset_type STRING, slot INT")
 
 
+SUBSETS_PER_NUMBER = 62  # bits of a long below its sign
+
+
+def _bits(conditions: list[Column]) -> Column:
+    out = F.lit(0).cast("long")
+    for i, condition in enumerate(conditions):
+        out = out.bitwiseOR(F.when(condition, F.lit(1 << i)).otherwise(F.lit(0)).cast("long"))
+    return out
+
+
 def distinct_counts(df: DataFrame, columns: list[str], subsets: Mapping[str, Column]) -> DataFrame:
-    """Distinct non-NULL values of each column within each subset (63 at most).
+    """Distinct non-NULL values of each column within each subset.
 
     A row is repeated once per column, not once per column and subset: its subsets travel as bits of
-    one number. The values are combined before the shuffle, so a value on most rows is no hot spot.
+    numbers, SUBSETS_PER_NUMBER in each. The values are combined before the shuffle, so a value on most rows is
+    no hot spot.
     """
-    bits = [F.when(cond, F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, cond in enumerate(subsets.values())]
-    member = bits[0]
-    for bit in bits[1:]:
-        member = member.bitwiseOR(bit)
+    conditions = list(subsets.values())
+    parts = [conditions[i : i + SUBSETS_PER_NUMBER] for i in range(0, len(conditions), SUBSETS_PER_NUMBER)]
+    members = {f"member_{i}": _bits(part) for i, part in enumerate(parts)}
+    in_any = F.greatest(*members, F.lit(0)) != 0
+    in_subset = lambda i: F.col(f"member_{i // SUBSETS_PER_NUMBER}").bitwiseAND(F.lit(1 << i % SUBSETS_PER_NUMBER)) != 0
     entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
     values = (
-        df.select(member.alias("member"), F.explode(entries).alias("entry"))
-        .select("entry.column", "entry.value", "member")
-        .filter(F.col("value").isNotNull() & (F.col("member") != 0))
+        df.select(*(c.alias(name) for name, c in members.items()), F.explode(entries).alias("entry"))
+        .select("entry.column", "entry.value", *members)
+        .filter(F.col("value").isNotNull() & in_any)
         .groupBy("column", "value")
-        .agg(F.bit_or("member").alias("member"))
+        .agg(*(F.bit_or(name).alias(name) for name in members))
     )
     counts = values.groupBy("column").agg(
-        F.array(*[F.count_if(F.col("member").bitwiseAND(F.lit(1 << i)) != 0) for i in range(len(subsets))]).alias("n")
+        F.array(*[F.count_if(in_subset(i)) for i in range(len(subsets))]).alias("n")
     )
     wanted = _small_frame(df.sparkSession, columns, list(subsets))
     return wanted.join(counts, "column", "left").select(
@@ -90,10 +100,6 @@ def step_sizes(df: DataFrame, steps: Mapping[str, tuple[Column, Column]]) -> Dat
     return counts.groupBy(label.alias("step")).agg(*sizes)
 
 
-def drug_by_class() -> Column:
-    return is_drug()
-
-
 def drug_by_phase() -> Column:
     """Before pairs have a class, drugs are compounds in phase 4."""
     return F.col("max_phase") == 4

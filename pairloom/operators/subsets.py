@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from pairloom import schema as s
 from pairloom.config import PairConfig
 from pairloom.operators.interaction import is_drug, is_known
-from pairloom.operators.joins import HOT_ROWS, spread_join
+from pairloom.operators.joins import HOT_ROWS, SLOTS, slots, spread_join
 from pairloom.operators.known import KEEP_BINDING
+from pairloom.sinks.staging import stage
 
 GROUP = "tid_mutation"
 
@@ -47,17 +48,15 @@ def apply_scope(df: DataFrame, cfg: PairConfig) -> DataFrame:
     return df.withColumns(flags)
 
 
-def hot_groups(groups: DataFrame, rows: int | None, hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Groups too large for one task; None if a table of ``rows`` rows cannot have any."""
-    if rows is not None and rows <= hot_rows:
-        return None
-    return groups.filter(F.col("n_rows") > hot_rows).select(GROUP)
+def hot_groups(groups: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Groups too large for one task, with the slots their rows are dealt over."""
+    return groups.filter(F.col("n_rows") > hot_rows).select(GROUP, slots(F.col("n_rows"), hot_rows).alias(SLOTS))
 
 
-def subset_flags(df: DataFrame, cfg: PairConfig, rows: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add the six subset flags; ``df`` is read twice, so hand in a staged table (and its row count)."""
-    groups = group_qualification(df, cfg)
-    hot = hot_groups(groups, rows, hot_rows)
+def subset_flags(df: DataFrame, cfg: PairConfig, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Add the six subset flags; ``df`` is read twice, so hand in a staged table."""
+    groups = stage(group_qualification(df, cfg), "groups").frame
+    hot = hot_groups(groups, hot_rows)
     any_level = [name for suffix in s.SUFFIXES for name in s.flag_columns(suffix, cfg.min_pairs(suffix))[:1]]
     qualified = groups.filter(F.col(any_level[0]) | F.col(any_level[1])).drop("n_rows")
     return apply_scope(spread_join(df, qualified, GROUP, [s.PARENT], hot), cfg)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pairloom import schema as s
 from pairloom.functions.text import joined_labels
+from pairloom.sinks.staging import stage
 from pairloom.sources import Tables
 
 # Separator of class names, root of the hierarchy, the label that yields to any other.
@@ -14,26 +15,28 @@ CLASS_SEPARATOR = "|"
 ROOT_CLASS = 0
 UNCLASSIFIED = "Unclassified protein"
 
-HIERARCHY_SQL = """
-WITH RECURSIVE walk (protein_class_id, parent_id, class_level, path) AS (
-  SELECT protein_class_id, parent_id, class_level, array(pref_name) FROM {classes} WHERE parent_id IS NULL
-  UNION ALL
-  SELECT c.protein_class_id, c.parent_id, c.class_level, array_append(walk.path, c.pref_name)
-  FROM {classes} AS c JOIN walk ON c.parent_id = walk.protein_class_id
-)
-SELECT * FROM walk LIMIT ALL
-"""
-
 
 def class_hierarchy(tables: Tables) -> DataFrame:
     """Path of class names from the root, of any depth, and the names on levels 1 and 2.
 
-    ``LIMIT ALL`` lifts the row limit of recursive queries. The names stay an array until the end, so a
-    separator within a name does no harm.
+    Each round doubles the paths: the path of a class continues with that of the class where it ended. A tree of
+    depth d takes log2(d) rounds, each written to the shared folder. Classes that hang on no root are left out; a
+    cycle of classes is an error. The names stay an array until the end, so a separator within a name does no harm.
     """
-    classes = tables["protein_classification"]
-    walk = classes.sparkSession.sql(HIERARCHY_SQL, classes=classes)
-    return walk.filter(F.col("protein_class_id") != ROOT_CLASS).select(
+    classes = tables["protein_classification"].withColumn("up", F.col("parent_id"))
+    paths = stage(classes.withColumn("path", F.array("pref_name")), "classes")
+    for _ in range(max(1, paths.rows).bit_length() + 1):
+        above = paths.frame.select(
+            F.col("protein_class_id").alias("up"), F.col("up").alias("_up"), F.col("path").alias("_path")
+        )
+        done = paths.frame.filter(F.col("up").isNull())
+        longer = paths.frame.join(above, "up").withColumn("path", F.concat("_path", "path")).withColumn("up", F.col("_up"))
+        paths = stage(done.unionByName(longer.select(*done.columns)), "classes")
+        if paths.frame.filter(F.col("up").isNotNull()).isEmpty():
+            break
+    else:
+        raise ValueError("protein_classification has a cycle")
+    return paths.frame.filter(F.col("protein_class_id") != ROOT_CLASS).select(
         "protein_class_id",
         "parent_id",
         "class_level",

@@ -17,7 +17,7 @@ MIN_PAIRS = 20
 
 PROPERTIES = columns_of(s.PROPERTY_DDL) + columns_of(s.STRUCTURE_DDL)
 COMPOUND = columns_of(s.COMPOUND_DDL)
-TARGET = ["target_chembl_id", "target_pref_name", "target_type", "organism"]
+TARGET = ["target_public_id", "target_pref_name", "target_type", "organism"]
 AGGREGATES = columns_of(s.AGGREGATE_DDL)
 EFFICIENCIES = columns_of(s.EFFICIENCY_DDL)
 DESCRIPTORS = columns_of(s.DESCRIPTOR_DDL)
@@ -130,7 +130,7 @@ def flag_select(suffix: str) -> str:
     )
 
 
-COMPOUND_SELECT = "molregno AS parent_molregno, chembl_id AS parent_chemblid, pref_name AS parent_pref_name, " + listed(
+COMPOUND_SELECT = "molregno AS parent_molregno, public_id AS parent_public_id, pref_name AS parent_pref_name, " + listed(
     COMPOUND[3:]
 )
 
@@ -140,15 +140,15 @@ CTES = {
 SELECT assay_id, assay_type, tid, mutation FROM assays LEFT JOIN variant_sequences USING (variant_id)
 WHERE tid IN (SELECT tid FROM target_dictionary WHERE contains(upper(target_type), 'PROTEIN') AND tid <> 22226)""",
     "measured": """
-SELECT h.parent_molregno, x.tid, x.mutation, x.assay_type, a.pchembl_value, d.year, d.src_id
-FROM (SELECT * FROM activities WHERE pchembl_value IS NOT NULL AND potential_duplicate = 0
+SELECT h.parent_molregno, x.tid, x.mutation, x.assay_type, a.potency, d.year, d.src_id
+FROM (SELECT * FROM activities WHERE potency IS NOT NULL AND potential_duplicate = 0
       AND standard_relation = '=' AND data_validity_comment IS NULL) a
 JOIN molecule_hierarchy h USING (molregno) JOIN valid_assay x USING (assay_id) LEFT JOIN docs d USING (doc_id)
 WHERE h.parent_molregno IN (SELECT molregno FROM molecule_dictionary)""",
     "literature": "SELECT * FROM measured WHERE src_id = 1",
     "compound": f"SELECT {COMPOUND_SELECT} FROM molecule_dictionary",
     "target": """
-SELECT tid, chembl_id AS target_chembl_id, pref_name AS target_pref_name, target_type, nullif(organism, 'null') AS organism
+SELECT tid, public_id AS target_public_id, pref_name AS target_pref_name, target_type, nullif(organism, 'null') AS organism
 FROM target_dictionary""",
     "pair_bf": pair_side("BF", "('B', 'F')", "literature"),
     "pair_b": pair_side("B", "('B')", "literature"),
@@ -247,8 +247,8 @@ def all_sources(select: str) -> str:
 
 def described_rows(source: str) -> str:
     return f"""
-SELECT m.pchembl_value, m.assay_type, m.tid, m.mutation, m.year, {listed(COMPOUND, "c.")}, {text_keys("m")},
- t.chembl_id AS target_chembl_id, t.pref_name AS target_pref_name, t.target_type, t.organism
+SELECT m.potency, m.assay_type, m.tid, m.mutation, m.year, {listed(COMPOUND, "c.")}, {text_keys("m")},
+ t.public_id AS target_public_id, t.pref_name AS target_pref_name, t.target_type, t.organism
 FROM {source} m JOIN compound c ON c.parent_molregno = m.parent_molregno JOIN target_dictionary t ON t.tid = m.tid"""
 
 

@@ -25,7 +25,7 @@ from pairloom.operators import (
     subsets,
     targets,
 )
-from pairloom.operators.joins import HOT_ROWS, spread_join
+from pairloom.operators.joins import HOT_ROWS, hot_keys, spread_join
 from pairloom.operators.measurements import PHASE
 from pairloom.sinks.staging import Staged, stage
 from pairloom.sources import Tables
@@ -134,8 +134,8 @@ def full_table(pairs: Staged, tables: Tables, cfg: PairConfig, hot_rows: int = H
     Flags and target columns depend on target and mutation, so one lookup brings both. It comes before
     the wide compound columns, which are then shuffled once.
     """
-    groups = subsets.group_qualification(pairs.frame, cfg, keep=[s.TID])
-    hot = subsets.hot_groups(groups, pairs.rows, hot_rows)
+    groups = stage(subsets.group_qualification(pairs.frame, cfg, keep=[s.TID]), "groups").frame
+    hot = subsets.hot_groups(groups, hot_rows)
     lookup = groups.join(target_profile(tables), s.TID, "left").drop(s.TID, "n_rows")
     located = spread_join(pairs.frame, lookup, subsets.GROUP, [s.PARENT], hot)
     flagged = subsets.apply_scope(located, cfg)
@@ -143,23 +143,22 @@ def full_table(pairs: Staged, tables: Tables, cfg: PairConfig, hot_rows: int = H
     return cleaning.clean(described, s.full_ddl(cfg.min_pairs_bf, cfg.min_pairs_b, cfg.descriptors))
 
 
-def step_sizes(tables: Tables, cfg: PairConfig, measured_only: bool) -> DataFrame:
-    """Sizes after each step and of each subset, from one table of all pairs.
+def step_sizes(tables: Tables, cfg: PairConfig, measured_only: bool, pairs: Staged | None = None) -> DataFrame:
+    """Sizes after each step and of each subset, from one table of all pairs (``pairs``, if it is there already).
 
     Each step only removes rows, so a step is a condition on the rows of the first one; the pairs are
     computed once instead of once per step.
     """
     single = compounds.single_structure_compounds(tables).withColumn("_single", F.lit(True))
-    staged = stage(universe(tables, cfg), "universe")
+    staged = pairs or stage(universe(tables, cfg), "universe")
     marked = spread_join(staged.frame, single, s.PARENT, [s.TID, s.MUTATION], staged.hot(s.PARENT))
-    pairs = marked.withColumns(pair_keys())
+    pairs = stage(marked.withColumns(pair_keys()), "marked").frame
     related = F.col(s.INTERACTION) != s.OTHER_CLASS
     remaining = related & F.coalesce("_single", F.lit(False))
     kept = pairs.filter(remaining)
     groups = subsets.group_qualification(kept, cfg)
     flags = [f for x in s.SUFFIXES for f in s.flag_columns(x, cfg.min_pairs(x))]
-    hot = subsets.hot_groups(groups, staged.rows)
-    flagged = spread_join(pairs, groups.drop("n_rows"), subsets.GROUP, [s.PARENT], hot)
+    flagged = spread_join(pairs, groups.drop("n_rows"), subsets.GROUP, [s.PARENT], hot_keys(pairs, subsets.GROUP))
     flagged = subsets.apply_scope(flagged, cfg).withColumns({f: F.col(f) & remaining for f in flags})
 
     present = [stats.any_value(), F.lit(True), related, related, remaining, remaining, remaining]
@@ -207,7 +206,7 @@ def quality_summary(
 
 
 def single_structure_pairs(related: Staged, tables: Tables) -> Staged:
-    """The staged pairs without mixtures and compounds without a structure; the row count is a bound."""
+    """The staged pairs without mixtures and compounds without a structure, staged."""
     single = compounds.single_structure_compounds(tables)
     kept = spread_join(related.frame, single, s.PARENT, [s.TID, s.MUTATION], related.hot(s.PARENT), "left_semi")
-    return Staged(kept.withColumns(pair_keys()), related.rows)
+    return stage(kept.withColumns(pair_keys()), "single")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from pairloom import schema as s
 from pairloom.config import OutputConfig, PairConfig
-from pairloom.operators import known, stats, subsets, targets
+from pairloom.operators import interaction, known, quality, stats, subsets, targets
 from pairloom.plans import pair_table
 from pairloom.sinks.csv import write_csv, write_verified
 from pairloom.sinks.staging import stage
@@ -27,14 +27,23 @@ def require_no_violations(summary: DataFrame) -> None:
 
 def publish(tables: Tables, cfg: PairConfig, out: OutputConfig) -> list[str]:
     """Check the table, then write it, the wanted subsets with statistics, ambiguous targets and, if asked
-    for, the sizes after each step. The full table is staged, so each artifact is a filter on it.
+    for, the sizes after each step. The measurements are read once: all pairs (with sizes) or the related ones are
+    staged, mixtures included, and checks, sizes and the full table derive from that. The full table is staged too,
+    so each artifact is a filter on it.
 
     Returns the paths of the artifacts.
     """
     base = f"{out.path}/{out.release}_CTI_{cfg.source_label}"
-    pairs = pair_table.core(tables, cfg)
+    every = stage(pair_table.universe(tables, cfg), "universe") if out.write_sizes else None
+    kept = interaction.keep_related(every.frame) if every else pair_table.related_pairs(tables, cfg)
+    related = stage(kept, "related")
+    pairs = pair_table.single_structure_pairs(related, tables)
     full = stage(pair_table.full_table(pairs, tables, cfg), "full").frame
-    require_no_violations(pair_table.quality_summary(pairs, pairs, full, tables, cfg))
+    require_no_violations(pair_table.quality_summary(related, pairs, full, tables, cfg))
+    structures = pair_table.describe_compounds(related, tables, cfg).select(s.PARENT, s.SMILES)
+    require_no_violations(
+        quality.parent_consistency(structures, tables["molecule_hierarchy"], tables["compound_structures"])
+    )
     paths = []
 
     if out.write_full:
@@ -53,5 +62,5 @@ def publish(tables: Tables, cfg: PairConfig, out: OutputConfig) -> list[str]:
     if out.write_sizes:
         for name, measured_only in (("all", False), ("measured", True)):
             paths.append(f"{out.path}/debug_sizes_{name}")
-            write_csv(pair_table.step_sizes(tables, cfg, measured_only), paths[-1], out.delimiter)
+            write_csv(pair_table.step_sizes(tables, cfg, measured_only, every), paths[-1], out.delimiter)
     return paths

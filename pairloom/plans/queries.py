@@ -19,7 +19,7 @@ from pairloom.operators.known import IN_KNOWN, IN_KNOWN_MUTATION, KEEP_BINDING
 from pairloom.operators.measurements import CARRIED, THERAPEUTIC
 from pairloom.plans import pair_table
 from pairloom.plans.oracle import MIN_PAIRS
-from pairloom.sinks.csv import read_csv, write_csv
+from pairloom.sinks.csv import write_verified
 from pairloom.sinks.staging import shared_folder, stage
 from pairloom.sources import Tables
 from pairloom.sources.fixture_views import base_table, fixture_tables
@@ -95,7 +95,7 @@ def clean_dataset(tables: Tables) -> DataFrame:
 
 def subset_flags(tables: Tables) -> DataFrame:
     pairs = pair_table.core(tables, CONFIG)
-    flagged = subsets.subset_flags(pairs.frame, CONFIG, pairs.rows)
+    flagged = subsets.subset_flags(pairs.frame, CONFIG)
     names = [f for x in s.SUFFIXES for f in s.flag_columns(x, CONFIG.min_pairs(x))]
     return flagged.select(s.ROW_KEY, *names)
 
@@ -132,8 +132,7 @@ def dq_summary(tables: Tables) -> DataFrame:
 def csv_roundtrip(tables: Tables) -> DataFrame:
     full = pair_table.full_table(pair_table.core(tables, CONFIG), tables, CONFIG)
     path = f"{shared_folder(full.sparkSession)}/roundtrip-{uuid.uuid4().hex}"
-    write_csv(full, path)
-    return read_csv(full.sparkSession, path, full.schema)
+    return write_verified(stage(full, "full").frame, path)
 
 
 def smiles_descriptors(tables: Tables) -> DataFrame:

@@ -7,17 +7,17 @@ from __future__ import annotations
 # ---------------------------------------------------------------------------
 INPUT_DDL = {
     "activities": (
-        "molregno BIGINT, assay_id BIGINT, doc_id BIGINT, pchembl_value DOUBLE, potential_duplicate INT, "
+        "molregno BIGINT, assay_id BIGINT, doc_id BIGINT, potency DOUBLE, potential_duplicate INT, "
         "standard_relation STRING, data_validity_comment STRING"
     ),
     "molecule_hierarchy": "molregno BIGINT, parent_molregno BIGINT",
     "molecule_dictionary": (
-        "molregno BIGINT, chembl_id STRING, pref_name STRING, max_phase DOUBLE, first_approval INT, usan_year INT, "
+        "molregno BIGINT, public_id STRING, pref_name STRING, max_phase DOUBLE, first_approval INT, usan_year INT, "
         "black_box_warning INT, prodrug INT, oral INT, parenteral INT, topical INT"
     ),
     "assays": "assay_id BIGINT, assay_type STRING, tid BIGINT, variant_id BIGINT",
     "variant_sequences": "variant_id BIGINT, mutation STRING",
-    "target_dictionary": "tid BIGINT, chembl_id STRING, pref_name STRING, target_type STRING, organism STRING",
+    "target_dictionary": "tid BIGINT, public_id STRING, pref_name STRING, target_type STRING, organism STRING",
     "docs": "doc_id BIGINT, year INT, src_id INT",
     "drug_mechanism": "molregno BIGINT, tid BIGINT, disease_efficacy INT",
     "target_relations": "tid BIGINT, relationship STRING, related_tid BIGINT",
@@ -49,19 +49,19 @@ def columns_of(ddl: str) -> list[str]:
 # The columns of the result, in order.
 # ---------------------------------------------------------------------------
 COMPOUND_DDL = (
-    "parent_molregno BIGINT, parent_chemblid STRING, parent_pref_name STRING, max_phase DOUBLE, first_approval INT, "
+    "parent_molregno BIGINT, parent_public_id STRING, parent_pref_name STRING, max_phase DOUBLE, first_approval INT, "
     "usan_year INT, black_box_warning INT, prodrug INT, oral INT, parenteral INT, topical INT"
 )
 TARGET_DDL = (
-    "tid BIGINT, mutation STRING, target_chembl_id STRING, target_pref_name STRING, target_type STRING, "
+    "tid BIGINT, mutation STRING, target_public_id STRING, target_pref_name STRING, target_type STRING, "
     "organism STRING"
 )
 KEY_DDL = "tid_mutation STRING, cpd_target_pair STRING, cpd_target_pair_mutation STRING"
 AGGREGATE_DDL = (
-    "pchembl_value_mean_BF DOUBLE, pchembl_value_max_BF DOUBLE, pchembl_value_median_BF DOUBLE, "
-    "first_publication_cpd_target_pair_BF INT, first_publication_cpd_target_pair_w_pchembl_BF INT, "
-    "pchembl_value_mean_B DOUBLE, pchembl_value_max_B DOUBLE, pchembl_value_median_B DOUBLE, "
-    "first_publication_cpd_target_pair_B INT, first_publication_cpd_target_pair_w_pchembl_B INT"
+    "potency_mean_BF DOUBLE, potency_max_BF DOUBLE, potency_median_BF DOUBLE, "
+    "first_publication_cpd_target_pair_BF INT, first_publication_cpd_target_pair_w_potency_BF INT, "
+    "potency_mean_B DOUBLE, potency_max_B DOUBLE, potency_median_B DOUBLE, "
+    "first_publication_cpd_target_pair_B INT, first_publication_cpd_target_pair_w_potency_B INT"
 )
 INTERACTION_DDL = "therapeutic_target BOOLEAN, DTI STRING"
 FIRST_PUBLICATION_DDL = "first_publication_cpd INT"
@@ -77,7 +77,7 @@ DESCRIPTOR_DDL = (
 MEMBERSHIP_DDL = "pair_mutation_in_dm_table BOOLEAN, pair_in_dm_table BOOLEAN, keep_for_binding BOOLEAN"
 
 # Names used on their own.
-VALUE = "pchembl_value"
+VALUE = "potency"
 PARENT = "parent_molregno"
 TID = "tid"
 MUTATION = "mutation"
@@ -103,7 +103,7 @@ def first_year_column(suffix: str) -> str:
 
 
 def first_measured_year_column(suffix: str) -> str:
-    return f"first_publication_cpd_target_pair_w_{VALUE.removesuffix('_value')}_{suffix}"
+    return f"first_publication_cpd_target_pair_w_potency_{suffix}"
 
 
 def flag_columns(suffix: str, min_pairs: int) -> list[str]:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from dataclasses import dataclass
 
@@ -13,24 +12,11 @@ from pairloom.operators.joins import HOT_ROWS, hot_keys
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
-_local_folders: dict[str, str] = {}  # by application, for local sessions without the setting
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder set as ``spark.checkpoint.dir``.
-
-    Where it is unset, a local session gets a temporary folder of its own; a cluster must set it, as its
-    executors share no local disk.
-    """
+    """The folder set as ``spark.checkpoint.dir``; where it is unset, one in the warehouse of the session, which
+    executors share as well."""
     folder = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
-    application = spark.sparkContext.applicationId
-    if application not in _local_folders:
-        _local_folders[application] = tempfile.mkdtemp(prefix="pairloom-")
-    return _local_folders[application]
+    return folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged"
 
 
 @dataclass(frozen=True)
@@ -40,9 +26,9 @@ class Staged:
     frame: DataFrame
     rows: int
 
-    def hot(self, key: str, min_rows: int = HOT_ROWS) -> DataFrame | None:
-        """Hot values of ``key``; None if the table is too small to have any."""
-        return hot_keys(self.frame, key, min_rows) if self.rows > min_rows else None
+    def hot(self, key: str, min_rows: int = HOT_ROWS) -> DataFrame:
+        """Hot values of ``key`` with their slots, found by counting, whatever the size of the table."""
+        return hot_keys(self.frame, key, min_rows)
 
 
 def stage(df: DataFrame, name: str) -> Staged:

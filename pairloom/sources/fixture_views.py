@@ -1,8 +1,8 @@
 """The test tables (star schema) seen as the 18 input tables.
 
 One text per view, in the SQL that Spark and DuckDB share; ``{name}`` stands for a base table.
-Every view is computed over the whole base table. Where a dimension leaves out rows (properties,
-structures, components), it does so that outer joins meet absent keys; no measurement is left out.
+Every view has a row for each row of its base table (DISTINCT ones for each key). Where outer joins should meet
+absent keys (properties, structures, components), a part of the rows has a negative key that nothing else has.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ ASSAY_ID = (
 
 VIEWS = {
     "molecule_dictionary": """
-SELECT p_partkey AS molregno, 'CPD' || p_partkey AS chembl_id, p_name AS pref_name,
+SELECT p_partkey AS molregno, 'CPD' || p_partkey AS public_id, p_name AS pref_name,
  CAST(CASE p_size % 8 WHEN 0 THEN 4 WHEN 1 THEN 3 WHEN 2 THEN 2 WHEN 3 THEN 1 WHEN 4 THEN 0.5 WHEN 5 THEN -1 END AS DOUBLE) AS max_phase,
  CASE WHEN p_size % 8 = 0 THEN 1950 + p_size END AS first_approval, CASE WHEN p_size % 4 = 0 THEN 1945 + p_size END AS usan_year,
  p_size % 2 AS black_box_warning, CASE WHEN p_size % 8 > 5 THEN -1 ELSE p_size % 2 END AS prodrug,
@@ -44,13 +44,13 @@ SELECT s_suppkey * 10 + 1 AS variant_id, 'V' || (600 + s_suppkey % 7) || 'E' AS
 FROM {supplier}""",
     "activities": f"""
 SELECT l_partkey AS molregno, {ASSAY_ID}, l_orderkey AS doc_id,
- CASE WHEN l_discount >= 0.095 THEN NULL ELSE (400 + 12 * l_quantity) / 100 END AS pchembl_value,
+ CASE WHEN l_discount >= 0.095 THEN NULL ELSE (400 + 12 * l_quantity) / 100 END AS potency,
  CASE WHEN l_tax >= 0.075 THEN 1 ELSE 0 END AS potential_duplicate,
  CASE WHEN l_linestatus = 'O' AND l_tax < 0.005 THEN '>' ELSE '=' END AS standard_relation,
  CASE WHEN l_quantity > 48 THEN 'Outside typical range' END AS data_validity_comment
 FROM {{lineitem}}""",
     "target_dictionary": """
-SELECT s_suppkey AS tid, 'TGT' || s_suppkey AS chembl_id, s_name AS pref_name,
+SELECT s_suppkey AS tid, 'TGT' || s_suppkey AS public_id, s_name AS pref_name,
  CASE WHEN s_suppkey % 8 < 3 THEN 'SINGLE PROTEIN' WHEN s_suppkey % 8 = 3 THEN 'PROTEIN FAMILY'
       WHEN s_suppkey % 8 = 4 THEN 'PROTEIN COMPLEX' WHEN s_suppkey % 8 = 5 THEN 'CHIMERIC PROTEIN'
       WHEN s_suppkey % 16 = 6 THEN 'PROTEIN COMPLEX GROUP' WHEN s_suppkey % 16 = 14 THEN 'PROTEIN-PROTEIN INTERACTION'
@@ -58,14 +58,15 @@ SELECT s_suppkey AS tid, 'TGT' || s_suppkey AS chembl_id, s_name AS pref_name,
  CASE WHEN s_nationkey = 3 THEN 'null' ELSE n_name END AS organism
 FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey""",
     "target_relations": """
-SELECT s_suppkey AS tid, CASE WHEN s_suppkey % 8 < 3 THEN 'EQUIVALENT TO' ELSE 'SUPERSET OF' END AS relationship,
+SELECT s_suppkey AS tid, CASE WHEN s_suppkey % 8 < 3 AND s_suppkey % 3 > s_suppkey % 8 THEN 'SUBSET OF'
+  WHEN s_suppkey % 8 < 3 THEN 'EQUIVALENT TO' ELSE 'SUPERSET OF' END AS relationship,
  s_suppkey - s_suppkey % 8 + s_suppkey % 3 AS related_tid
-FROM {supplier} WHERE s_suppkey % 8 > 2 OR s_suppkey % 3 <= s_suppkey % 8
-UNION ALL SELECT s_suppkey, 'OVERLAPS WITH', s_suppkey - 1 FROM {supplier} WHERE s_suppkey > 0""",
+FROM {supplier}
+UNION ALL SELECT s_suppkey, 'OVERLAPS WITH', s_suppkey - 1 FROM {supplier}""",
     "drug_mechanism": """
 SELECT l_partkey AS molregno, CASE WHEN l_tax >= 0.075 THEN NULL ELSE l_suppkey END AS tid,
- CASE WHEN l_discount >= 0.085 THEN 0 ELSE 1 END AS disease_efficacy
-FROM {lineitem} WHERE l_linenumber = 1 AND l_quantity >= 40 AND l_suppkey % 3 <> 1""",
+ CASE WHEN l_discount >= 0.085 OR l_linenumber <> 1 OR l_quantity < 40 OR l_suppkey % 3 = 1 THEN 0 ELSE 1 END AS disease_efficacy
+FROM {lineitem}""",
     "protein_classification": """
 SELECT CAST(0 AS BIGINT) AS protein_class_id, CAST(NULL AS BIGINT) AS parent_id, 0 AS class_level, 'Protein class' AS pref_name
 UNION ALL SELECT CAST(r_regionkey + 1 AS BIGINT), CAST(0 AS BIGINT), 1, CASE WHEN r_regionkey = 4 THEN 'Unclassified protein' ELSE r_name END FROM {region}
@@ -73,18 +74,19 @@ UNION ALL SELECT CAST(n_nationkey + 101 AS BIGINT), CAST(n_regionkey + 1 AS BIGI
 UNION ALL SELECT s_suppkey + 1001, CAST(s_nationkey + 101 AS BIGINT), 3, s_name FROM {supplier}""",
     "component_class": """
 SELECT s_suppkey AS component_id, s_suppkey + 1001 AS protein_class_id FROM {supplier}
-UNION ALL SELECT s_suppkey, 101 + s_suppkey % 25 FROM {supplier} WHERE s_suppkey % 4 = 0
-UNION ALL SELECT s_suppkey, CAST(5 AS BIGINT) FROM {supplier} WHERE s_suppkey % 5 = 0
-UNION ALL SELECT s_suppkey, CAST(0 AS BIGINT) FROM {supplier} WHERE s_suppkey % 10 = 3""",
+UNION ALL SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN 101 + s_suppkey % 25 ELSE -1 END FROM {supplier}
+UNION ALL SELECT s_suppkey, CAST(CASE WHEN s_suppkey % 5 = 0 THEN 5 ELSE -1 END AS BIGINT) FROM {supplier}
+UNION ALL SELECT s_suppkey, CAST(CASE WHEN s_suppkey % 10 = 3 THEN 0 ELSE -1 END AS BIGINT) FROM {supplier}""",
     "component_sequences": """
 SELECT s_suppkey AS component_id FROM {supplier}""",
     "target_components": """
-SELECT s_suppkey AS tid, s_suppkey AS component_id FROM {supplier} WHERE s_suppkey % 9 <> 8
-UNION ALL SELECT s_suppkey, s_suppkey - s_suppkey % 8 FROM {supplier} WHERE s_suppkey % 8 > 2 AND s_suppkey % 9 <> 8""",
+SELECT s_suppkey AS tid, CASE WHEN s_suppkey % 9 = 8 THEN -1 - s_suppkey ELSE s_suppkey END AS component_id FROM {supplier}
+UNION ALL SELECT s_suppkey, CASE WHEN s_suppkey % 8 > 2 AND s_suppkey % 9 <> 8 THEN s_suppkey - s_suppkey % 8 ELSE -1 - s_suppkey END
+FROM {supplier}""",
     "compound_records": """
 SELECT DISTINCT l_orderkey AS doc_id, l_partkey AS molregno FROM {lineitem}""",
     "compound_properties": """
-SELECT p_partkey AS molregno, p_retailprice / 2 AS mw_freebase,
+SELECT CASE WHEN p_partkey % 13 = 0 THEN -1 - p_partkey ELSE p_partkey END AS molregno, p_retailprice / 2 AS mw_freebase,
  CASE WHEN p_partkey % 31 = 0 THEN NULL ELSE (p_partkey % 90 - 20) / CAST(10 AS DOUBLE) END AS alogp,
  p_size % 11 AS hba, p_size % 6 AS hbd,
  CASE WHEN p_size % 10 = 0 THEN CAST(0 AS DOUBLE) ELSE p_size * CAST(2.5 AS DOUBLE) END AS psa, p_size % 9 AS rtb,
@@ -97,21 +99,21 @@ SELECT p_partkey AS molregno, p_retailprice / 2 AS mw_freebase,
  p_size / CAST(64 AS DOUBLE) AS qed_weighted, p_retailprice / 4 AS mw_monoisotopic,
  'C' || p_size || 'H' || (p_partkey % 40) AS full_molformula,
  p_size % 12 AS hba_lipinski, p_size % 7 AS hbd_lipinski, p_size % 3 AS num_lipinski_ro5_violations
-FROM {part} WHERE p_partkey % 13 <> 0""",
+FROM {part}""",
     "compound_structures": """
-SELECT p_partkey AS molregno, 'InChI=1S/' || p_partkey AS standard_inchi, 'KEY' || p_partkey AS standard_inchi_key,
+SELECT CASE WHEN p_partkey % 11 = 0 THEN -1 - p_partkey ELSE p_partkey END AS molregno, 'InChI=1S/' || p_partkey AS standard_inchi, 'KEY' || p_partkey AS standard_inchi_key,
  CASE WHEN p_partkey % 19 = 0 THEN 'CC(=O)[O-].[Na+]' WHEN p_partkey % 23 = 0 THEN ''
       ELSE CASE p_size % 5 WHEN 0 THEN 'COc1ccc2[nH]cc(CCN)c2c1Cl' WHEN 1 THEN 'CC(C)Cc1ccc(cc1)[C@@H](C)C(=O)O'
            WHEN 2 THEN 'c1ccc2ncccc2c1' WHEN 3 THEN 'CCO' ELSE 'Cn1cnc2c1c(=O)n(C)c(=O)n2C' END END AS canonical_smiles
-FROM {part} WHERE p_partkey % 11 <> 0""",
+FROM {part}""",
     "atc_classification": """
 SELECT DISTINCT p_brand AS level5,
  substr('ABCDGHJLMNPRSV', 1 + CAST(replace(p_brand, 'Brand#', '') AS INT) % 14, 1) AS level1,
  'ATC group ' || CAST(replace(p_brand, 'Brand#', '') AS INT) % 14 AS level1_description
 FROM {part}""",
     "molecule_atc_classification": """
-SELECT p_partkey AS molregno, p_brand AS level5 FROM {part} WHERE p_size % 8 = 0
-UNION ALL SELECT p_partkey, 'Brand#' || (1 + p_partkey % 20) FROM {part} WHERE p_size % 16 = 0""",
+SELECT p_partkey AS molregno, CASE WHEN p_size % 8 = 0 THEN p_brand ELSE 'unlisted' END AS level5 FROM {part}
+UNION ALL SELECT p_partkey, CASE WHEN p_size % 16 = 0 THEN 'Brand#' || (1 + p_partkey % 20) ELSE 'unlisted' END FROM {part}""",
 }
 
 # Declared, so that no job reads file footers to infer them.

@@ -22,7 +22,7 @@ def compounds(*ids: int, phase: dict[int, float] | None = None, parents: dict[in
     """Dictionary, hierarchy, structures and properties of plain compounds."""
     phase, parents = phase or {}, parents or {}
     return {
-        "molecule_dictionary": [{"molregno": i, "chembl_id": f"C{i}", "max_phase": phase.get(i)} for i in ids],
+        "molecule_dictionary": [{"molregno": i, "public_id": f"C{i}", "max_phase": phase.get(i)} for i in ids],
         "molecule_hierarchy": [{"molregno": i, "parent_molregno": parents.get(i, i)} for i in ids],
         "compound_properties": [
             {"molregno": i, "mw_freebase": 250.0, "alogp": 1.5, "psa": 40.0, "heavy_atoms": 20} for i in ids
@@ -35,7 +35,7 @@ def targets(*ids: int, types: dict[int, str] | None = None, **columns) -> dict:
     types = types or {}
     return {
         "target_dictionary": [
-            {"tid": i, "chembl_id": f"T{i}", "pref_name": f"target {i}", "target_type": types.get(i, "SINGLE PROTEIN")}
+            {"tid": i, "public_id": f"T{i}", "pref_name": f"target {i}", "target_type": types.get(i, "SINGLE PROTEIN")}
             | columns
             for i in ids
         ]
@@ -52,7 +52,7 @@ def measurements(*rows: tuple) -> dict:
                 "molregno": molregno,
                 "assay_id": i,
                 "doc_id": i,
-                "pchembl_value": value,
+                "potency": value,
                 "potential_duplicate": 0,
                 "standard_relation": "=",
             }

@@ -28,11 +28,12 @@ def test_spread_join_equals_plain_join(spark, how):
     df, names = skewed(spark), lookup(spark)
     hot = hot_keys(df, "key", 300)
     assert [r.key for r in hot.collect()] == [7]
-    got = spread_join(df, names, "key", ["id"], hot, how, salts=8)
+    got = spread_join(df, names, "key", ["id"], hot, how)
     want = df.join(names, "key", how)
     assert got.columns == want.columns
     assert sorted(got.collect(), key=repr) == sorted(want.collect(), key=repr)
-    small = spread_join(df, names, "key", ["id"], None, how)
+    assert [r["_slots"] for r in hot.collect()] == [2]
+    small = spread_join(df, names, "key", ["id"], hot_keys(df, "key"), how)
     assert sorted(small.collect(), key=repr) == sorted(want.collect(), key=repr)
 
 
@@ -44,7 +45,7 @@ def test_hot_rows_are_spread(spark):
         spark.conf.set(k, v)
     try:
         df, names = skewed(spark), lookup(spark)
-        joined = spread_join(df, names, "key", ["id"], hot_keys(df, "key", 300), salts=8)
+        joined = spread_join(df, names, "key", ["id"], hot_keys(df, "key", 50))
         parts = joined.filter(F.col("key") == 7).select(F.spark_partition_id().alias("p")).distinct().count()
     finally:
         for k, v in before.items():
@@ -70,7 +71,7 @@ def test_enrich_computes_once_per_distinct_key(spark):
 
     for hot_rows in (50, 10_000):
         seen.value = 0
-        got = enrich_by_key(df, "text", per_batch("text", length, "n BIGINT"), ["id"], hot_rows, salts=4).collect()
+        got = enrich_by_key(df, "text", per_batch("text", length, "n BIGINT"), ["id"], hot_rows).collect()
         assert {r.id: r.n for r in got} == {i: None if t is None else len(t) for i, t in rows}
         assert len(got) == len(rows)
         assert seen.value == 101

@@ -52,12 +52,12 @@ def test_measurements_are_read_once_with_their_columns_only(universe):
 def test_measurements_are_shuffled_per_join_and_folded_before_the_pairs(universe):
     """Three joins, the folding, the pairs: five shuffles on the way of the measurements."""
     for keys in (
-        "(assay_id, 8)", "(doc_id, 8)", "(molregno, 8)", "(parent_molregno, tid, mutation, max_phase, true, pchembl_value, 8)"
+        "(assay_id, 8)", "(doc_id, 8)", "(molregno, 8)", "(parent_molregno, tid, mutation, max_phase, true, potency, 8)"
     ):
         assert lines(universe, "Exchange hashpartitioning" + keys)
     assert len(lines(universe, "Exchange hashpartitioning(parent_molregno, tid, 8)")) == 1
     assert not lines(universe, "Exchange hashpartitioning(parent_molregno, tid, mutation, 8)")
-    assert len(lines(universe, "partial_count(1)")) == 1
+    assert len(lines(universe, "partial_count(1)", "potency")) == 1
 
 
 def test_no_cross_joins_and_no_python(universe, tables):
@@ -69,10 +69,10 @@ def test_no_cross_joins_and_no_python(universe, tables):
 
 def test_subset_flags_use_no_window_and_read_few_columns(tables):
     pairs = pair_table.core(tables, CONFIG)
-    flagged = subsets.subset_flags(pairs.frame, CONFIG, pairs.rows).select("cpd_target_pair_mutation", "BF_20")
+    flagged = subsets.subset_flags(pairs.frame, CONFIG).select("cpd_target_pair_mutation", "BF_20")
     assert not lines(flagged, "Window")
     scans = lines(flagged, "FileScan")
-    assert len(scans) == 2 and all("median" not in scan for scan in scans)
+    assert len(scans) == 3 and all("median" not in scan for scan in scans)  # pairs, and twice the staged groups
 
 
 def test_distinct_counts_expand_once_and_shuffle_combined_values(spark, tables):
@@ -92,8 +92,8 @@ def test_filters_reach_the_scan(spark, tables, tmp_path):
         tables[name].write.parquet(f"{tmp_path}/{name}")
     stored = read_tables(spark, str(tmp_path))
     rows = measurements.measurement_rows(stored, CONFIG, measurements.assay_targets(stored, CONFIG))
-    (scan,) = lines(rows, "FileScan", "pchembl_value")
-    for pushed in ("IsNotNull(pchembl_value)", "EqualTo(potential_duplicate,0)", "EqualTo(standard_relation,=)", "IsNull(data_validity_comment)"):
+    (scan,) = lines(rows, "FileScan", "potency")
+    for pushed in ("IsNotNull(potency)", "EqualTo(potential_duplicate,0)", "EqualTo(standard_relation,=)", "IsNull(data_validity_comment)"):
         assert pushed in scan
     (scan,) = lines(rows, "FileScan", "src_id")
     assert "EqualTo(src_id,1)" in scan

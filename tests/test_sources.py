@@ -16,17 +16,17 @@ ROWS = {
     "variant_sequences": 10,
     "activities": 6000,
     "target_dictionary": 10,
-    "target_relations": 18,
-    "drug_mechanism": 130,
+    "target_relations": 20,
+    "drug_mechanism": 6000,
     "protein_classification": 41,
-    "component_class": 16,
+    "component_class": 40,
     "component_sequences": 10,
-    "target_components": 14,
+    "target_components": 20,
     "compound_records": 5942,
-    "compound_properties": 184,
-    "compound_structures": 181,
+    "compound_properties": 200,
+    "compound_structures": 200,
     "atc_classification": 25,
-    "molecule_atc_classification": 43,
+    "molecule_atc_classification": 400,
 }
 
 
@@ -51,3 +51,19 @@ def test_missing_column_is_named(spark):
     tables = Tables(lambda name: spark.range(1).withColumnRenamed("id", "molregno"))
     with pytest.raises(ValueError, match="molecule_hierarchy lacks the columns .*parent_molregno"):
         tables["molecule_hierarchy"]
+
+
+def test_source_names_and_types(spark, tmp_path):
+    """Columns under other names, decimals for doubles, whole doubles for integers; a fraction is an error."""
+    own = "SELECT 1.0D AS molregno, 2L AS assay, 3 AS doc_id, 6.25BD AS value, 0 AS potential_duplicate, '=' AS standard_relation, CAST(NULL AS STRING) AS data_validity_comment"
+    spark.sql(own).write.parquet(f"{tmp_path}/activities")
+    names = {"assay": "assay_id", "value": "potency"}
+    read = read_tables(spark, str(tmp_path), rename=names)["activities"]
+    assert [f.dataType.simpleString() for f in read.schema][:4] == ["bigint", "bigint", "bigint", "double"]
+    assert read.first()[:4] == (1, 2, 3, 6.25)
+    spark.sql(own.replace("1.0D", "1.5D")).write.parquet(f"{tmp_path}/lossy/activities")
+    with pytest.raises(Exception, match="activities.molregno holds 1.5"):
+        read_tables(spark, f"{tmp_path}/lossy", rename=names)["activities"].collect()
+    spark.sql(own).write.option("header", "true").csv(f"{tmp_path}/text/activities")
+    text = read_tables(spark, f"{tmp_path}/text", "csv", rename=names, header="true")["activities"]
+    assert text.select("assay_id", "potency").first() == (2, 6.25)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pairloom import schema as s
 from pairloom.config import PairConfig
 from pairloom.functions.text import pair_keys
-from pairloom.operators import cleaning, known, quality, subsets
+from pairloom.operators import cleaning, known, quality, stats, subsets
 from pairloom.operators.targets import class_hierarchy, target_classes
 from pairloom.plans import pair_table
 
@@ -61,7 +61,7 @@ def test_validity_rules(spark):
     parts = compounds(1) | targets(5, 6) | measurements(*[(1, 5, 5.0)] * 6, (1, 6, 5.0))
     for i, change in enumerate(
         [
-            {"pchembl_value": None},
+            {"potency": None},
             {"potential_duplicate": 1},
             {"standard_relation": ">"},
             {"data_validity_comment": "no"},
@@ -250,6 +250,20 @@ def test_hierarchy_of_any_depth(spark):
     assert (rows[51].l1, rows[51].l2) == ("a|b", "leaf")
 
 
+def test_hierarchy_of_500_levels_and_cycles(spark):
+    names = {0: (None, "root")} | {i: (i - 1, f"n{i}") for i in range(1, 501)} | {900: (901, "orphan")}
+    rows = {r.protein_class_id: r for r in class_hierarchy(class_tables(spark, names, {})).collect()}
+    assert len(rows) == 500 and rows[500].names.count("|") == 500 and rows[500].l2 == "n2"
+    with pytest.raises(ValueError, match="cycle"):
+        class_hierarchy(class_tables(spark, {0: (None, "root"), 1: (2, "a"), 2: (1, "b")}, {}))
+
+
+def test_distinct_counts_of_many_subsets(spark):
+    df = spark.range(200).withColumn("k", F.col("id") % 50)
+    rows = stats.distinct_counts(df, ["k"], {f"s{i}": F.col("k") < i for i in range(130)}).collect()
+    assert {r.subset_type: r.counts for r in rows} == {f"s{i}": min(i, 50) for i in range(130)}
+
+
 def test_target_labels(spark):
     names = {
         0: (None, "root"),
@@ -280,7 +294,7 @@ def flag_frame(spark, rows):
     return spark.createDataFrame(rows, ddl)
 
 
-@pytest.mark.parametrize("hot_rows", [0, 2, 1000])
+@pytest.mark.parametrize("hot_rows", [1, 2, 1000])
 def test_subset_flags(spark, hot_rows):
     """Group 5: two measured rows each way, but its known pair is outside the binding scope.
     Group 6: one measured row only. Group 7: enough for BF alone, with a drug."""
@@ -296,7 +310,7 @@ def test_subset_flags(spark, hot_rows):
             (2, "7", "DT", False, 5.0, None),
         ],
     )
-    flagged = subsets.subset_flags(df, CFG, rows=df.count(), hot_rows=hot_rows)
+    flagged = subsets.subset_flags(df, CFG, hot_rows=hot_rows)
     names = s.flag_columns("BF", 2) + s.flag_columns("B", 2)
     got = {(r.parent_molregno, r.tid_mutation): [int(r[n]) for n in names] for r in flagged.collect()}
     assert got == {
