@@ -100,17 +100,3 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
     least = written(least.groupBy("root").agg(F.min("least").alias("component_id")), "least")
     named = written(rooted.join(least, "root").select("fp", "component_id"), "components")
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
-
-
-def one_of_each(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
-    """One row of each group of near-duplicates, with the smallest doc_id (rows without one come last; among equal
-    ids the one whose text hash is smallest), all columns unchanged."""
-    prints, rooted = grouped(docs, shingle_words)
-    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
-    best = prints.groupBy("fp").agg(F.min(order).alias("best")).join(rooted, "fp")
-    best = best.groupBy("root").agg(F.min("best").alias("best")).select("best.*")
-    best = written(best.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")), "kept")
-    rows = docs.withColumn("_doc", F.col("doc_id").cast("long")).withColumn("_hash", F.xxhash64("text"))
-    chosen = F.expr("_doc <=> kept_doc AND _hash = kept_hash")
-    first = rows.join(best.toDF("kept_doc", "kept_hash"), chosen, "left_semi")
-    return first.dropDuplicates(["_doc", "_hash"]).select(*docs.columns)

@@ -9,7 +9,7 @@ import pytest
 from conftest import ODD, ordered
 from pyspark.sql import functions as F
 
-from pairloom.llm import passages, simhash
+from pairloom.llm import near_copies, passages, simhash
 from pairloom.llm.components import components
 
 OUT = ["doc_id", "n_words", "n_removed", "kept_sha256"]
@@ -52,7 +52,7 @@ def test_empty_tables(frame, spark):
     none = frame([(1, "x")]).filter("doc_id < 0")
     assert passages.without_repeats(none).count() == 0
     assert simhash.near_duplicates(none).count() == 0
-    assert simhash.one_of_each(none).count() == 0
+    assert near_copies.one_of_each(none).count() == 0
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
@@ -100,13 +100,36 @@ def test_one_of_each_group_stays(frame):
     rows = [(5, "one two three four"), (4, "ONE two three four"), (4, "ONE two three four"), (9, "something else entirely"),
             (None, "one two three four"), (None, "only without id"), (7, None), (8, "")]
     df = frame(rows)
-    kept = simhash.one_of_each(df)
+    kept = near_copies.one_of_each(df)
     assert kept.columns == df.columns
     assert ordered(kept.select("doc_id", "text").collect()) == ordered(
         [(4, "ONE two three four"), (9, "something else entirely"), (None, "only without id"), (7, None)]
     )
 
 
+def test_near_copies_at_the_bound():
+    assert near_copies.most_bits(1.0) == 0 and near_copies.most_bits(0.8) == 43
+
+
+def test_near_copies_form_groups_and_others_stay(frame):
+    rng = random.Random(6)
+    text = lambda n: [f"w{rng.randint(0, 3_000)}" for _ in range(n)]
+    rows, copies = [], []
+    for g in range(12):
+        base = text(rng.choice([120, 300, 700]))
+        rows.append((g, " ".join(base)))
+        for i in range(6):
+            words = list(base)
+            for _ in range(len(words) // 100):  # a word in a hundred changes: likeness 0.9
+                words[rng.randrange(len(words))] = f"v{rng.randint(0, 99)}"
+            copies.append((100 + 10 * g + i, " ".join(words)))
+    others = [(500 + i, " ".join(text(rng.choice([3, 8, 60, 300])))) for i in range(40)]
+    half = rows[0][1].split()[:60] + text(80)
+    kept = {r.doc_id for r in near_copies.one_of_each(frame(rows + copies + others + [(600, " ".join(half))])).collect()}
+    assert {d for d, _ in rows} <= kept and {d for d, _ in others} <= kept and 600 in kept
+    assert len([d for d, _ in copies if d in kept]) <= 1
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(0, 120)] + [(1000, 1000 + i) for i in range(1, 200)] + [(5, 5), (1, 0)]
     found = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
