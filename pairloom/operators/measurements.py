@@ -33,7 +33,8 @@ def parent_map(tables: Tables, compounds: DataFrame | None = None) -> DataFrame:
     parents = tables["molecule_dictionary"].select(F.col("molregno").alias(s.PARENT), PHASE)
     if compounds is not None:
         parents = parents.join(compounds, s.PARENT, "left_semi")
-    return tables["molecule_hierarchy"].join(parents, s.PARENT).select("molregno", s.PARENT, PHASE)
+    forms = salted_join(tables["molecule_hierarchy"], parents, s.PARENT, ["molregno"])
+    return forms.select("molregno", s.PARENT, PHASE)
 
 
 def assay_targets(
@@ -78,15 +79,14 @@ def measurement_rows(
         .filter(F.col("data_validity_comment").isNull())
         .select("molregno", "assay_id", "doc_id", s.VALUE)
     )
-    docs = tables["docs"]
+    years, located = tables["docs"], valid.join(assays, "assay_id")
     if cfg.literature_only:
-        docs, how = docs.filter(F.col("src_id") == LITERATURE_SOURCE), "inner"
+        years = years.filter(F.col("src_id") == LITERATURE_SOURCE)
+        dated = located.join(years.select("doc_id", "year"), "doc_id")
     else:
-        how = "left"
+        dated = sparse_lookup(located, years.select("doc_id", "year"), "doc_id", "molregno")
     return (
-        valid.join(assays, "assay_id")
-        .join(docs.select("doc_id", "year"), "doc_id", how)
-        .join(parent_map(tables, compounds), "molregno")
+        dated.join(parent_map(tables, compounds), "molregno")
         .select(*s.PAIR_MUTATION, "assay_type", s.VALUE, "year", *CARRIED)
     )
 

@@ -107,6 +107,23 @@ def flag_checks(cfg: PairConfig) -> dict[str, Column]:
     return checks
 
 
+#: Lookup tables with the key that must not repeat: a repeated row would repeat pairs.
+UNIQUE_KEYS = {
+    "molecule_dictionary": "molregno",
+    "molecule_hierarchy": "molregno",
+    "compound_properties": "molregno",
+    "compound_structures": "molregno",
+    "variant_sequences": "variant_id",
+    "target_dictionary": s.TID,
+}
+
+
+def repeated_keys(df: DataFrame, key: str, check: str) -> DataFrame:
+    """One row: how many values of ``key`` are on more than one row."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return counts.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(check).alias("check"), "violations")
+
+
 def bag_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows that do not occur equally often in both frames, with ``surplus`` of the left one.
 

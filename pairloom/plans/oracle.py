@@ -7,9 +7,6 @@ cell, correlated subset levels), not from the Spark plans, so that it checks the
 from __future__ import annotations
 
 from pairloom import schema as s
-from pairloom.functions import smiles as tokens
-from pairloom.operators import interaction, known, stats
-from pairloom.plans import pair_table
 from pairloom.schema import columns_of
 from pairloom.sources.fixture_views import duckdb_views
 
@@ -85,16 +82,19 @@ def n(pattern: str, text: str) -> str:
     return f"len(regexp_extract_all({text}, '{pattern}'))"
 
 
+BRACKETED = r"\[[0-9]*"
+
+
 def smiles_select(smiles: str = "canonical_smiles") -> str:
-    plain = sub(tokens.BRACKET, smiles)
-    organic = sub(tokens.TWO_LETTER_HALOGEN, plain)
-    aromatic = f"{n(tokens.PLAIN_AROMATIC, organic)} + {n(tokens.BRACKET_AROMATIC, smiles)}"
-    carbon = f"{n('c', organic)} + {n(tokens.BRACKET_AROMATIC_C, smiles)}"
-    nitrogen = f"{n('n', organic)} + {n(tokens.BRACKET_AROMATIC_N, smiles)}"
+    plain = sub(r"\[[^\]]*\]", smiles)
+    organic = sub("Cl|Br", plain)
+    aromatic = f"{n('[bcnops]', organic)} + {n(BRACKETED + '[a-z]', smiles)}"
+    carbon = f"{n('c', organic)} + {n(BRACKETED + 'c', smiles)}"
+    nitrogen = f"{n('n', organic)} + {n(BRACKETED + 'n', smiles)}"
     bracket = "\\["
-    hetero = f"{n(tokens.PLAIN_HETERO, plain)} + {n(bracket, smiles)} - {n(tokens.BRACKET_CARBON_OR_H, smiles)}"
+    hetero = f"{n('Cl|Br|[BNOPSFIbnops]', plain)} + {n(bracket, smiles)} - {n(BRACKETED + '[CcH][^a-z]', smiles)}"
     counts = {
-        "ring_count": f"{n(tokens.RING_CLOSURE, plain)} // 2",
+        "ring_count": f"{n('%[0-9][0-9]|[0-9]', plain)} // 2",
         "num_heteroatoms": hetero,
         "aromatic_atoms": aromatic,
         "aromatic_c": carbon,
@@ -163,8 +163,10 @@ WHERE m.disease_efficacy = 1 AND m.tid IS NOT NULL AND h.parent_molregno IN (SEL
 SELECT DISTINCT r.tid, r.relationship, r.related_tid, a.pref_name AS pref_name_1, a.target_type AS target_type_1,
  a.organism AS organism_1, b.pref_name AS pref_name_2, b.target_type AS target_type_2, b.organism AS organism_2
 FROM target_relations r, target_dictionary a, target_dictionary b
-WHERE r.tid = a.tid AND r.related_tid = b.tid AND b.target_type = '{known.SINGLE}'
-AND (a.target_type, r.relationship) IN ({", ".join(f"('{t}', '{known.SUPERSET}')" for t in known.SUPERSET_TYPES)}, ('{known.SINGLE}', '{known.EQUIVALENT}'))""",
+WHERE r.tid = a.tid AND r.related_tid = b.tid AND b.target_type = 'SINGLE PROTEIN'
+AND (a.target_type, r.relationship) IN (('PROTEIN FAMILY', 'SUPERSET OF'), ('PROTEIN COMPLEX', 'SUPERSET OF'),
+ ('PROTEIN COMPLEX GROUP', 'SUPERSET OF'), ('CHIMERIC PROTEIN', 'SUPERSET OF'), ('PROTEIN-PROTEIN INTERACTION', 'SUPERSET OF'),
+ ('SINGLE PROTEIN', 'EQUIVALENT TO'))""",
     "known": """
 SELECT parent_molregno, tid FROM known_direct
 UNION SELECT k.parent_molregno, m.related_tid FROM known_direct k JOIN mapping m ON k.tid = m.tid""",
@@ -179,7 +181,7 @@ SELECT u.*, {text_keys("u")},
 FROM (SELECT * FROM pair UNION ALL BY NAME SELECT * FROM missing) u""",
     "classified": f"""
 SELECT u.*, {s.value_column("mean", "B")} IS NOT NULL OR pair_mutation_in_dm_table AS keep_for_binding, {listed(COMPOUND[1:], "c.")},
- CASE WHEN pair_in_dm_table THEN CASE {" ".join(f"WHEN c.max_phase = {p} THEN '{x}'" for p, x in interaction.CLASS_BY_PHASE.items())} ELSE 'C0_DT' END
+ CASE WHEN pair_in_dm_table THEN CASE c.max_phase WHEN 4 THEN 'D_DT' WHEN 3 THEN 'C3_DT' WHEN 2 THEN 'C2_DT' WHEN 1 THEN 'C1_DT' ELSE 'C0_DT' END
       WHEN therapeutic_target THEN 'DT' ELSE 'NDT' END AS DTI
 FROM universe u LEFT JOIN compound c USING (parent_molregno)""",
     "related": "SELECT * FROM classified WHERE DTI <> 'NDT'",
@@ -258,11 +260,29 @@ def subset_select(suffix: str, condition: str) -> str:
     return query(f"SELECT {listed(kept)} FROM flagged WHERE {condition}")
 
 
+COUNTED = {
+    "parent_molregno": "compound ID",
+    "tid": "target ID",
+    "tid_mutation": "target ID with mutation annotations",
+    "cpd_target_pair": "compound-target pair",
+    "cpd_target_pair_mutation": "compound-target pair with mutation annotations",
+}
+STEPS = [
+    "measured pairs", "with curated pairs", "pairs on known targets", "with compound columns", "single structures",
+    "with target classes", "cleaned table",
+]
+
+
 def stats_select() -> str:
-    subsets = {"all": "true"} | {k: f"DTI IN {in_list(v)}" for k, v in stats.CLASS_SUBSETS.items()}
+    subsets = {"all": "true"} | {
+        "comparators": "DTI = 'DT'",
+        "drugs": "DTI = 'D_DT'",
+        "candidates": "DTI IN ('C0_DT', 'C1_DT', 'C2_DT', 'C3_DT')",
+        **{f"candidates_phase_{p}": f"DTI = 'C{p}_DT'" for p in (3, 2, 1, 0)},
+    }
     rows = [
         f"""SELECT '{c}' AS "column", '{d}' AS column_description, '{k}' AS subset_type, count(DISTINCT {c}) FILTER ({cond}) AS counts FROM clean"""
-        for c, d in stats.COUNTED.items()
+        for c, d in COUNTED.items()
         for k, cond in subsets.items()
     ]
     return query("\nUNION ALL ".join(rows))
@@ -274,14 +294,14 @@ def sizes_select(measured_only: bool) -> str:
     value_of = {x: f"{s.value_column('mean', x)} IS NOT NULL" for x in s.SUFFIXES}
     measured_pair = f"(SELECT * FROM classified WHERE {value_of['BF']})"
     sources = dict(
-        zip(pair_table.STEPS, [measured_pair, "classified", "related", "described", "single", "labelled", "clean"])
+        zip(STEPS, [measured_pair, "classified", "related", "described", "single", "labelled", "clean"])
     )
     rows = []
 
     def add(label: str, source: str, drug: str, measured: str) -> None:
         where = f" WHERE {measured}" if measured_only else ""
         counts = ", ".join(
-            f"count(DISTINCT {c}) AS {c}_all, count(DISTINCT {c}) FILTER ({drug}) AS {c}_drugs" for c in stats.COUNTED
+            f"count(DISTINCT {c}) AS {c}_all, count(DISTINCT {c}) FILTER ({drug}) AS {c}_drugs" for c in COUNTED
         )
         rows.append(f"SELECT '{label}' AS step, {counts} FROM {source}{where}")
 
@@ -337,6 +357,16 @@ def quality_select() -> str:
         for checks, source_name in ((described, before), (final, "flagged"))
         for name, cond in checks.items()
     ]
+    keys = {
+        "molecule_dictionary": "molregno", "molecule_hierarchy": "molregno", "compound_properties": "molregno",
+        "compound_structures": "molregno", "variant_sequences": "variant_id", "target_dictionary": "tid",
+    }
+    repeated = {f"unique:{table}": (table, key) for table, key in keys.items()}
+    repeated["duplicate_row_key"] = ("flagged", "cpd_target_pair_mutation")
+    rows += [
+        f"""SELECT '{name}', count(*) FROM (SELECT {key} FROM {table} GROUP BY {key} HAVING count(*) > 1)"""
+        for name, (table, key) in repeated.items()
+    ]
     return query("\nUNION ALL ".join(rows))
 
 
@@ -401,6 +431,7 @@ SELECT DISTINCT tid, target_pref_name, target_type, target_class_l1, target_clas
 WHERE contains(target_class_l1, '|') OR contains(target_class_l2, '|')"""),
         "clean_dataset": query(f"SELECT {result} FROM clean"),
         "subset_flags": query(f"SELECT cpd_target_pair_mutation, {listed(FLAGS)} FROM flagged"),
+        "subset_flags_hot": query(f"SELECT cpd_target_pair_mutation, {listed(FLAGS)} FROM flagged"),
         "distinct_stats": stats_select(),
         "step_sizes": sizes_select(measured_only=False),
         "step_sizes_measured": sizes_select(measured_only=True),
@@ -411,6 +442,7 @@ WHERE contains(target_class_l1, '|') OR contains(target_class_l2, '|')"""),
         ),
         "enrich_by_key": "SELECT doc_id, source, strlen(text) AS text_bytes FROM documents",
         "full_dataset": query(f"SELECT {full} FROM flagged"),
+        "full_dataset_hot": query(f"SELECT {full} FROM flagged"),
         "full_dataset_all_sources": all_sources(f"SELECT {full} FROM flagged"),
         "full_dataset_descriptors": query(f"SELECT {result}, {listed(DESCRIPTORS)}, {listed(FLAGS)} FROM flagged"),
     }

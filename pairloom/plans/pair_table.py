@@ -33,13 +33,13 @@ from pairloom.sources import Tables
 
 # Labels of the steps whose sizes are reported.
 STEPS = (
-    "activity ct-pairs",
-    "dm ct-pairs",
-    "DTI annotations",
-    "compound props",
-    "removed smiles",
-    "tclass annotations",
-    "clean df",
+    "measured pairs",
+    "with curated pairs",
+    "pairs on known targets",
+    "with compound columns",
+    "single structures",
+    "with target classes",
+    "cleaned table",
 )
 
 
@@ -202,7 +202,10 @@ def quality_summary(
     after = spread_join(after, levels, subsets.GROUP, [s.PARENT], pairs.hot(subsets.GROUP))
     checks = quality.label_check("target_class_l1", "_has_l1") | quality.label_check("target_class_l2", "_has_l2")
     checks |= quality.literal_null_checks(final) | quality.flag_checks(cfg)
-    return found.unionByName(quality.count_violations(after, checks))
+    found = found.unionByName(quality.count_violations(after, checks))
+    for name, key in quality.UNIQUE_KEYS.items():
+        found = found.unionByName(quality.repeated_keys(tables[name], key, f"unique:{name}"))
+    return found.unionByName(quality.repeated_keys(final, s.ROW_KEY, "duplicate_row_key"))
 
 
 def single_structure_pairs(related: Staged, tables: Tables) -> Staged:

@@ -15,6 +15,7 @@ from pairloom.functions.smiles import smiles_counts
 from pairloom.functions.text import pair_keys
 from pairloom.operators import compounds, enrich, known, measurements, quality, stats, subsets, targets
 from pairloom.operators.cleaning import round_doubles
+from pairloom.operators.joins import HOT_ROWS
 from pairloom.operators.known import IN_KNOWN, IN_KNOWN_MUTATION, KEEP_BINDING
 from pairloom.operators.measurements import CARRIED, THERAPEUTIC
 from pairloom.plans import pair_table
@@ -28,6 +29,8 @@ CONFIG = PairConfig(min_pairs_bf=MIN_PAIRS, min_pairs_b=MIN_PAIRS)
 ALL_SOURCES = PairConfig(literature_only=False, min_pairs_bf=MIN_PAIRS, min_pairs_b=MIN_PAIRS)
 DESCRIBED = PairConfig(min_pairs_bf=MIN_PAIRS, min_pairs_b=MIN_PAIRS, descriptors=True)
 
+HOT = 5  # rows of a key in the variants that salt
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -93,13 +96,18 @@ def clean_dataset(tables: Tables) -> DataFrame:
     return pair_table.clean_table(pair_table.core(tables, CONFIG), tables, CONFIG)
 
 
-def subset_flags(tables: Tables) -> DataFrame:
+def subset_flags(tables: Tables, hot_rows: int = HOT_ROWS) -> DataFrame:
     pairs = pair_table.core(tables, CONFIG)
-    flagged = subsets.subset_flags(pairs.frame, CONFIG)
+    flagged = subsets.subset_flags(pairs.frame, CONFIG, hot_rows)
     names = [f for x in s.SUFFIXES for f in s.flag_columns(x, CONFIG.min_pairs(x))]
     return flagged.select(s.ROW_KEY, *names)
 
 
+def full_dataset_hot(tables: Tables) -> DataFrame:
+    """With a threshold so low that compounds and targets of the test tables are hot and their rows salted."""
+    return pair_table.full_table(pair_table.core(tables, CONFIG), tables, CONFIG, HOT)
+
+
 def full_dataset(cfg: PairConfig) -> Query:
     return on_tables(lambda tables: pair_table.full_table(pair_table.core(tables, cfg), tables, cfg))
 
@@ -174,6 +182,7 @@ def all_queries() -> dict[str, Query]:
         "ambiguous_targets": on_tables(ambiguous_targets),
         "clean_dataset": on_tables(clean_dataset),
         "subset_flags": on_tables(subset_flags),
+        "subset_flags_hot": on_tables(lambda t: subset_flags(t, HOT)),
         "distinct_stats": on_tables(distinct_stats),
         "step_sizes": step_sizes(measured_only=False),
         "step_sizes_measured": step_sizes(measured_only=True),
@@ -182,6 +191,7 @@ def all_queries() -> dict[str, Query]:
         "smiles_descriptors": on_tables(smiles_descriptors),
         "enrich_by_key": enrich_by_key,
         "full_dataset": full_dataset(CONFIG),
+        "full_dataset_hot": on_tables(full_dataset_hot),
         "full_dataset_all_sources": full_dataset(ALL_SOURCES),
         "full_dataset_descriptors": full_dataset(DESCRIBED),
     }
