@@ -33,7 +33,14 @@ def carried(names: tuple[str, ...], back: bool = False) -> list[Column]:
     return [F.col(f"`{c}`").alias(f"_carried_{i}") for i, c in enumerate(names)]
 
 
+def for_long_texts(spark: SparkSession) -> None:
+    """Batches of a thousand rows go to Python workers: the default of ten thousand whole texts, held on both sides,
+    is much of an executor's memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    for_long_texts(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASES = (0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 
