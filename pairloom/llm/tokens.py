@@ -12,13 +12,13 @@ import re
 
 import numpy as np
 
-KNOWN_WORDS = 400_000  # words kept per worker, about 60 MB; then the table starts anew
-BATCH_WORDS = 2_000
+KNOWN_WORDS = 200_000  # in each of two generations per worker, about 40 MB each
+BATCH_UNITS = 2_000
 ID = np.dtype("<u4")
 
-#: One run of letters, or one with punctuation behind it: one or two units of the splitting rule. The letters are
-#: those of ASCII and Latin-1, which no normalization changes but for their case.
-PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+([!\"#$%&()*+,./:;<=>?@\\[\\\\\\]^_`{|}~-]*)")
+#: One run of letters, or one with punctuation behind it. The letters are those of ASCII and Latin-1, which no
+#: normalization changes but for their case; each run is one unit of the splitting rule.
+PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!\"#$%&()*+,./:;<=>?@\\[\\\\\\]^_`{|}~-]*)")
 
 _open: dict[str, Words] = {}
 
@@ -33,39 +33,49 @@ class Words:
         self.ends_unit = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends_unit[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def ids(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
         words = text.encode().split()
-        new = set(words).difference(self.known)
+        different = set(words)
+        new = different.difference(self.known)
         if new:
-            if len(self.known) > KNOWN_WORDS:
-                self.known.clear()
-                new = set(words)
-            self._learn(list(new))
+            if len(self.known) > KNOWN_WORDS:  # what is used again comes back from the older generation
+                self.older, self.known = self.known, {}
+                new = different
+            older = self.older
+            again = {w: older[w] for w in new if w in older}
+            self.known.update(again)
+            self._learn(new.difference(again))
         return b"".join(map(self.known.__getitem__, words))
 
-    def _learn(self, new: list[bytes]) -> None:
-        plain: list[tuple[bytes, int]] = []
-        other: list[bytes] = []
+    def _learn(self, new: set[bytes]) -> None:
+        """Plain words are put together from their letters, in lower case, and their punctuation."""
+        known, plain, other = self.known, [], []
         for word in new:
             match = PLAIN.fullmatch(word.decode())
             if match:
-                plain.append((word, 2 if match[1] else 1))
+                plain.append((word, match[1].lower().encode(), match[2].encode()))
             else:
                 other.append(word)
-        for a in range(0, len(plain), BATCH_WORDS):
-            part = plain[a : a + BATCH_WORDS]
-            whole = self._encode([b" ".join(w for w, _ in part).decode()])[0]
-            units = np.cumsum([n for _, n in part])
-            ends = np.flatnonzero(self.ends_unit[whole]) + 1
-            if len(ends) != units[-1]:
-                other += [w for w, _ in part]
-                continue
-            cuts = [0, *ends[units - 1].tolist()]
-            self.known.update((w, whole[x:y].tobytes()) for (w, _), x, y in zip(part, cuts, cuts[1:]))
+        self._learn_units(list({u for _, *units in plain for u in units if u and u not in known}))
+        for word, letters, punctuation in plain:
+            known[word] = known[letters] + known[punctuation] if punctuation else known[letters]
         for word, ids in zip(other, self._encode([w.decode() for w in other])):
-            self.known[word] = ids.tobytes()
+            known[word] = ids.tobytes()
+
+    def _learn_units(self, units: list[bytes]) -> None:
+        for a in range(0, len(units), BATCH_UNITS):
+            part = units[a : a + BATCH_UNITS]
+            whole = self._encode([b" ".join(part).decode()])[0]
+            ends = np.flatnonzero(self.ends_unit[whole]) + 1
+            if len(ends) == len(part):
+                cuts = [0, *ends.tolist()]
+                self.known.update((u, whole[x:y].tobytes()) for u, x, y in zip(part, cuts, cuts[1:]))
+            else:
+                found = self._encode([u.decode() for u in part])
+                self.known.update((u, ids.tobytes()) for u, ids in zip(part, found))
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
