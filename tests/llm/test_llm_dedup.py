@@ -130,6 +130,25 @@ def test_near_copies_form_groups_and_others_stay(frame):
     assert len([d for d, _ in copies if d in kept]) <= 1
 
 
+def kept_of_pairs(frame, pairs):
+    """Which of the pairs of word lists come out as one document."""
+    rows = [(2 * i + j, " ".join(words)) for i, pair in enumerate(pairs) for j, words in enumerate(pair)]
+    kept = {r.doc_id for r in near_copies.one_of_each(frame(rows)).collect()}
+    assert {2 * i for i in range(len(pairs))} <= kept
+    return [2 * i + 1 not in kept for i in range(len(pairs))]
+
+
+def test_near_copies_on_both_sides_of_the_bound(frame):
+    fresh = lambda g, name, n: [f"{name}{g}x{i}" for i in range(n)]
+    pairs, want = [], []
+    for g in range(60):
+        shared = fresh(g, "s", 84)  # 80 shingles
+        more = (20, 21, 25, 30)[g % 4]  # so many of one side only: likeness 0.8, 0.792, 0.762, 0.727
+        pairs.append((shared, shared + fresh(g, "t", more)))
+        want.append(more == 20)
+    assert kept_of_pairs(frame, pairs) == want
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(0, 120)] + [(1000, 1000 + i) for i in range(1, 200)] + [(5, 5), (1, 0)]
     found = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
