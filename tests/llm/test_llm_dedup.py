@@ -149,6 +149,19 @@ def test_near_copies_on_both_sides_of_the_bound(frame):
     assert kept_of_pairs(frame, pairs) == want
 
 
+def test_near_copies_that_differ_by_a_block(frame):
+    rng = random.Random(11)
+    pairs = []
+    for g in range(120):
+        words = [f"b{rng.randint(0, 10**6)}" for _ in range(200)]
+        block = [f"n{rng.randint(0, 10**6)}" for _ in range((12, 20, 30, 40, 49)[g % 5])]  # likeness 0.94 to 0.8
+        pairs.append((words, (words + block, block + words, words[: -2 * len(block) // 3])[g % 3]))
+    alike = lambda a, b: len(a & b) / len(a | b)
+    likeness = [alike(*(plain.shingles_of(" ".join(x)) for x in pair)) for pair in pairs]
+    assert min(likeness) < 0.81 and sum(x < 0.9 for x in likeness) > 40
+    assert kept_of_pairs(frame, pairs) == [x >= 0.8 for x in likeness]
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(0, 120)] + [(1000, 1000 + i) for i in range(1, 200)] + [(5, 5), (1, 0)]
     found = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
