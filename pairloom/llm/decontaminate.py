@@ -8,6 +8,7 @@ each hit is verified with Myers' bit-parallel distance on the words around it.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,22 +18,48 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.words import IS_SPACE, WORD_BASES, Runs, Words, chunks, split, utf8, word_hashes
+from pairloom.llm.words import WORD_BASES, Runs, Words, chunks, utf8, word_hashes
 
 PASSAGE = 24
 ERRORS_PER_WORD = 1 / 6
-MIN_WORDS = 8  # shorter items are too common to tell anything
+MIN_WORDS = 8  # items of fewer words match only whole and unchanged
 BLOCK_ITEMS = 20_000  # items compiled and sent to the tasks at once; more are searched in further passes
 
-#: Letters, digits and all bytes of other alphabets make words; case and punctuation do not count.
-NO_WORD = IS_SPACE.copy()
-NO_WORD[:128] = [not chr(b).isalnum() for b in range(128)]
+#: Letters, digits and marks make words, by code point; case and punctuation do not count. Letters of scripts that
+#: are written without spaces are words of their own.
+IN_WORD, APART, ALONE = 0, 1, 2
+UNSPACED = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x3005, 0x3007),
+            (0x3031, 0x312F), (0x31A0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0xA4CF), (0xA980, 0xA9DF), (0xA9E0, 0xA9FF),
+            (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1AFF0, 0x1B16F), (0x20000, 0x3FFFF)]
+KINDS = np.zeros(0x110000, dtype=np.uint8)
+for _a, _b in UNSPACED:
+    KINDS[_a : _b + 1] = ALONE
+KINDS[[i for i in range(len(KINDS)) if unicodedata.category(chr(i))[0] in "PSZ" or unicodedata.category(chr(i)) == "Cc"]] = APART
+KINDS[0x200B] = APART  # a space without width
 
 MATCH_DDL = "doc_id long, item_id long, distance int, budget int, first_word int, last_word int"
 
 
 def normal_words(texts: pa.Array) -> Words:
-    return split(*utf8(pc.utf8_lower(pc.fill_null(texts, ""))), NO_WORD)
+    data, at = utf8(pc.utf8_lower(pc.fill_null(texts, "")))
+    kind = KINDS[:256][data]
+    lead = np.flatnonzero(data >= 0xC0)
+    if len(lead):
+        size = 2 + (data[lead] >= 0xE0) + (data[lead] >= 0xF0)
+        point = (data[lead] & (0x7F >> size)).astype(np.int64)
+        for i in range(1, 4):
+            more = np.flatnonzero(size > i)
+            point[more] = point[more] << 6 | data[lead[more] + i] & 0x3F
+        for i in range(4):
+            more = np.flatnonzero(size > i)
+            kind[lead[more] + i] = KINDS[point[more]]
+    inner = kind != APART
+    new = np.ones(len(data) + 1, dtype=bool)  # no word goes on over here
+    new[1:-1] = ~(inner[1:] & inner[:-1]) | (((kind[1:] == ALONE) | (kind[:-1] == ALONE)) & (data[1:] & 0xC0 != 0x80))
+    new[at] = True
+    starts = np.flatnonzero(inner & new[:-1])
+    ends = np.flatnonzero(inner & new[1:]) + 1
+    return Words(data, starts, ends, np.searchsorted(starts, at))
 
 
 @dataclass
@@ -49,7 +76,7 @@ class Passage:
 
 def passages_of(item_id: int, words: np.ndarray) -> list[Passage]:
     if len(words) < MIN_WORDS:
-        return []
+        return [Passage(item_id, words, 0)] if len(words) else []
     starts = [0] if len(words) <= PASSAGE else [*range(0, len(words) - PASSAGE, PASSAGE // 2), len(words) - PASSAGE]
     parts = [words[s : s + PASSAGE] for s in starts]
     return [Passage(item_id, p, int(len(p) * ERRORS_PER_WORD)) for p in parts]
@@ -116,6 +143,7 @@ def matches_in(words: Words, pieces: Pieces) -> dict[tuple[int, int], tuple[int,
     hashes = word_hashes(words)
     text_of = words.text_of()
     tried: set[tuple[int, int]] = set()
+    whole: set[tuple[int, int]] = set()  # texts and passages without a budget: the first place is enough
     out: dict[tuple[int, int], tuple[int, int, int, int]] = {}
     for positions, numbers, places in pieces.hits(hashes):
         for position, number, place in zip(positions.tolist(), numbers.tolist(), places.tolist()):
@@ -124,6 +152,8 @@ def matches_in(words: Words, pieces: Pieces) -> dict[tuple[int, int], tuple[int,
                 continue
             tried.add((start, number))
             passage, text = pieces.passages[number], int(text_of[position])
+            if (text, number) in whole:
+                continue
             k, begin = passage.budget, int(words.first[text])
             a = max(start - k, begin)
             b = min(start + len(passage.words) + k, int(words.first[text + 1]))
@@ -132,6 +162,8 @@ def matches_in(words: Words, pieces: Pieces) -> dict[tuple[int, int], tuple[int,
                 run = (distance, k, max(start, begin) - begin, a + end - 1 - begin)
                 key = (text, passage.item_id)
                 out[key] = min(out.get(key, run), run)
+                if not k:
+                    whole.add((text, number))
     return out
 
 
@@ -151,8 +183,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ``distance`` in words, its ``budget``, and the run of the document, ``first_word`` (exact but for the edits) to
     ``last_word``.
 
-    Words are runs of letters and digits, in lower case. Items of under MIN_WORDS words match nothing, as do null
-    and empty texts; rows with a null doc_id are searched like any other; repeated items count once, repeated
+    Words are runs of letters and digits, in lower case; of scripts without spaces, single letters. Items of under
+    MIN_WORDS words are searched whole, without edits; items without words match nothing; rows with a null doc_id are searched like any other; repeated items count once, repeated
     documents each. The benchmark is the query set: BLOCK_ITEMS items at a time are sent to the tasks, in as many
     passes over ``docs`` as it takes. Long texts are searched whole. Other columns are not read.
     """

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import plain
+import pyarrow as pa
 from conftest import LONG, ODD
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -56,6 +57,23 @@ def test_verbatim_edited_partial_and_clean(frame):
     assert found(frame, docs, items) == {(1, 10): 0, (2, 11): 0, (3, 10): 3, (4, 11): 1, (5, 10): 0}
 
 
+def test_words_of_any_script():
+    texts = ["Die «Häuser» – É_2,x…", "東京は、人工知能（ＡＩ）です。abc中", None, "ภาษา ไทย", "한국어 문장", "", "\U00020000𝔸b’s"]
+    words = d.normal_words(pa.array(texts))
+    got = [bytes(words.data[a:b]).decode() for a, b in zip(words.starts, words.ends)]
+    parts = [got[a:b] for a, b in zip(words.first, words.first[1:])]
+    assert parts == [["die", "häuser", "é", "2", "x"], [*"東京は人工知能", "ａｉ", "で", "す", "abc", "中"], [], [*"ภาษาไทย"],
+                     ["한국어", "문장"], [], ["\U00020000", "𝔸b", "s"]]
+
+
+def test_short_items_and_scripts_without_spaces(frame):
+    chinese = "第一次世界大战结束于哪一年？请从下列选项中选择正确的答案。"
+    docs = [(1, "so What is, the capital: of France"), (2, "what is the big capital of france"), (3, "前文没有空格" + chinese + "后文"),
+            (4, "第一次世界大战结束于那一年请从下列选项中选择正确的答案"), (5, "别的文字" * 20), (6, "wordy zebra"), (7, "zebra zebra")]
+    items = [(20, "What is the capital of France?"), (21, chinese), (22, "zebra"), (23, "？！"), (24, "没有空格")]
+    assert found(frame, docs, items) == {(1, 20): 0, (3, 21): 0, (4, 21): 1, (6, 22): 0, (7, 22): 0, (3, 24): 0}
+
+
 def test_equals_a_search_of_all_places(frame):
     rng = random.Random(3)
     words = [f"v{i}" for i in range(30)]
