@@ -6,14 +6,18 @@ import html
 import re
 from dataclasses import dataclass
 
-# Fixed values of HTML: elements that begin a block of their own, those whose content is no text of the page,
+# Fixed values of HTML: elements that begin a block of their own, those whose content is no markup of the page,
 # those without an end tag.
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer"
     " form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section select"
     " summary table tbody td tfoot th thead title tr ul".split()
 )
-HIDDEN = "script|style|noscript|template|svg|math|iframe|object|textarea|canvas|audio|video"
+RAW = frozenset("script style template iframe textarea".split())
+#: What they hold is shown where the element itself is not: a block of its own, which may stand inside a paragraph.
+INSTEAD = frozenset("noscript object canvas audio video".split())
+UNSEEN = {"svg": frozenset("title desc metadata defs symbol".split()), "math": frozenset(["annotation", "annotation-xml"])}
+REVEALED = frozenset("body main article".split())  # scripts show these once a page is loaded
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: An opening tag of the key ends an open element of the value without its end tag, within the stop elements.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -22,12 +26,14 @@ STOPS = frozenset("ul ol dl table select article section div body main aside nav
 P_ENDS = BLOCK - {"option", "optgroup", "caption", "legend", "summary"}
 
 MARKUP = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({HIDDEN})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
-    re.DOTALL | re.IGNORECASE,
+    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.DOTALL
 )
+CLOSES = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.IGNORECASE) for t in RAW | INSTEAD}
+OPENS_BLOCK = re.compile(rf"</?(?:{'|'.join(sorted(BLOCK))})(?=[\s/>])", re.IGNORECASE)
+NO_TEXT = re.compile(r"(?>\s+|<!--.*?-->|<(?![/!])[^>]*>)*+</([a-z]+)", re.DOTALL | re.IGNORECASE)
 NAMED = re.compile(r"(?:^|[\s\"'/])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
-HIDDEN_ATTRIBUTE = re.compile(r"(?:^|\s)(?:hidden(?=[\s=]|$)|style\s*=\s*[\"'][^\"']*display\s*:\s*none)", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.IGNORECASE)
 NAME_PARTS = re.compile(r"[a-z]+")
 
 
@@ -48,11 +54,21 @@ def _names(attributes: str) -> tuple[str, ...]:
     return tuple(NAME_PARTS.findall(spaced.lower()))
 
 
+def _is_hidden(attributes: str) -> bool:
+    for name, *values in ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), "".join(values)
+        if name == "hidden" and value.lower() != "until-found" or name == "style" and NO_DISPLAY.search(value):
+            return True
+    return False
+
+
 def blocks(page: str) -> list[Block]:
-    """Blocks with text, in page order. Comments, scripts, styles and other hidden content are left out; character
-    references are decoded; white space is one space. Broken markup is read as browsers roughly do: unclosed
-    paragraphs and list items end where the next begins, stray end tags are passed over."""
+    """Blocks with text, in page order. Comments, scripts, styles and hidden elements are left out, hidden ones only
+    where the page shows any text beside them; character references are decoded; white space is one space. Broken
+    markup is read as browsers roughly do: unclosed paragraphs and list items end where the next begins, stray end
+    tags are passed over. Of an unclosed script or the like, what comes before the next block is left out."""
     out: list[Block] = []
+    shown: list[bool] = []
     stack: list[tuple[str, tuple[str, ...], bool]] = []
     parts: list[str] = []
     links = link_chars = 0
@@ -64,7 +80,8 @@ def blocks(page: str) -> list[Block]:
             if "&" in text:
                 text = html.unescape(text)
             text = " ".join(text.split())
-            if text and not any(hidden for _, _, hidden in stack):
+            if text:
+                shown.append(not any(hidden for _, _, hidden in stack))
                 names = frozenset(n for _, own, _ in stack for n in own)
                 nearest = next((own for _, own, _ in reversed(stack) if own), ())
                 out.append(Block(text, tuple(t for t, _, _ in stack), names, nearest, link_chars))
@@ -75,23 +92,56 @@ def blocks(page: str) -> list[Block]:
         flush()
         del stack[upto:]
 
+    drawn = unseen = ""  # the open svg or math, the open element whose text is not shown
+    unclosed: set[str] = set()
+
+    def closed(tag: str, at: int) -> re.Match | None:
+        end = None if tag in unclosed else CLOSES[tag].search(page, at)
+        if not end:
+            unclosed.add(tag)
+        return end
+
     at = 0
-    for m in MARKUP.finditer(page):
-        if m.start() > at:
+    while m := MARKUP.search(page, at):
+        if m.start() > at and not unseen:
             parts.append(page[at : m.start()])
             if links:
                 link_chars += m.start() - at
         at = m.end()
-        tag = m[3]
+        tag = m[2]
         if not tag:
             continue
         tag = tag.lower()
-        if tag == "a":
-            links = 0 if m[2] else 1
+        if drawn and tag in UNSEEN[drawn]:
+            if m[1]:
+                unseen = "" if tag == unseen else unseen
+            elif not m[3].endswith("/"):
+                unseen = unseen or tag
+        elif tag in UNSEEN:
+            drawn, unseen = "" if m[1] or m[3].endswith("/") else tag, ""
+        elif tag in RAW:
+            if not m[1]:
+                end = closed(tag, at)
+                behind = None if end else OPENS_BLOCK.search(page, at)
+                at = end.end() if end else behind.start() if behind else len(page)
+        elif tag in INSTEAD:
+            if m[1]:
+                for i in range(len(stack) - 1, -1, -1):
+                    if stack[i][0] == tag:
+                        close(i)
+                        break
+            elif not closed(tag, at):
+                unseen = tag if tag == "noscript" else unseen
+            elif not ((empty := NO_TEXT.match(page, at)) and empty[1].lower() == tag):
+                flush()
+                stack.append((tag, _names(m[3]), _is_hidden(m[3])))
+        elif tag == "a":
+            links = 0 if m[1] else 1
         elif tag == "br":
             parts.append(" ")
         elif tag in BLOCK:
-            if m[2]:
+            drawn = unseen = ""
+            if m[1]:
                 flush()
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == tag:
@@ -110,9 +160,9 @@ def blocks(page: str) -> list[Block]:
                     if stack[i][0] in STOPS:
                         break
             if tag not in VOID:
-                attributes = m[4]
-                stack.append((tag, _names(attributes), bool(attributes and HIDDEN_ATTRIBUTE.search(attributes))))
-    if at < len(page):
+                attributes = m[3]
+                stack.append((tag, _names(attributes), tag not in REVEALED and _is_hidden(attributes)))
+    if at < len(page) and not unseen:
         parts.append(page[at:])
     flush()
-    return out
+    return [b for b, is_shown in zip(out, shown) if is_shown] or out

@@ -87,6 +87,30 @@ def test_leaf_blocks():
     assert deep[0].link_chars == 4 and deep[1].tags == ("body",)
 
 
+def test_nothing_is_swallowed():
+    for first in ('<svg-icon></svg-icon>', '<svg class="i"/>', '<math/>', "<video-player></video-player>", "<style-guide>",
+                  "<object-viewer></object-viewer>", "<style>p{}", "<iframe src=x>", "<script>f(1 < 2)", "<textarea>",
+                  "<svg><title>icon", "<noscript>on", "<video src=x>", "<canvas></canvas>"):
+        assert texts_of(f"<article>{first}<p>rest</p><p>more</p></article>") == ["rest", "more"], first
+    assert texts_of("<p>a <svg><title>t</title><path d=x /><text>in</text></svg> b <math><mi>x</mi><mo>=</mo><mn>2</mn>"
+                    "<annotation>x=2</annotation></math> c</p>") == ["a in b x=2 c"]
+    assert texts_of("<p>a <noscript><img src=x></noscript> b</p><object>c<p>d</p></object><video><source src=x>e</video>") == [
+        "a b", "c", "d", "e"]
+    assert texts_of('<script>"</scripted><p>no</p>"</script ><p>a') == ["a"]
+    many = "<script><p>a" * 20_000
+    assert len(texts_of(many)) == 20_000
+
+
+def test_hidden_is_an_attribute_and_not_a_word():
+    shown = ['title="the hidden door"', 'class="x hidden y"', "hidden=until-found", 'data-style="display:none"', 'alt="a style=\'display:none\'"']
+    for attributes in shown:
+        assert texts_of(f"<div {attributes}>a</div><p>c") == ["a", "c"], attributes
+    for attributes in ("hidden", 'HIDDEN=""', 'hidden="hidden"', 'id=x style="color:red; Display : none"', "style=display:none"):
+        assert texts_of(f"<div {attributes}>a</div><p>c") == ["c"], attributes
+    assert texts_of('<body style="display:none"><p>a</p><div hidden>b</div>') == ["a"]
+    assert texts_of("<div hidden><p>a</p></div>") == ["a"]
+
+
 def test_viterbi_finds_the_best_labelling():
     chain = extraction.Chain({"bias": 0.3, "tag:p": 1.0, "tag:li": -2.0, "first": -0.7}, np.array([[0.4, -0.9], [-0.8, 0.6]]))
     found = dom.blocks("<p>a<li>b</li><p>c<div>d</div><p>e<li>f</li><li>g</li>")
