@@ -27,7 +27,7 @@ from pairloom.llm.words import WORD_BASES, Runs, chunks, split, utf8, word_hashe
 WINDOW = 35
 GRAM = 9
 HOT_SEGMENTS = 100  # different segments of one anchor, beyond which its windows are dealt by other anchors
-HOT_ANCHORS = 100_000  # most anchors treated so: the threshold rises with the number of segments
+HOT_ANCHORS = 100_000  # most anchors treated so at once: the threshold rises with the number of segments
 SHARD_CHARS = 1 << 20
 
 KEY = ["doc", "text_hash"]
@@ -124,7 +124,7 @@ def _anchors(different: DataFrame) -> DataFrame:
 
 
 def _hot_anchors(different: DataFrame, anchors: DataFrame) -> np.ndarray:
-    """Sorted anchors with too many different segments for one task; HOT_ANCHORS at most, whatever the input."""
+    """Sorted anchors with too many different segments for one task, whose number HOT_ANCHORS bounds whatever the input."""
     least = max(HOT_SEGMENTS, different.count() // HOT_ANCHORS)
     rows = anchors.filter(F.col("segments") > least).select("anchor").collect()
     return np.sort(np.array([r.anchor for r in rows], dtype=np.int64).view(np.uint64))
@@ -239,21 +239,30 @@ def _located(texts: DataFrame, window: int) -> DataFrame:
     return dealt.mapInArrow(run, "anchor long, digest long, spans array<int>")
 
 
+def dealt(keyed: DataFrame, window: int, gram: int) -> tuple[np.ndarray, DataFrame]:
+    """The hot anchors, and the different segments whose anchor also stands elsewhere.
+
+    Windows of hot anchors are dealt anew until no anchor is hot. Each round takes a run from all windows that still
+    are in a hot group; one whose runs are all taken is dealt by its own digest, so the rounds end.
+    """
+    hot = np.zeros(0, dtype=np.uint64)
+    first = every = written(_different(_segments(keyed, hot, window, gram)), "segments")
+    first_anchors = anchors = written(_anchors(first), "anchors")
+    while len(found := _hot_anchors(first, anchors)):
+        hot = np.union1d(hot, found)
+        gone = F.broadcast(keyed.sparkSession.createDataFrame([(x,) for x in hot.view(np.int64).tolist()], "anchor long"))
+        moved = written(_different(_segments(keyed, hot, window, gram, only_hot=True)), "moved-segments")
+        every = first.join(gone, "anchor", "left_anti").unionByName(moved)
+        anchors = first_anchors.join(gone, "anchor", "left_anti").unionByName(_anchors(moved)).groupBy("anchor")
+        anchors = written(anchors.agg(F.sum("places").alias("places"), F.sum("segments").alias("segments")), "anchors")
+    return hot, every.join(anchors.select("anchor"), "anchor")
+
+
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """``doc``, ``text_hash`` and ``spans`` (sets of word ranges) of documents with repeated windows."""
     keyed = _keyed(docs)
-    none = np.zeros(0, dtype=np.uint64)
-    different = written(_different(_segments(keyed, none, window, gram)), "segments")
-    anchors = written(_anchors(different), "anchors")
-    hot = _hot_anchors(different, anchors)
-    again = anchors.select("anchor")
-    if len(hot):
-        gone = F.broadcast(keyed.sparkSession.createDataFrame([(x,) for x in hot.view(np.int64).tolist()], "anchor long"))
-        moved = written(_different(_segments(keyed, hot, window, gram, only_hot=True)), "moved-segments")
-        moved_again = _anchors(moved).select("anchor")
-        different = different.join(gone, "anchor", "left_anti").unionByName(moved)
-        again = written(again.join(gone, "anchor", "left_anti").unionByName(moved_again).distinct(), "anchors")
-    candidates = written(different.join(again, "anchor"), "candidates")
+    hot, candidates = dealt(keyed, window, gram)
+    candidates = written(candidates, "candidates")
     rows = written(_segments(keyed, hot, window, gram).join(candidates, SEGMENT), "places")
     located = written(_located(_texts_of(keyed, rows, window), window), "located")
     places = rows.select(*KEY, *SEGMENT, "first").join(located, SEGMENT)

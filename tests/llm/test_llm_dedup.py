@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
+import numpy as np
 import plain
+import pyarrow as pa
 import pytest
 from conftest import ODD, ordered
 from pyspark.sql import functions as F
 
 from pairloom.llm import near_copies, passages, simhash
 from pairloom.llm.components import components
+from pairloom.llm.words import utf8
 
 OUT = ["doc_id", "n_words", "n_removed", "kept_sha256"]
 
@@ -48,6 +52,26 @@ def test_long_passage_in_many_documents(frame):
     assert out == {**{i: 60 for i in range(40)}, 100: 0}
 
 
+def test_no_anchor_stays_hot(frame, monkeypatch):
+    monkeypatch.setattr(passages, "HOT_SEGMENTS", 10)
+    passage = " ".join(f"licence{i}" for i in range(24))
+    around = lambda i, side: " ".join(f"{side}{i}x{j}" for j in range(40))
+    rows = [(i, f"{around(i, 'a')} {passage} {around(i, 'b')}") for i in range(80)] + [(100, f"{around(100, 'c')} {passage}")] * 2
+    data, at = utf8(pa.array([t for _, t in rows]))
+    none = np.zeros(0, dtype=np.uint64)
+
+    def heat(hot):
+        _, anchor, digest, *_ = passages.segments_of(data, at, hot, 35, 9)
+        return Counter(a for a, _ in {*zip(anchor.tolist(), digest.tolist())})
+
+    first = np.array(sorted(a for a, n in heat(none).items() if n > 10), dtype=np.uint64)
+    assert max(heat(first).values()) > 10  # dealing once leaves others hot
+    hot, candidates = passages.dealt(passages._keyed(frame(rows)), 35, 9)
+    assert max(heat(hot).values()) <= 10
+    assert candidates.groupBy("anchor").count().filter("count > 10").count() == 0
+    assert removed(frame, rows, 35, 9) == ordered(plain.kept_words(rows, 35))
+
+
 def test_empty_tables(frame, spark):
     none = frame([(1, "x")]).filter("doc_id < 0")
     assert passages.without_repeats(none).count() == 0
