@@ -2,28 +2,57 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_scopes: list[list[DataFrame]] = []
+
 
 def folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; where it is unset, as in tests, a folder of the warehouse."""
-    return (
-        spark.conf.get("spark.checkpoint.dir", None)
-        or spark.sparkContext.getCheckpointDir()
-        or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_steps"
-    )
+    """``spark.checkpoint.dir`` of the session. Where it is unset, a folder of the warehouse, but only where driver and
+    executors are one process: on a cluster each executor would write to a folder of its own."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if shared:
+        return shared
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_steps"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, result: bool = False) -> DataFrame:
     """``df`` written once and read back: lost executors cost no earlier step, and joins that read it can be
-    split by adaptive execution, as both their sides come straight from a shuffle."""
+    split by adaptive execution, as both their sides come straight from a shuffle. A ``result`` outlives ``steps``."""
     spark = df.sparkSession
     path = f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._written_to = path
+    if _scopes and not result:
+        _scopes[-1].append(table)
+    return table
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes the files of ``written`` tables. Whatever reads them must have run; a table dropped before is passed over."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table._written_to)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def steps() -> Iterator[None]:
+    """What is written inside is deleted at the end, when the caller has stored its result elsewhere."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        dropped(*_scopes.pop())
 
 
 def carried(names: tuple[str, ...], back: bool = False) -> list[Column]:

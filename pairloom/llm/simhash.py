@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm.components import components
-from pairloom.llm.shared import written
+from pairloom.llm.shared import carried, dropped, written
 from pairloom.llm.words import ASCII_LOWER, chunks, joined, split, utf8
 
 HALF_BITS = 32
@@ -85,8 +85,11 @@ def grouped(docs: DataFrame, shingle_words: int = 3) -> tuple[DataFrame, DataFra
     """
     prints = written(fingerprints(docs, shingle_words), "fingerprints")
     nodes = written(prints.select("fp").distinct(), "distinct-fingerprints")
-    roots = written(components(links(nodes)), "roots").withColumnRenamed("node", "fp")
-    return prints, written(nodes.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root")), "rooted")
+    roots = written(components(links(nodes)), "roots")
+    rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    rooted = written(rooted.select("fp", F.coalesce("root", "fp").alias("root")), "rooted")
+    dropped(nodes, roots)
+    return prints, rooted
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
@@ -99,4 +102,24 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
     least = prints.groupBy("fp").agg(F.min("doc_id").alias("least")).join(rooted, "fp")
     least = written(least.groupBy("root").agg(F.min("least").alias("component_id")), "least")
     named = written(rooted.join(least, "root").select("fp", "component_id"), "components")
+    dropped(least, rooted)
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
+    """One row of each group of documents that links connect, all columns unchanged: that with the smallest doc_id;
+    rows without one come last; among equal ids the one whose text hash is smallest.
+
+    Texts without words have one fingerprint and are alike. Of repeated rows one stays. An empty table gives no rows.
+    """
+    prints, rooted = grouped(docs, shingle_words)
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    least = written(prints.groupBy("fp").agg(F.min(row).alias("row")), "least")
+    best = least.join(rooted, "fp").groupBy("root").agg(F.min("row").alias("best")).select("best.*")
+    key = [F.coalesce("doc_id", F.lit(-1)).alias("_doc"), F.xxhash64("doc_id", "text_hash").alias("_hash")]
+    best = written(best.select(*key), "best")
+    dropped(prints, rooted, least)
+    key = [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash")]
+    key = [F.coalesce(key[0], F.lit(-1)).alias("_doc"), F.xxhash64(*key).alias("_hash")]
+    rows = docs.select(*key, *carried(tuple(docs.columns))).join(best, ["_doc", "_hash"], "left_semi")
+    return rows.dropDuplicates(["_doc", "_hash"]).select(*carried(tuple(docs.columns), back=True))

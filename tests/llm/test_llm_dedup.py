@@ -12,7 +12,7 @@ import pytest
 from conftest import ODD, ordered
 from pyspark.sql import functions as F
 
-from pairloom.llm import near_copies, passages, simhash
+from pairloom.llm import passages, simhash
 from pairloom.llm.components import components
 from pairloom.llm.words import utf8
 
@@ -76,7 +76,7 @@ def test_empty_tables(frame, spark):
     none = frame([(1, "x")]).filter("doc_id < 0")
     assert passages.without_repeats(none).count() == 0
     assert simhash.near_duplicates(none).count() == 0
-    assert near_copies.one_of_each(none).count() == 0
+    assert simhash.one_of_each(none).count() == 0
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
@@ -124,66 +124,29 @@ def test_one_of_each_group_stays(frame):
     rows = [(5, "one two three four"), (4, "ONE two three four"), (4, "ONE two three four"), (9, "something else entirely"),
             (None, "one two three four"), (None, "only without id"), (7, None), (8, "")]
     df = frame(rows)
-    kept = near_copies.one_of_each(df)
+    kept = simhash.one_of_each(df)
     assert kept.columns == df.columns
     assert ordered(kept.select("doc_id", "text").collect()) == ordered(
         [(4, "ONE two three four"), (9, "something else entirely"), (None, "only without id"), (7, None)]
     )
 
 
-def test_near_copies_at_the_bound():
-    assert near_copies.most_bits(1.0) == 0 and near_copies.most_bits(0.8) == 43
-
-
-def test_near_copies_form_groups_and_others_stay(frame):
+def test_one_of_each_equals_plain_groups(frame):
     rng = random.Random(6)
-    text = lambda n: [f"w{rng.randint(0, 3_000)}" for _ in range(n)]
-    rows, copies = [], []
-    for g in range(12):
-        base = text(rng.choice([120, 300, 700]))
-        rows.append((g, " ".join(base)))
-        for i in range(6):
-            words = list(base)
-            for _ in range(len(words) // 100):  # a word in a hundred changes: likeness 0.9
-                words[rng.randrange(len(words))] = f"v{rng.randint(0, 99)}"
-            copies.append((100 + 10 * g + i, " ".join(words)))
-    others = [(500 + i, " ".join(text(rng.choice([3, 8, 60, 300])))) for i in range(40)]
-    half = rows[0][1].split()[:60] + text(80)
-    kept = {r.doc_id for r in near_copies.one_of_each(frame(rows + copies + others + [(600, " ".join(half))])).collect()}
-    assert {d for d, _ in rows} <= kept and {d for d, _ in others} <= kept and 600 in kept
-    assert len([d for d, _ in copies if d in kept]) <= 1
-
-
-def kept_of_pairs(frame, pairs):
-    """Which of the pairs of word lists come out as one document."""
-    rows = [(2 * i + j, " ".join(words)) for i, pair in enumerate(pairs) for j, words in enumerate(pair)]
-    kept = {r.doc_id for r in near_copies.one_of_each(frame(rows)).collect()}
-    assert {2 * i for i in range(len(pairs))} <= kept
-    return [2 * i + 1 not in kept for i in range(len(pairs))]
-
-
-def test_near_copies_on_both_sides_of_the_bound(frame):
-    fresh = lambda g, name, n: [f"{name}{g}x{i}" for i in range(n)]
-    pairs, want = [], []
-    for g in range(60):
-        shared = fresh(g, "s", 84)  # 80 shingles
-        more = (20, 21, 25, 30)[g % 4]  # so many of one side only: likeness 0.8, 0.792, 0.762, 0.727
-        pairs.append((shared, shared + fresh(g, "t", more)))
-        want.append(more == 20)
-    assert kept_of_pairs(frame, pairs) == want
-
-
-def test_near_copies_that_differ_by_a_block(frame):
-    rng = random.Random(11)
-    pairs = []
-    for g in range(120):
-        words = [f"b{rng.randint(0, 10**6)}" for _ in range(200)]
-        block = [f"n{rng.randint(0, 10**6)}" for _ in range((12, 20, 30, 40, 49)[g % 5])]  # likeness 0.94 to 0.8
-        pairs.append((words, (words + block, block + words, words[: -2 * len(block) // 3])[g % 3]))
-    alike = lambda a, b: len(a & b) / len(a | b)
-    likeness = [alike(*(plain.shingles_of(" ".join(x)) for x in pair)) for pair in pairs]
-    assert min(likeness) < 0.81 and sum(x < 0.9 for x in likeness) > 40
-    assert kept_of_pairs(frame, pairs) == [x >= 0.8 for x in likeness]
+    base = [f"w{rng.randint(0, 3_000)}" for _ in range(400)]
+    odd = [r for r in ODD if r != (8, "beta")]  # else two groups have one least id
+    rows = [*odd, *[(100 + i, " ".join(rng.choice(base) for _ in range(50))) for i in range(40)]]
+    for i in range(60):
+        words = list(base)
+        words[rng.randrange(400)] = f"v{i % 9}"
+        rows.append((200 + i, " ".join(words)))
+    groups: dict = {}
+    for (doc_id, _), (_, _, root) in zip(rows, plain.near_groups(rows)):
+        if doc_id is not None:
+            groups.setdefault(root, set()).add(doc_id)
+    kept = [r.doc_id for r in simhash.one_of_each(frame(rows)).collect()]
+    assert sorted(kept) == sorted(min(g) for g in groups.values())
+    assert len(kept) < len({d for d, _ in rows}) - 20
 
 
 def test_components_of_a_long_chain_and_a_star(spark):
