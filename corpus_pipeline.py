@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pairloom.llm import decontaminate, near_copies, packing, quality, secrets
-from pairloom.llm.shared import documents, for_long_texts, written
+from pairloom.llm import decontaminate, packing, quality, secrets, simhash
+from pairloom.llm.shared import documents, dropped, for_long_texts, steps, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -20,8 +20,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five words, a similarity of 0.8) stays."""
-    return near_copies.one_of_each(docs)
+    """One document of each group that fingerprints of three-word shingles link at 3 or fewer differing bits stays."""
+    return simhash.one_of_each(docs, shingle_words=3)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,8 +52,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, each on the written rows of the one before."""
-    docs = documents(spark, sf_dir)
+    """All stages, each on the written rows of the one before; what a stage wrote on its way goes when it is done.
+
+    Rows with a null text or doc_id, empty and very long texts, repeated rows and further columns take part as each
+    operator's docstring says; an empty ``documents`` gives no pieces.
+    """
+    docs, before = documents(spark, sf_dir), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        with steps():
+            done = written(stage(spark, docs, sf_dir), name, result=True)
+        if before is not None:
+            dropped(before)
+        docs = before = done
     return docs
