@@ -39,6 +39,7 @@ def test_odd_rows(frame):
 
 def test_small_shards(frame, monkeypatch):
     monkeypatch.setattr(passages, "SHARD_CHARS", 50)
+    monkeypatch.setattr(passages, "BUCKET_CHARS", 300)
     rng = random.Random(5)
     parts = [" ".join(f"p{k}w{i}" for i in range(12)) for k in range(6)]
     rows = [(i, " ".join(rng.choice(parts) for _ in range(4)) + f" own{i}") for i in range(30)]
@@ -52,26 +53,56 @@ def test_long_passage_in_many_documents(frame):
     assert out == {**{i: 60 for i in range(40)}, 100: 0}
 
 
-def test_no_anchor_stays_hot(frame, monkeypatch):
-    monkeypatch.setattr(passages, "HOT_SEGMENTS", 10)
+def licence_rows():
     passage = " ".join(f"licence{i}" for i in range(24))
+    long = " ".join(f"notice{i}" for i in range(36))
     around = lambda i, side: " ".join(f"{side}{i}x{j}" for j in range(40))
-    rows = [(i, f"{around(i, 'a')} {passage} {around(i, 'b')}") for i in range(80)] + [(100, f"{around(100, 'c')} {passage}")] * 2
-    data, at = utf8(pa.array([t for _, t in rows]))
-    none = np.zeros(0, dtype=np.uint64)
-
-    def heat(hot):
-        _, anchor, digest, *_ = passages.segments_of(data, at, hot, 35, 9)
-        return Counter(a for a, _ in {*zip(anchor.tolist(), digest.tolist())})
-
-    first = np.array(sorted(a for a, n in heat(none).items() if n > 10), dtype=np.uint64)
-    assert max(heat(first).values()) > 10  # dealing once leaves others hot
-    hot, candidates = passages.dealt(passages._keyed(frame(rows)), 35, 9)
-    assert max(heat(hot).values()) <= 10
-    assert candidates.groupBy("anchor").count().filter("count > 10").count() == 0
+    rows = [(i, f"{around(i, 'a')} {passage} {around(i, 'b')}") for i in range(80)]
+    rows += [(200 + i, f"{around(i, 'd')} {long} {around(i, 'e')}") for i in range(80)]
+    return rows + [(100, f"{around(100, 'c')} {passage}")] * 2
+
+
+def test_hot_anchors_are_counted_by_window(frame, monkeypatch):
+    monkeypatch.setattr(passages, "HOT_SEGMENTS", 10)
+    rows = licence_rows()
     assert removed(frame, rows, 35, 9) == ordered(plain.kept_words(rows, 35))
 
 
+def test_automaton_finds_the_other_occurrences(frame, monkeypatch):
+    """Without it, at most the copy that was compiled could be covered."""
+
+    class Blind:
+        def __init__(self, *kind):
+            pass
+
+        add_word = make_automaton = get = lambda self, *key: None
+        iter = lambda self, text: ()
+
+    passage = " ".join(f"shared{i}" for i in range(60))
+    texts = pa.array([f"start{i} of{i} {passage} end{i}" for i in range(4)])
+    words = passages.split(*utf8(texts))
+    owner, anchor, digest, *_ = passages.segments_of(words, 35, 9)
+    counts = Counter(zip(anchor.tolist(), digest.tolist()))
+    wanted = [(a, d, None) for (a, d), n in counts.items() if n > 1]
+    wanted = pa.table([pa.array(c) for c in zip(*wanted)], names=["anchor", "digest", "windows"])
+    _, gone = passages.covered(texts, wanted, 35, 9)
+    per_text = np.add.reduceat(gone.astype(int), words.first[:-1])
+    assert len(set(per_text.tolist())) == 1 and per_text[0] >= 35
+    monkeypatch.setattr(passages.ahocorasick, "Automaton", Blind)
+    assert not passages.covered(texts, wanted, 35, 9)[1].any()
+
+
+def test_unlike_windows_with_one_hash_stay_apart(monkeypatch):
+    class Alike(passages.Runs):
+        def hashes(self, a, b):
+            return np.zeros(len(a), dtype=np.uint64)
+
+    monkeypatch.setattr(passages, "Runs", Alike)
+    texts = pa.array(["a b c d", "b c d e", "x y z"])
+    assert passages.repeated_windows(texts, np.array([1, 1, 1]), 3) == [[1, 2], [0, 1], []]
+    assert passages.repeated_windows(texts, np.array([1, 1, 2]), 3) == [[1, 2], [0, 1], [0, 1]]
+
+
 def test_empty_tables(frame, spark):
     none = frame([(1, "x")]).filter("doc_id < 0")
     assert passages.without_repeats(none).count() == 0
