@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import decontaminate, extraction, fingerprints, language, packing, passages, quality, secrets, simhash, urls
+from pairloom.llm import (
+    decontaminate,
+    extraction,
+    fingerprints,
+    language,
+    packing,
+    passages,
+    prefix_trie,
+    quality,
+    secrets,
+    simhash,
+    urls,
+)
 from pairloom.llm.shared import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +68,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extracted(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_benchmark_decontamination,
@@ -68,9 +84,14 @@ def queries() -> dict[str, Query]:
         op8_simhash_near_dedup,
         op9_secret_scans,
         op10_html_extraction,
+        op12_conversation_prefix_trie,
     ]
     return {query.__name__: query for query in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_url_filters": urls.ORACLE_SQL, "op9_secret_scans": secrets.ORACLE_SQL}
+    return {
+        "op5_url_filters": urls.ORACLE_SQL,
+        "op9_secret_scans": secrets.ORACLE_SQL,
+        "op12_conversation_prefix_trie": prefix_trie.ORACLE_SQL,
+    }
