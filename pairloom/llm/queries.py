@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.llm import (
+    brown,
     decontaminate,
     extraction,
     fingerprints,
@@ -72,6 +73,10 @@ def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame
     return prefix_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.scored(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_benchmark_decontamination,
@@ -85,6 +90,7 @@ def queries() -> dict[str, Query]:
         op9_secret_scans,
         op10_html_extraction,
         op12_conversation_prefix_trie,
+        op13_lm_scoring,
     ]
     return {query.__name__: query for query in found}
 
