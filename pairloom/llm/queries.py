@@ -13,6 +13,7 @@ from pairloom.llm import (
     decontaminate,
     extraction,
     fingerprints,
+    hard_negatives,
     language,
     packing,
     passages,
@@ -69,6 +70,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extracted(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op11_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mined(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
@@ -89,6 +94,7 @@ def queries() -> dict[str, Query]:
         op8_simhash_near_dedup,
         op9_secret_scans,
         op10_html_extraction,
+        op11_hard_negative_mining,
         op12_conversation_prefix_trie,
         op13_lm_scoring,
     ]
@@ -99,5 +105,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op5_url_filters": urls.ORACLE_SQL,
         "op9_secret_scans": secrets.ORACLE_SQL,
+        "op11_hard_negative_mining": hard_negatives.ORACLE_SQL,
         "op12_conversation_prefix_trie": prefix_trie.ORACLE_SQL,
     }
