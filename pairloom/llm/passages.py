@@ -200,7 +200,7 @@ def _counted(cut: DataFrame, window: int) -> DataFrame:
             names = [*SEGMENT, "places", "i", "window"]
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-    many = cut.filter(F.col("segments") > HOT_SEGMENTS).select(*SEGMENT, "places", "words")
+    many = cut.filter(F.col("segments") > HOT_SEGMENTS).select(*SEGMENT, "places", "words").repartition(*SEGMENT)
     each = many.mapInArrow(run, "anchor long, digest long, places long, i int, window binary")
     counts = each.groupBy("window").agg(F.sum("places").alias("n")).filter("n > 1").select("window")
     kept = each.select(*SEGMENT, "i", "window").join(written(counts, "windows"), "window")
