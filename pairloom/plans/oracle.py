@@ -437,6 +437,9 @@ WHERE contains(target_class_l1, '|') OR contains(target_class_l2, '|')"""),
         "step_sizes_measured": sizes_select(measured_only=True),
         "dq_summary": quality_select(),
         "csv_roundtrip": query(f"SELECT {full} FROM flagged"),
+        "database_files": """
+SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_returnflag FROM lineitem
+WHERE l_quantity >= 25 AND l_returnflag IN ('A', 'R')""",
         "smiles_descriptors": query(
             f"SELECT molregno, canonical_smiles, {smiles_select()} FROM compound_structures"
         ),

@@ -22,13 +22,14 @@ from pairloom.plans import pair_table
 from pairloom.plans.oracle import MIN_PAIRS
 from pairloom.sinks.csv import write_verified
 from pairloom.sinks.staging import shared_folder, stage
-from pairloom.sources import Tables
+from pairloom.sources import Tables, read_database, write_database
 from pairloom.sources.fixture_views import base_table, fixture_tables
 
 CONFIG = PairConfig(min_pairs_bf=MIN_PAIRS, min_pairs_b=MIN_PAIRS)
 ALL_SOURCES = PairConfig(literature_only=False, min_pairs_bf=MIN_PAIRS, min_pairs_b=MIN_PAIRS)
 DESCRIBED = PairConfig(min_pairs_bf=MIN_PAIRS, min_pairs_b=MIN_PAIRS, descriptors=True)
 
+DATABASE_FILES = 8
 HOT = 5  # rows of a key in the variants that salt
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,6 +144,16 @@ def csv_roundtrip(tables: Tables) -> DataFrame:
     return write_verified(stage(full, "full").frame, path)
 
 
+def database_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows written by executors to several database files, read back in ranges with conditions decided in the files."""
+    names = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag"]
+    rows = base_table(spark, sf_dir, "lineitem").select(*names, "l_discount", "l_shipdate")
+    path = f"{shared_folder(spark)}/database-{uuid.uuid4().hex}"
+    write_database(rows.repartition(DATABASE_FILES, "l_orderkey"), path, "lineitem")
+    where = [("l_quantity", ">=", 25.0), ("l_returnflag", "in", ["A", "R"])]
+    return read_database(spark, path, "lineitem", rows.select(names).schema, where, keys_per_range="50000")
+
+
 def smiles_descriptors(tables: Tables) -> DataFrame:
     structures = tables["compound_structures"].select("molregno", s.SMILES)
     return structures.withColumns(smiles_counts(F.col(s.SMILES)))
@@ -188,6 +199,7 @@ def all_queries() -> dict[str, Query]:
         "step_sizes_measured": step_sizes(measured_only=True),
         "dq_summary": on_tables(dq_summary),
         "csv_roundtrip": on_tables(csv_roundtrip),
+        "database_files": database_files,
         "smiles_descriptors": on_tables(smiles_descriptors),
         "enrich_by_key": enrich_by_key,
         "full_dataset": full_dataset(CONFIG),
