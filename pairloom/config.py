@@ -14,6 +14,7 @@ class PairConfig:
     min_pairs_bf: int = 100
     min_pairs_b: int = 100
     descriptors: bool = False
+    hot_values: int | None = None  # different values of a pair beyond which its median is selected over all tasks
 
     @property
     def source_label(self) -> str:

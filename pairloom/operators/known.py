@@ -75,23 +75,23 @@ def missing_known_pairs(expanded: DataFrame, measured: DataFrame) -> DataFrame:
     return expanded.select(*s.PAIR).join(unmutated, s.PAIR, "left_anti")
 
 
-def pair_universe(cells: DataFrame, expanded: DataFrame) -> DataFrame:
+def pair_universe(cells: DataFrame, expanded: DataFrame, hot_values: int | None = None) -> DataFrame:
     """Measured and curated pairs, aggregated and flagged in one grouping.
 
     Curated pairs enter the grouping as cells without a value: a pair that is also measured merges with
     them, any other one becomes a row of its own. So neither an anti join nor a membership join is
     needed, and the measurements are read once. All windows and the grouping share one shuffle on
-    (compound, target) and one sort.
+    (compound, target) and one sort. ``hot_values`` as in ``pair_aggregates``.
     """
     curated = expanded.select(
         *s.PAIR, PHASE, F.lit(True).alias(THERAPEUTIC), F.lit(0).alias("n_BF"), F.lit(0).alias("n_B")
     )
-    cells = (
-        cells.withColumn("_curated", F.lit(False))
-        .unionByName(curated.withColumn("_curated", F.lit(True)), allowMissingColumns=True)
-        .repartition(*s.PAIR)
+    cells = cells.withColumn("_curated", F.lit(False)).unionByName(
+        curated.withColumn("_curated", F.lit(True)), allowMissingColumns=True
     )
-    pairs = pair_aggregates(cells, F.bool_or("_curated").alias(IN_KNOWN_MUTATION))
+    if hot_values is None:
+        cells = cells.repartition(*s.PAIR)
+    pairs = pair_aggregates(cells, F.bool_or("_curated").alias(IN_KNOWN_MUTATION), hot_values=hot_values)
     any_mutation = F.max(IN_KNOWN_MUTATION).over(Window.partitionBy(*s.PAIR))
     return pairs.withColumn(IN_KNOWN, any_mutation).withColumn(KEEP_BINDING, keep_for_binding())
 

@@ -10,6 +10,8 @@ from pairloom.config import PairConfig
 from pairloom.functions.numeric import ratio
 from pairloom.functions.text import none_if, pair_keys
 from pairloom.operators.joins import salted_join, sparse_lookup
+from pairloom.operators.selection import middle_values
+from pairloom.sinks.staging import stage
 from pairloom.sources import Tables
 
 # Assay types and the validity rule of a measurement.
@@ -117,15 +119,12 @@ def _rank_columns(suffix: str) -> dict[str, Column]:
     }
 
 
-def _pair_measures(suffix: str) -> list[Column]:
-    """Mean, maximum, exact median and first years of the ranked cells of a pair for one assay subset.
+def _pair_measures(suffix: str, lower: Column, upper: Column) -> list[Column]:
+    """Mean, maximum, exact median and first years of the cells of a pair for one assay subset.
 
     The median is the mean of the two middle measurements, which are the same one if their number is odd.
     """
     value, n, year = F.col(s.VALUE), F.col(f"n_{suffix}"), F.col(f"year_{suffix}")
-    upto, count = F.col(f"upto_{suffix}"), F.col(f"all_{suffix}")
-    lower = F.min(F.when((count > 0) & (2 * upto >= count), value))
-    upper = F.min(F.when(2 * upto > count, value))
     return [
         ratio(F.sum(value * n), F.sum(n)).alias(s.value_column("mean", suffix)),
         F.max(F.when(n > 0, value)).alias(s.value_column("max", suffix)),
@@ -135,14 +134,41 @@ def _pair_measures(suffix: str) -> list[Column]:
     ]
 
 
-def pair_aggregates(cells: DataFrame, *more: Column) -> DataFrame:
+def _middle_by_rank(suffix: str) -> tuple[Column, Column]:
+    """The two middle measurements of ranked cells."""
+    upto, count = F.col(f"upto_{suffix}"), F.col(f"all_{suffix}")
+    lower = F.min(F.when((count > 0) & (2 * upto >= count), F.col(s.VALUE)))
+    return lower, F.min(F.when(2 * upto > count, F.col(s.VALUE)))
+
+
+def pair_aggregates(cells: DataFrame, *more: Column, hot_values: int | None = None) -> DataFrame:
     """One row per pair with the measures of both assay subsets.
 
     The windows sort the cells of a pair and spill, so no pair has to fit into memory; grouping reuses
-    their shuffle. ``more`` are further aggregates.
+    their shuffle. ``more`` are further aggregates. With ``hot_values`` the cells are staged, and the medians of pairs
+    with more different values than that are selected over all tasks instead of in one.
     """
+    if hot_values is None:
+        return _ranked_aggregates(cells, *more)
+    cells = stage(cells, "cells").frame
+    many = cells.groupBy(*s.PAIR_MUTATION).agg(F.count(s.VALUE).alias("_values")).filter(F.col("_values") > hot_values)
+    hot = stage(many.select(*s.PAIR_MUTATION, F.monotonically_increasing_id().alias("_pair")), "hot-pairs")
+    if not hot.rows:
+        return _ranked_aggregates(cells, *more)
+    names = hot.frame.toDF(*(f"_hot_{c}" for c in s.PAIR_MUTATION), "_pair")
+    same = [cells[c].eqNullSafe(names[f"_hot_{c}"]) for c in s.PAIR_MUTATION]
+    marked = cells.join(F.broadcast(names), same, "left").drop(*(f"_hot_{c}" for c in s.PAIR_MUTATION))
+    few = _ranked_aggregates(marked.filter("_pair is null").drop("_pair"), *more)
+    rows = stage(marked.filter("_pair is not null"), "hot-cells").frame
+    middle = middle_values(rows, "_pair", s.VALUE, {suffix: f"n_{suffix}" for suffix in s.SUFFIXES})
+    measures = [m for x in s.SUFFIXES for m in _pair_measures(x, F.max(f"lower_{x}"), F.max(f"upper_{x}"))]
+    joined = rows.join(F.broadcast(middle), "_pair", "left")  # as many rows as there are hot pairs
+    return few.unionByName(joined.groupBy(*s.PAIR_MUTATION, *CARRIED).agg(*measures, *more))
+
+
+def _ranked_aggregates(cells: DataFrame, *more: Column) -> DataFrame:
     ranked = cells.withColumns({k: c for suffix in s.SUFFIXES for k, c in _rank_columns(suffix).items()})
-    measures = [m for suffix in s.SUFFIXES for m in _pair_measures(suffix)]
+    measures = [m for suffix in s.SUFFIXES for m in _pair_measures(suffix, *_middle_by_rank(suffix))]
     return ranked.groupBy(*s.PAIR_MUTATION, *CARRIED).agg(*measures, *more)
 
 

@@ -53,7 +53,7 @@ def measured_pairs(tables: Tables, cfg: PairConfig) -> DataFrame:
     """Aggregated measurements, before curated pairs join."""
     assays = measurements.assay_targets(tables, cfg, assay_types=measurements.USED_ASSAYS)
     cells = measurements.measurement_cells(measurements.measurement_rows(tables, cfg, assays))
-    return measurements.pair_aggregates(cells)
+    return measurements.pair_aggregates(cells, hot_values=cfg.hot_values)
 
 
 def expanded_known_pairs(tables: Tables) -> DataFrame:
@@ -77,7 +77,7 @@ def universe(
     cells = measurements.measurement_cells(measurements.measurement_rows(tables, cfg, assays, only_compounds))
     if only_compounds is not None:
         curated = spread_join(curated, only_compounds, s.PARENT, [s.TID], staged.hot(s.PARENT), "left_semi")
-    return interaction.classify(known.pair_universe(cells, curated))
+    return interaction.classify(known.pair_universe(cells, curated, cfg.hot_values))
 
 
 def related_pairs(tables: Tables, cfg: PairConfig) -> DataFrame:
