@@ -124,6 +124,16 @@ def repeated_keys(df: DataFrame, key: str, check: str) -> DataFrame:
     return counts.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(check).alias("check"), "violations")
 
 
+def bag_marks(df: DataFrame) -> list[Column]:
+    """Aggregates that are equal for frames with the same rows, each equally often, in any order: the number of rows and
+    the sums of two hashes of a row. NULLs are hashed as such, so they do not let values change columns."""
+    parts = [p for c in df.columns for p in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    marks = [F.count(F.lit(1)).alias("rows")]
+    for i in range(2):
+        marks.append(F.sum(F.xxhash64(F.lit(i), *parts).cast("decimal(28,0)")).alias(f"mark_{i}"))
+    return marks
+
+
 def bag_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows that do not occur equally often in both frames, with ``surplus`` of the left one.
 

@@ -393,6 +393,9 @@ SELECT {listed(COMPOUND, "c.")}, p.tid, p.mutation, {listed(TARGET, "t.")}, {rou
         "activity_pairs": query(described_rows("literature")),
         "activity_pairs_all_sources": query(described_rows("measured")),
         "pair_aggregates": query(f"""
+SELECT parent_molregno, concat_ws('_', tid, mutation) AS tid_mutation, {round_listed(AGGREGATES[:3] + AGGREGATES[5:8])},
+ {listed(AGGREGATES[3:5] + AGGREGATES[8:])} FROM pair"""),
+        "pair_aggregates_selected": query(f"""
 SELECT parent_molregno, concat_ws('_', tid, mutation) AS tid_mutation, {round_listed(AGGREGATES[:3] + AGGREGATES[5:8])},
  {listed(AGGREGATES[3:5] + AGGREGATES[8:])} FROM pair"""),
         "pair_attributes": query(
@@ -437,6 +440,9 @@ WHERE contains(target_class_l1, '|') OR contains(target_class_l2, '|')"""),
         "step_sizes_measured": sizes_select(measured_only=True),
         "dq_summary": quality_select(),
         "csv_roundtrip": query(f"SELECT {full} FROM flagged"),
+        "ordered_positions": query(
+            "SELECT cpd_target_pair_mutation, row_number() OVER (ORDER BY cpd_target_pair_mutation) AS position FROM flagged"
+        ),
         "database_files": """
 SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_returnflag FROM lineitem
 WHERE l_quantity >= 25 AND l_returnflag IN ('A', 'R')""",

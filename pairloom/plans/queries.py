@@ -13,7 +13,7 @@ from pairloom import schema as s
 from pairloom.config import PairConfig
 from pairloom.functions.smiles import smiles_counts
 from pairloom.functions.text import pair_keys
-from pairloom.operators import compounds, enrich, known, measurements, quality, stats, subsets, targets
+from pairloom.operators import compounds, enrich, known, measurements, ordering, quality, stats, subsets, targets
 from pairloom.operators.cleaning import round_doubles
 from pairloom.operators.joins import HOT_ROWS
 from pairloom.operators.known import IN_KNOWN, IN_KNOWN_MUTATION, KEEP_BINDING
@@ -26,6 +26,7 @@ from pairloom.sources import Tables, read_database, write_database
 from pairloom.sources.fixture_views import base_table, fixture_tables
 
 CONFIG = PairConfig(min_pairs_bf=MIN_PAIRS, min_pairs_b=MIN_PAIRS)
+SELECTED = PairConfig(min_pairs_bf=MIN_PAIRS, min_pairs_b=MIN_PAIRS, hot_values=1)
 ALL_SOURCES = PairConfig(literature_only=False, min_pairs_bf=MIN_PAIRS, min_pairs_b=MIN_PAIRS)
 DESCRIBED = PairConfig(min_pairs_bf=MIN_PAIRS, min_pairs_b=MIN_PAIRS, descriptors=True)
 
@@ -39,8 +40,8 @@ def on_tables(build: Callable[[Tables], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(fixture_tables(spark, sf_dir))
 
 
-def pair_aggregates(tables: Tables) -> DataFrame:
-    pairs = pair_table.measured_pairs(tables, CONFIG)
+def pair_aggregates(tables: Tables, cfg: PairConfig = CONFIG) -> DataFrame:
+    pairs = pair_table.measured_pairs(tables, cfg)
     keyed = pairs.withColumn("tid_mutation", pair_keys()["tid_mutation"])
     return round_doubles(keyed.drop(s.TID, s.MUTATION, *CARRIED))
 
@@ -144,6 +145,12 @@ def csv_roundtrip(tables: Tables) -> DataFrame:
     return write_verified(stage(full, "full").frame, path)
 
 
+def ordered_positions(tables: Tables) -> DataFrame:
+    """The place of each row of an artifact."""
+    keys = pair_table.core(tables, CONFIG).frame.select(s.ROW_KEY)
+    return ordering.positions(keys, [s.ROW_KEY])
+
+
 def database_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows written by executors to several database files, read back in ranges with conditions decided in the files."""
     names = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag"]
@@ -173,6 +180,7 @@ def all_queries() -> dict[str, Query]:
         "activity_pairs": on_tables(lambda t: pair_table.activity_rows(t, CONFIG)),
         "activity_pairs_all_sources": on_tables(lambda t: pair_table.activity_rows(t, ALL_SOURCES)),
         "pair_aggregates": on_tables(pair_aggregates),
+        "pair_aggregates_selected": on_tables(lambda t: pair_aggregates(t, SELECTED)),
         "pair_attributes": on_tables(pair_attributes),
         "known_pairs": on_tables(lambda t: known.known_pairs(t).select(*s.PAIR)),
         "target_mappings": on_tables(known.target_mappings),
@@ -199,6 +207,7 @@ def all_queries() -> dict[str, Query]:
         "step_sizes_measured": step_sizes(measured_only=True),
         "dq_summary": on_tables(dq_summary),
         "csv_roundtrip": on_tables(csv_roundtrip),
+        "ordered_positions": on_tables(ordered_positions),
         "database_files": database_files,
         "smiles_descriptors": on_tables(smiles_descriptors),
         "enrich_by_key": enrich_by_key,

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pairloom.config import OutputConfig, PairConfig
 from pairloom.operators import quality
 from pairloom.plans import pair_table
-from pairloom.plans.publish import publish
+from pairloom.plans import publish as plans
+from pairloom.plans.publish import publish, read_release
+from pairloom.sinks import csv, files
 from pairloom.sinks.csv import read_csv, write_csv, write_verified
 from pairloom.sinks.staging import shared_folder, stage
 
@@ -44,6 +46,32 @@ def test_changed_file_is_found(spark, tmp_path):
     assert not quality.bag_difference(df, read).isEmpty()
 
 
+@pytest.mark.parametrize(
+    "change",
+    [
+        lambda df: df.withColumn("number", F.when(F.col("id") == 3, F.col("number") + 1e-9).otherwise(F.col("number"))),
+        lambda df: df.filter("id <> 4"),
+        lambda df: df.unionAll(df.filter("id = 4")),
+        lambda df: df.withColumns({"text": F.when(F.col("id") == 99, "x").otherwise(F.col("text"))}),
+    ],
+)
+def test_what_was_not_written_as_it_was_is_found(spark, tmp_path, monkeypatch, change):
+    """A changed, a lost, a doubled row, and a value where there was none."""
+    wrong = lambda own, path, delimiter: write_csv(change(own), path, delimiter)
+    monkeypatch.setattr(csv, "write_csv", wrong)
+    with pytest.raises(ValueError, match="differs from its source"):
+        write_verified(frame(spark), str(tmp_path / "out"))
+
+
+def test_marks_tell_bags_apart(spark):
+    marks = lambda rows: spark.createDataFrame(rows, "a string, b string").transform(lambda d: d.agg(*quality.bag_marks(d))).first()
+    bag = [("x", None), ("y", "z"), ("y", "z")]
+    assert marks(bag) == marks(bag[::-1])
+    others = [[(None, "x"), *bag[1:]], bag[:2], [*bag, bag[0]], [bag[0], bag[0], bag[1]], [("x", ""), *bag[1:]], [("z", "y"), *bag[:2]]]
+    assert len({marks(bag), *map(marks, others)}) == 7
+    assert marks([]).rows == 0
+
+
 def test_wrong_type_fails(spark, tmp_path):
     write_csv(frame(spark), str(tmp_path / "out"))
     wrong = spark.createDataFrame([], "id BIGINT, text BIGINT, truth BOOLEAN, number DOUBLE").schema
@@ -97,7 +125,74 @@ def test_publish(spark, tmp_path):
     assert got[("parent_molregno", "all")] == 3 and got[("tid", "drugs")] == 1 and got[("tid", "candidates")] == 0
     sizes = {r.step: r for r in rows["debug_sizes_all"].collect()}
     assert len(sizes) == 15
-    assert sizes["activity ct-pairs"].cpd_target_pair_all == "4" and sizes["clean df"].cpd_target_pair_all == "3"
+    assert [sizes[step].cpd_target_pair_all for step in pair_table.STEPS] == ["4", "4", "3", "3", "3", "3", "3"]
+    assert read_release(spark, str(tmp_path), base) == dict(zip(names, paths))
+
+
+class Stopped(Exception):
+    pass
+
+
+def test_a_run_that_stops_leaves_the_release(spark, tmp_path, monkeypatch):
+    def tables(value):
+        return hand_tables(spark, **compounds(1, 2), **targets(5), **measurements((1, 5, value), (2, 5, 6.0)), **curated((1, 5)))
+
+    def stop_at_third(df, path, delimiter, own=plans.write_artifact, seen=[]):  # noqa: B006
+        seen.append(path)
+        if len(seen) == 3:
+            raise Stopped
+        own(df, path, delimiter)
+
+    cfg, out = PairConfig(min_pairs_bf=1, min_pairs_b=1), OutputConfig(str(tmp_path), release="r1", write_bf=True)
+    name = plans.release_name(cfg, out)
+    means = lambda: sorted(
+        r.potency_mean_BF
+        for r in spark.read.options(header=True, sep=";").csv(read_release(spark, str(tmp_path), name)[f"{name}_full_dataset"]).collect()
+    )
+    staged = shared_folder(spark)
+    before = set(os.listdir(staged))
+    publish(tables(5.0), cfg, out)
+    assert set(os.listdir(staged)) == before  # what was staged is gone
+    with monkeypatch.context() as m:
+        m.setattr(plans, "write_artifact", stop_at_third)
+        with pytest.raises(Stopped):
+            publish(tables(7.0), cfg, out)
+    assert means() == ["5.0", "6.0"] and set(os.listdir(staged)) == before
+    old = read_release(spark, str(tmp_path), name)
+    publish(tables(7.0), cfg, out)
+    publish(tables(7.0), cfg, out)  # again: harmless
+    assert means() == ["6.0", "7.0"] and set(read_release(spark, str(tmp_path), name)) == set(old)
+    assert len(os.listdir(tmp_path / "_runs")) == 4
+    assert len(plans.drop_other_runs(spark, str(tmp_path), [name])) == 3 and means() == ["6.0", "7.0"]
+    assert plans.drop_other_runs(spark, str(tmp_path), [name]) == []
+
+
+def test_a_file_is_replaced_whole(spark, tmp_path):
+    path = str(tmp_path / "new folder" / "x.json")
+    for text in ("one", "twö"):
+        files.replace(spark, path, text)
+        assert files.text_of(spark, path) == text
+    assert [f for f in os.listdir(tmp_path / "new folder") if not f.endswith(".crc")] == ["x.json"]
+    files.delete(spark, path)
+    assert not files.exists(spark, path) and files.folders(spark, str(tmp_path / "absent")) == []
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Conf:
+        get = staticmethod(lambda name, default=None: {"spark.sql.warehouse.dir": "/warehouse/"}.get(name, default))
+
+    class Context:
+        master = "local[8]"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        conf, sparkContext = Conf, Context
+
+    assert shared_folder(Session) == "/warehouse/_staged"
+    for master in ("yarn", "local-cluster[3,2,1000]", "spark://host:7077"):
+        Context.master = master
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(Session)
 
 
 def test_publish_stops_at_violations(spark, tmp_path):
@@ -106,7 +201,7 @@ def test_publish_stops_at_violations(spark, tmp_path):
     )
     with pytest.raises(ValueError, match="literal:nan.: 1"):
         publish(tables, PairConfig(), OutputConfig(str(tmp_path / "out")))
-    assert not os.path.exists(tmp_path / "out")
+    assert not os.path.exists(tmp_path / "out" / "snapshot_CTI_literature_only.json")
 
 
 def test_stage_of_nothing(spark):
