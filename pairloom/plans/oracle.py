@@ -446,6 +446,18 @@ WHERE contains(target_class_l1, '|') OR contains(target_class_l2, '|')"""),
         "database_files": """
 SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_returnflag FROM lineitem
 WHERE l_quantity >= 25 AND l_returnflag IN ('A', 'R')""",
+        "rejected_values": """
+WITH split AS (SELECT * FROM lineitem WHERE l_linenumber <> 6)
+SELECT NULL AS "column", 'malformed record' AS reason, count(*) AS n, NULL::BIGINT AS quantity FROM lineitem WHERE l_linenumber = 6
+HAVING count(*) > 0
+UNION ALL
+SELECT 'l_quantity', CASE l_linenumber WHEN 1 THEN 'no number' WHEN 2 THEN 'not whole' ELSE 'out of range' END, count(*), NULL
+FROM split WHERE l_linenumber <= 3 GROUP BY l_linenumber
+UNION ALL
+SELECT 'l_extendedprice', 'no number', count(*), NULL FROM split WHERE l_partkey % 3 = 0 HAVING count(*) > 0
+UNION ALL
+SELECT NULL, 'accepted', count(*), sum(CASE l_linenumber WHEN 4 THEN 7 ELSE trunc(l_quantity) END)::BIGINT
+FROM split WHERE l_linenumber > 3 AND l_partkey % 3 <> 0""",
         "smiles_descriptors": query(
             f"SELECT molregno, canonical_smiles, {smiles_select()} FROM compound_structures"
         ),

@@ -15,6 +15,7 @@ from pairloom.sinks import files
 from pairloom.sinks.csv import write_csv, write_verified
 from pairloom.sinks.staging import stage, steps
 from pairloom.sources import Tables
+from pairloom.sources.rejects import DealtTables
 
 RUNS = "_runs"
 
@@ -64,6 +65,8 @@ def publish(tables: Tables, cfg: PairConfig, out: OutputConfig) -> list[str]:
     follow (``read_release``). A run that stops before leaves the old release as it was, and a repeated one meets none
     of its files. What is staged on the way is deleted at the end.
 
+    Of tables whose rows are dealt, the rejected values are an artifact too. Such tables are read anew by each run.
+
     Returns the paths of the artifacts.
     """
     spark = tables["activities"].sparkSession
@@ -110,4 +113,8 @@ def _written(tables: Tables, cfg: PairConfig, out: OutputConfig, folder: str) ->
         for name, measured_only in (("all", False), ("measured", True)):
             paths.append(f"{folder}/debug_sizes_{name}")
             write_csv(pair_table.step_sizes(tables, cfg, measured_only, every), paths[-1], out.delimiter)
+
+    if isinstance(tables, DealtTables):
+        paths.append(f"{base}_rejected")
+        write_csv(tables.rejected(full.sparkSession), paths[-1], out.delimiter)
     return paths

@@ -22,7 +22,7 @@ from pairloom.plans import pair_table
 from pairloom.plans.oracle import MIN_PAIRS
 from pairloom.sinks.csv import write_verified
 from pairloom.sinks.staging import shared_folder, stage
-from pairloom.sources import Tables, read_database, write_database
+from pairloom.sources import Tables, read_database, rejects, write_database
 from pairloom.sources.fixture_views import base_table, fixture_tables
 
 CONFIG = PairConfig(min_pairs_bf=MIN_PAIRS, min_pairs_b=MIN_PAIRS)
@@ -161,6 +161,24 @@ def database_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_database(spark, path, "lineitem", rows.select(names).schema, where, keys_per_range="50000")
 
 
+def rejected_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A text file with records at fault, dealt by whether they fit the declared types: values by reason, and rows."""
+    quantity = """CASE l_linenumber WHEN 1 THEN 'n/a' WHEN 2 THEN '1.5' WHEN 3 THEN '99999999999' WHEN 4 THEN '7.0'
+        ELSE CAST(CAST(l_quantity AS INT) AS STRING) END"""
+    price = "CASE WHEN l_partkey % 3 = 0 THEN 'unknown' ELSE CAST(l_extendedprice AS STRING) END"
+    line = f"concat_ws(';', l_orderkey, {quantity}, {price}) || CASE WHEN l_linenumber = 6 THEN ';surplus' ELSE '' END"
+    path = f"{shared_folder(spark)}/dealt-{uuid.uuid4().hex}"
+    base_table(spark, sf_dir, "lineitem").selectExpr(f"{line} AS value").write.text(path)
+    names = ["l_orderkey", "l_quantity", "l_extendedprice"]
+    schema = ", ".join(f"{c} STRING" for c in [*names, rejects.CORRUPT])
+    read = spark.read.schema(schema).options(sep=";", columnNameOfCorruptRecord=rejects.CORRUPT).csv(path)
+    dealt = rejects.deal(read, "l_orderkey BIGINT, l_quantity INT, l_extendedprice DOUBLE", "lineitem")
+    accepted = dealt.accepted.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("l_quantity").cast("long")).alias("quantity"))
+    none = F.lit(None).cast("string")
+    counts = rejects.reject_counts(dealt.rejected).select("column", "reason", "n", F.lit(None).cast("long").alias("quantity"))
+    return counts.unionByName(accepted.select(none.alias("column"), F.lit("accepted").alias("reason"), "n", "quantity"))
+
+
 def smiles_descriptors(tables: Tables) -> DataFrame:
     structures = tables["compound_structures"].select("molregno", s.SMILES)
     return structures.withColumns(smiles_counts(F.col(s.SMILES)))
@@ -209,6 +227,7 @@ def all_queries() -> dict[str, Query]:
         "csv_roundtrip": on_tables(csv_roundtrip),
         "ordered_positions": on_tables(ordered_positions),
         "database_files": database_files,
+        "rejected_values": rejected_values,
         "smiles_descriptors": on_tables(smiles_descriptors),
         "enrich_by_key": enrich_by_key,
         "full_dataset": full_dataset(CONFIG),
