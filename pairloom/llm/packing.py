@@ -29,6 +29,7 @@ CELL_BITS = 8
 BUCKETS = 4096
 SEED = 20
 ROWS_OUT = 20_000
+RANGE_IDS = 1 << 24  # in the part of the curve that a task packs
 
 PIECE_DDL = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, curve long"
@@ -51,13 +52,18 @@ def tokenized(docs: DataFrame, tokenizer: str) -> DataFrame:
         kind = narrow(len(known.ends_unit))
         last = np.array([END_ID], dtype=ID).tobytes()
         for batch in chunks(batches):
-            ids = [np.frombuffer(known.ids(t or "") + last, dtype=ID) for t in batch.column("text").to_pylist()]
-            place = np.array([pull[x].mean(axis=0) for x in ids], dtype=np.float64)
+            found = known.ids([t or "" for t in batch.column("text").to_pylist()])
+            sizes = np.array([len(x) // ID.itemsize + 1 for x in found])
+            ids = np.frombuffer(last.join([*found, b""]), dtype=ID)
+            ends = np.cumsum(sizes)
+            place = np.add.reduceat(pull[ids], ends - sizes, axis=0, dtype=np.float64) / sizes[:, None]
+            stored = ids.astype(kind).tobytes()
+            cuts = [0, *(ends * kind.itemsize).tolist()]
             yield pa.record_batch(
                 [
                     batch.column("doc_id"),
-                    pa.array([x.astype(kind).tobytes() for x in ids], pa.binary()),
-                    pa.array([len(x) for x in ids], pa.int64()),
+                    pa.array([stored[a:b] for a, b in zip(cuts, cuts[1:])], pa.binary()),
+                    pa.array(sizes),
                     *(pa.array(place[:, d]) for d in range(DIMENSIONS)),
                 ],
                 names=["doc_id", "ids", "doc_tokens", *(f"x{d}" for d in range(DIMENSIONS))],
@@ -97,11 +103,11 @@ def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
-def on_curve(rows: DataFrame) -> DataFrame:
+def on_curve(rows: DataFrame) -> tuple[DataFrame, int]:
     """``curve``: the Hilbert number of each row. Cells hold equal shares of a normal spread around the mean of all
-    documents; the outermost cells are open."""
+    documents; the outermost cells are open. And the number of all ids."""
     axes = [f"x{d}" for d in range(DIMENSIONS)]
-    spread = rows.agg(*(f(c) for c in axes for f in (F.avg, F.stddev_pop))).first()
+    spread = rows.agg(*(f(c) for c in axes for f in (F.avg, F.stddev_pop)), F.sum("doc_tokens")).first()
     means = np.array([spread[2 * d] or 0.0 for d in range(DIMENSIONS)])
     sizes = np.array([spread[2 * d + 1] or 1.0 for d in range(DIMENSIONS)])
 
@@ -112,7 +118,7 @@ def on_curve(rows: DataFrame) -> DataFrame:
         cells = np.minimum((share * (1 << CELL_BITS)).astype(np.int64), (1 << CELL_BITS) - 1)
         return pd.Series(hilbert(cells, CELL_BITS))
 
-    return rows.withColumn("curve", number(*axes))
+    return rows.withColumn("curve", number(*axes)), spread[-1] or 0
 
 
 def sequences_of(documents: Iterator[tuple], kind: np.dtype) -> Iterator[tuple]:
@@ -157,8 +163,9 @@ def packed(docs: DataFrame, tokenizer: str) -> DataFrame:
     its partition on, so no task waits for another. An empty table gives no rows; other columns are not read.
     """
     rows = written(tokenized(docs, tokenizer), "tokens")
-    dealt = on_curve(rows.withColumn("h", F.xxhash64("ids"))).select("curve", "doc_id", "h", "ids")
-    dealt = dealt.repartitionByRange("curve", "doc_id", "h").sortWithinPartitions("curve", "doc_id", "h")
+    placed, n_ids = on_curve(rows.withColumn("h", F.xxhash64("ids")))
+    order = ["curve", "doc_id", "h"]
+    dealt = placed.select(*order, "ids").repartitionByRange(1 + n_ids // RANGE_IDS, *order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = narrow(len(words(tokenizer).ends_unit))

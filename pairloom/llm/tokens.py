@@ -1,8 +1,9 @@
-"""Token ids of whole texts, with the ids of white-space separated words kept between texts.
+"""Token ids of whole texts, with the ids of what the splitting rule makes of them kept between texts.
 
-The normalizer and the splitting rule of ``word_bpe_49k.json`` never look across white space, so the ids of a text
-are those of its words on end. Words are looked up, and only unseen ones are encoded: plain words many at a time,
-which is several times faster than one by one.
+``word_bpe_49k.json`` lower-cases, splits into units (runs of letters, single digits, contractions, runs of anything
+else) and encodes each unit alone. In texts of ASCII and Latin-1 letters, which no normalization changes but for their
+case, the same rule is applied here, and only units not seen before are encoded, many at a time. In other texts the ids
+of white-space separated words are kept, as the rule never looks across white space.
 """
 
 from __future__ import annotations
@@ -12,17 +13,39 @@ import re
 
 import numpy as np
 
-KNOWN_WORDS = 200_000  # in each of two generations per worker, about 40 MB each
+KNOWN = 200_000  # units, and words, in each of two generations per worker, about 40 MB each
 BATCH_UNITS = 2_000
 ID = np.dtype("<u4")
+SPECIAL = "<|"  # a text that names a special token is left to the tokenizer
 
-#: One run of letters, or one with punctuation behind it. The letters are those of ASCII and Latin-1, which no
-#: normalization changes but for their case; each run is one unit of the splitting rule.
-PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!\"#$%&()*+,./:;<=>?@\\[\\\\\\]^_`{|}~-]*)")
+SIMPLE = re.compile("[\t\n\x0b\x0c\r\x20-\x7eÀ-ÖØ-öø-ÿ]*+")
+#: Fixed value: the tokenizer's splitting rule, for lower-case texts of these letters.
+UNIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-zß-öø-ÿ0-9]+")
 
 _open: dict[str, Words] = {}
 
 
+class Known:
+    """Ids by unit or word. What was not used for long is forgotten: if there are too many, the older half goes, and
+    what is used again comes back from it."""
+
+    def __init__(self):
+        self.now: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def unknown(self, wanted: set[str]) -> set[str]:
+        new = wanted.difference(self.now)
+        if new and len(self.now) > KNOWN:
+            self.older, self.now = self.now, {}
+            new = wanted
+        if new:
+            older = self.older
+            again = {w: older[w] for w in new if w in older}
+            self.now.update(again)
+            new = new.difference(again)
+        return new
+
+
 class Words:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core
@@ -32,50 +55,30 @@ class Words:
         vocabulary = self.tokenizer.get_vocab()
         self.ends_unit = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends_unit[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-
-    def ids(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit numbers."""
-        words = text.encode().split()
-        different = set(words)
-        new = different.difference(self.known)
-        if new:
-            if len(self.known) > KNOWN_WORDS:  # what is used again comes back from the older generation
-                self.older, self.known = self.known, {}
-                new = different
-            older = self.older
-            again = {w: older[w] for w in new if w in older}
-            self.known.update(again)
-            self._learn(new.difference(again))
-        return b"".join(map(self.known.__getitem__, words))
-
-    def _learn(self, new: set[bytes]) -> None:
-        """Plain words are put together from their letters, in lower case, and their punctuation."""
-        known, plain, other = self.known, [], []
-        for word in new:
-            match = PLAIN.fullmatch(word.decode())
-            if match:
-                plain.append((word, match[1].lower().encode(), match[2].encode()))
-            else:
-                other.append(word)
-        self._learn_units(list({u for _, *units in plain for u in units if u and u not in known}))
-        for word, letters, punctuation in plain:
-            known[word] = known[letters] + known[punctuation] if punctuation else known[letters]
-        for word, ids in zip(other, self._encode([w.decode() for w in other])):
-            known[word] = ids.tobytes()
-
-    def _learn_units(self, units: list[bytes]) -> None:
-        for a in range(0, len(units), BATCH_UNITS):
-            part = units[a : a + BATCH_UNITS]
-            whole = self._encode([b" ".join(part).decode()])[0]
+        self.units, self.words = Known(), Known()
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit numbers."""
+        simple = [SIMPLE.fullmatch(t) is not None and SPECIAL not in t for t in texts]
+        parts = [UNIT.findall(t.lower()) if s else [w.decode() for w in t.encode().split()] for t, s in zip(texts, simple)]
+        self._learn_units(list(self.units.unknown(set().union(*(p for p, s in zip(parts, simple) if s)))))
+        self._learn_words(list(self.words.unknown(set().union(*(p for p, s in zip(parts, simple) if not s)))))
+        unit, word = self.units.now.__getitem__, self.words.now.__getitem__
+        return [b"".join(map(unit if s else word, p)) for p, s in zip(parts, simple)]
+
+    def _learn_words(self, new: list[str]) -> None:
+        self.words.now.update((w, ids.tobytes()) for w, ids in zip(new, self._encode(new)))
+
+    def _learn_units(self, new: list[str]) -> None:
+        for a in range(0, len(new), BATCH_UNITS):
+            part = new[a : a + BATCH_UNITS]
+            whole = self._encode([" ".join(part)])[0]
             ends = np.flatnonzero(self.ends_unit[whole]) + 1
             if len(ends) == len(part):
-                cuts = [0, *ends.tolist()]
-                self.known.update((u, whole[x:y].tobytes()) for u, x, y in zip(part, cuts, cuts[1:]))
+                found, cuts = whole.tobytes(), [0, *(ends * ID.itemsize).tolist()]
+                self.units.now.update((u, found[x:y]) for u, x, y in zip(part, cuts, cuts[1:]))
             else:
-                found = self._encode([u.decode() for u in part])
-                self.known.update((u, ids.tobytes()) for u, ids in zip(part, found))
+                self.units.now.update((u, ids.tobytes()) for u, ids in zip(part, self._encode(part)))
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []

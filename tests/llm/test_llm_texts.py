@@ -86,9 +86,14 @@ def test_word_by_word_ids_equal_the_tokenizer():
     alphabet = "abzAZéÉßÇ'’.,!?-_()12٣ \n\t\x1c\x85\u00a0\u0301ªºﬁİΣςſ中😀<|>&;"
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(1_500)]
     texts += ["it's we'll THEY'RE 'tis x<|endoftext|>y <|startoftext|>", "a\u0301 e \u0301", "don't!!", "(word), word; word..."]
+    plain = "abzAZéÉßÿÀÖØÞàöøþ'',.!?-_()12 \n\t\x0b\x0c\r<|>&;#s t re ve m ll d"
+    texts += ["".join(rng.choice(plain) for _ in range(rng.randint(0, 80))) for _ in range(1_500)]
+    assert sum(tokens.SIMPLE.fullmatch(t) is not None for t in texts) > 1_500
+    together = known.ids(texts)
+    assert [known.ids([t])[0] for t in texts] == together == tokens.Words(TOKENIZER).ids(texts)
     for text in texts:
         want = tokenizer.encode(text, add_special_tokens=False).ids
-        assert np.frombuffer(known.ids(text), tokens.ID).tolist() == want, text
+        assert np.frombuffer(known.ids([text])[0], tokens.ID).tolist() == want, text
 
 
 def test_hilbert_curve_visits_each_cell_by_single_steps():
