@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 # Fixed values of HTML: elements that begin a block of their own, those whose content is no markup of the page,
@@ -25,12 +27,13 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 STOPS = frozenset("ul ol dl table select article section div body main aside nav".split())
 P_ENDS = BLOCK - {"option", "optgroup", "caption", "legend", "summary"}
 
-MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.DOTALL
-)
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+TAG_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+DEEPEST = 512  # open elements; deeper ones begin blocks but are not kept open, as in browsers
 CLOSES = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.IGNORECASE) for t in RAW | INSTEAD}
 OPENS_BLOCK = re.compile(rf"</?(?:{'|'.join(sorted(BLOCK))})(?=[\s/>])", re.IGNORECASE)
-NO_TEXT = re.compile(r"(?>\s+|<!--.*?-->|<(?![/!])[^>]*>)*+</([a-z]+)", re.DOTALL | re.IGNORECASE)
+NO_TEXT = re.compile(r"(?>\s+|<!--.*?-->|<(?![/!])[^>]*>)*+", re.DOTALL)
+CLOSED = re.compile(r"</([a-z]+)", re.IGNORECASE)
 NAMED = re.compile(r"(?:^|[\s\"'/])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.IGNORECASE)
@@ -44,6 +47,35 @@ class Block:
     names: frozenset[str]  # words of their classes, ids and roles
     nearest: tuple[str, ...]  # those of the innermost element that has any
     link_chars: int
+    hidden: bool = False  # in an element that is not shown at first
+
+
+def marks(page: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """Begin and end of each tag, comment or declaration, and of tags the slash, the name and the attributes.
+
+    Each character is looked at a bounded number of times. Quotes may hold a ``>``; behind a tag whose quotes never close,
+    tags end at their first ``>``. What never ends is text, except for a comment.
+    """
+    at, last, quotes = 0, page.rfind(">"), True
+    while (start := page.find("<", at)) >= 0:
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            at = end + 3 if end >= 0 else len(page)
+            yield start, at, "", "", ""
+        elif start > last:
+            at = page.find("<!--", start)
+            if at < 0:
+                return
+        elif named := TAG_NAME.match(page, start):
+            m = TAG.match(page, start) if quotes else None
+            quotes = m is not None
+            at = m.end() if m else page.index(">", start) + 1
+            yield start, at, named[1], named[2].lower(), m[3] if m else page[named.end() : at - 1]
+        elif page[start + 1] in "!?/":
+            at = page.index(">", start) + 1
+            yield start, at, "", "", ""
+        else:
+            at = start + 1
 
 
 def _names(attributes: str) -> tuple[str, ...]:
@@ -63,13 +95,13 @@ def _is_hidden(attributes: str) -> bool:
 
 
 def blocks(page: str) -> list[Block]:
-    """Blocks with text, in page order. Comments, scripts, styles and hidden elements are left out, hidden ones only
-    where the page shows any text beside them; character references are decoded; white space is one space. Broken
-    markup is read as browsers roughly do: unclosed paragraphs and list items end where the next begins, stray end
-    tags are passed over. Of an unclosed script or the like, what comes before the next block is left out."""
+    """Blocks with text, in page order. Comments, scripts and styles are left out; character references are decoded;
+    white space is one space. Broken markup is read as browsers roughly do: unclosed paragraphs and list items end where
+    the next begins, stray end tags are passed over. Of an unclosed script or the like, what comes before the next block
+    is left out."""
     out: list[Block] = []
-    shown: list[bool] = []
-    stack: list[tuple[str, tuple[str, ...], bool]] = []
+    stack: list[tuple[str, tuple[str, ...], frozenset[str], bool]] = []  # tag, names, all names so far, hidden
+    is_open: Counter = Counter()
     parts: list[str] = []
     links = link_chars = 0
 
@@ -81,88 +113,96 @@ def blocks(page: str) -> list[Block]:
                 text = html.unescape(text)
             text = " ".join(text.split())
             if text:
-                shown.append(not any(hidden for _, _, hidden in stack))
-                names = frozenset(n for _, own, _ in stack for n in own)
-                nearest = next((own for _, own, _ in reversed(stack) if own), ())
-                out.append(Block(text, tuple(t for t, _, _ in stack), names, nearest, link_chars))
+                _, _, names, hidden = stack[-1] if stack else ("", (), frozenset(), False)
+                nearest = next((own for _, own, _, _ in reversed(stack) if own), ())
+                out.append(Block(text, tuple(t for t, *_ in stack), names, nearest, link_chars, hidden))
             parts.clear()
         link_chars = 0
 
+    def push(tag: str, attributes: str) -> None:
+        if len(stack) == DEEPEST:
+            return
+        own = _names(attributes)
+        names, hidden = (stack[-1][2], stack[-1][3]) if stack else (frozenset(), False)
+        hidden = hidden or tag not in REVEALED and _is_hidden(attributes)
+        stack.append((tag, own, names.union(own) if own else names, hidden))
+        is_open[tag] += 1
+
     def close(upto: int) -> None:
         flush()
+        is_open.subtract(t for t, *_ in stack[upto:])
         del stack[upto:]
 
+    def close_last(tag: str) -> None:
+        if is_open[tag]:
+            close(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag))
+
     drawn = unseen = ""  # the open svg or math, the open element whose text is not shown
-    unclosed: set[str] = set()
+    ends: dict[str, re.Match | None] = {}
+    no_text = 0, -1  # a stretch of markup without text
 
     def closed(tag: str, at: int) -> re.Match | None:
-        end = None if tag in unclosed else CLOSES[tag].search(page, at)
-        if not end:
-            unclosed.add(tag)
-        return end
+        if tag not in ends or ends[tag] and ends[tag].start() < at:
+            ends[tag] = CLOSES[tag].search(page, at)
+        return ends[tag]
 
     at = 0
-    while m := MARKUP.search(page, at):
-        if m.start() > at and not unseen:
-            parts.append(page[at : m.start()])
+    for start, end, slash, tag, attributes in marks(page):
+        if start < at:  # inside a script or the like
+            continue
+        if start > at and not unseen:
+            parts.append(page[at:start])
             if links:
-                link_chars += m.start() - at
-        at = m.end()
-        tag = m[2]
+                link_chars += start - at
+        at = end
         if not tag:
             continue
-        tag = tag.lower()
         if drawn and tag in UNSEEN[drawn]:
-            if m[1]:
+            if slash:
                 unseen = "" if tag == unseen else unseen
-            elif not m[3].endswith("/"):
+            elif not attributes.endswith("/"):
                 unseen = unseen or tag
         elif tag in UNSEEN:
-            drawn, unseen = "" if m[1] or m[3].endswith("/") else tag, ""
+            drawn, unseen = "" if slash or attributes.endswith("/") else tag, ""
         elif tag in RAW:
-            if not m[1]:
-                end = closed(tag, at)
-                behind = None if end else OPENS_BLOCK.search(page, at)
-                at = end.end() if end else behind.start() if behind else len(page)
+            if not slash:
+                found = closed(tag, at)
+                behind = None if found else OPENS_BLOCK.search(page, at)
+                at = found.end() if found else behind.start() if behind else len(page)
         elif tag in INSTEAD:
-            if m[1]:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == tag:
-                        close(i)
-                        break
+            if slash:
+                close_last(tag)
             elif not closed(tag, at):
                 unseen = tag if tag == "noscript" else unseen
-            elif not ((empty := NO_TEXT.match(page, at)) and empty[1].lower() == tag):
-                flush()
-                stack.append((tag, _names(m[3]), _is_hidden(m[3])))
+            else:
+                if not no_text[0] <= at <= no_text[1]:
+                    no_text = at, NO_TEXT.match(page, at).end()
+                next_end = CLOSED.match(page, no_text[1])
+                if not (next_end and next_end[1].lower() == tag):
+                    flush()
+                    push(tag, attributes)
         elif tag == "a":
-            links = 0 if m[1] else 1
+            links = 0 if slash else 1
         elif tag == "br":
             parts.append(" ")
         elif tag in BLOCK:
             drawn = unseen = ""
-            if m[1]:
-                flush()
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == tag:
-                        close(i)
-                        break
-                continue
             flush()
+            if slash:
+                close_last(tag)
+                continue
             if tag in P_ENDS and stack and stack[-1][0] == "p":
                 close(len(stack) - 1)
-            ends = ENDS.get(tag)
-            if ends:
+            if wanted := ENDS.get(tag):
                 for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] in ends:
+                    if stack[i][0] in wanted:
                         close(i)
                         break
                     if stack[i][0] in STOPS:
                         break
             if tag not in VOID:
-                attributes = m[3]
-                stack.append((tag, _names(attributes), tag not in REVEALED and _is_hidden(attributes)))
+                push(tag, attributes)
     if at < len(page) and not unseen:
         parts.append(page[at:])
     flush()
-    return [b for b, is_shown in zip(out, shown) if is_shown] or out
+    return out

@@ -16,11 +16,11 @@ from pairloom.llm.dom import Block, blocks
 from pairloom.llm.layouts import labelled_pages
 from pairloom.llm.words import chunks
 
-TRAINING_PAGES = 800
+TRAINING_PAGES = 1000
 MOST_BLOCKS = 60  # longer training pages are left out
 ROUNDS = 120
-RATE = 0.15
-PENALTY = 2e-4  # squared weights, per training block
+RATE = 0.3
+PENALTY = 3e-5  # squared weights, per training block
 LEAST_PAGES = 3  # a feature that fewer training pages have is left out
 
 
@@ -32,7 +32,8 @@ def features(found: list[Block]) -> list[list[str]]:
     looks = [_look(b) for b in found]
     out = []
     for i, (block, look) in enumerate(zip(found, looks)):
-        own = ["bias", f"tag:{block.tags[-1] if block.tags else ''}", f"in-body:{len(block.tags) <= 3}"]
+        own = ["bias", f"tag:{block.tags[-1] if block.tags else ''}", f"in-body:{len(block.tags) <= 3}", f"unnamed:{not block.names}"]
+        own.append(f"path:{'>'.join(block.tags[-2:])}")
         own += [f"in:{t}" for t in set(block.tags)]
         own += [f"named:{n}" for n in block.names]
         own += [f"nearest:{n}" for n in block.nearest]
@@ -49,6 +50,8 @@ def _look(block: Block) -> list[str]:
     size = min(int(math.log2(len(text))), 10)
     linked = min(int(4 * block.link_chars / len(text)), 4)
     look = [f"size:{size}", f"linked:{linked}"]
+    if block.hidden:
+        look.append("hidden")
     if text[-1] in ".!?…":
         look.append("ends")
     if "©" in text:
@@ -96,6 +99,24 @@ def aligned(found: list[Block], main: list[str]) -> list[int]:
     return out
 
 
+def marginals(emit: np.ndarray, real: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of chains of blocks (pages, places, labels), of which the first ``real`` ones are there: the probability of label 1
+    at each place, and the logarithm of that of each pair of labels at neighbouring places. By forward and backward sums."""
+    n, t, _ = emit.shape
+    alpha, beta = np.zeros((n, t, 2)), np.zeros((n, t, 2))
+    alpha[:, 0] = emit[:, 0]
+    for j in range(1, t):
+        moved = np.logaddexp(alpha[:, j - 1, :1] + pairs[0], alpha[:, j - 1, 1:] + pairs[1])
+        alpha[:, j] = np.where(real[:, j, None], moved + emit[:, j], alpha[:, j - 1])
+    for j in range(t - 2, -1, -1):
+        ahead = emit[:, j + 1] + beta[:, j + 1]
+        moved = np.logaddexp(ahead[:, :1] + pairs[:, 0], ahead[:, 1:] + pairs[:, 1])
+        beta[:, j] = np.where(real[:, j + 1, None], moved, 0)
+    whole = np.logaddexp(alpha[:, -1, 0], alpha[:, -1, 1])[:, None]
+    share = np.exp(alpha[:, :, 1] + beta[:, :, 1] - whole)
+    return share, alpha[:, :-1, :, None] + pairs + (emit + beta)[:, 1:, None, :] - whole[:, :, None, None]
+
+
 def trained(pages: list[tuple[str, list[str]]]) -> Chain:
     """Fit by the gradient of the penalised likelihood, with expectations from the forward-backward algorithm.
 
@@ -118,23 +139,12 @@ def trained(pages: list[tuple[str, list[str]]]) -> Chain:
         flat[row, [index[name] for name in block if name in index]] = 1
     weights, pairs = np.zeros(len(index), dtype=np.float32), np.zeros((2, 2))
     squares, pair_squares = np.full(len(index), 1e-8, dtype=np.float32), np.full((2, 2), 1e-8)
-    step = real[:, 1:] & real[:, :-1]
+    step = real[:, 1:]
     seen_pairs = np.array([[(step & (y[:, :-1] == a) & (y[:, 1:] == b)).sum() for b in (0, 1)] for a in (0, 1)])
     for _ in range(ROUNDS):
         emit = np.zeros((n, t, 2))
         emit[real, 1] = flat @ weights
-        alpha, beta = np.zeros((n, t, 2)), np.zeros((n, t, 2))
-        alpha[:, 0] = emit[:, 0]
-        for j in range(1, t):
-            moved = np.logaddexp(alpha[:, j - 1, :1] + pairs[0], alpha[:, j - 1, 1:] + pairs[1])
-            alpha[:, j] = np.where(real[:, j, None], moved + emit[:, j], alpha[:, j - 1])
-        for j in range(t - 2, -1, -1):
-            ahead = emit[:, j + 1] + beta[:, j + 1]
-            moved = np.logaddexp(ahead[:, :1] + pairs[:, 0], ahead[:, 1:] + pairs[:, 1])
-            beta[:, j] = np.where(real[:, j + 1, None], moved, 0)
-        whole = np.logaddexp(alpha[:, -1, 0], alpha[:, -1, 1])[:, None]
-        share = np.exp(alpha[:, :, 1] + beta[:, :, 1] - whole)
-        joint = alpha[:, :-1, :, None] + pairs + (emit + beta)[:, 1:, None, :] - whole[:, :, None, None]
+        share, joint = marginals(emit, real, pairs)
         gradient = (y[real] - share[real]).astype(np.float32) @ flat - PENALTY * len(flat) * weights
         pair_gradient = seen_pairs - np.exp(joint[step]).sum(axis=0) - PENALTY * len(flat) * pairs
         squares += gradient**2

@@ -74,14 +74,20 @@ class Layout:
         end = "" if tag in ("p", "li") and self.rng.random() < 0.1 else f"</{tag}>"
         return f"<{tag}>{shown}{end}"
 
+    def hidden(self) -> str:
+        """Now and then a part is not shown at first, whatever it holds."""
+        shown = self.rng.random() >= 0.04
+        return "" if shown else self.rng.choice([" hidden", ' style="display:none"', ' aria-hidden="true" hidden'])
+
     def part(self, kind: str, inner: str, named: float = 0.75) -> str:
         tag = self.rng.choice(TAGS[kind])
         name = self.rng.choice(NAMES[kind].split("|"))
+        hidden = self.hidden()
         if tag not in OWN_TAG or self.rng.random() < named * 0.5:
             attribute = self.rng.choice(["class", "class", "id"])
             more = self.rng.choice(["", " box", " col-8", " wide"]) if attribute == "class" else ""
-            return f'<{tag} {attribute}="{name}{more}">{inner}</{tag}>'
-        return f"<{tag}>{inner}</{tag}>"
+            return f'<{tag} {attribute}="{name}{more}"{hidden}>{inner}</{tag}>'
+        return f"<{tag}{hidden}>{inner}</{tag}>"
 
     def links(self, tag: str) -> str:
         items = "".join(
@@ -117,37 +123,57 @@ class Layout:
 
     def article(self) -> str:
         rng, out = self.rng, []
+        # An article keeps to one way of making paragraphs: most use p, others a div, a span in a div, or bare text.
+        paragraph = rng.choice(["p", "p", "p", "p", "div", "div", "div p", "bare", "section"])
         if rng.random() < 0.85:
-            out.append(self.block("h1", self.sentence(10), True))
+            out.append(self.block(rng.choice(["h1", "h1", "h1", "h2", "h3", "div"]), self.sentence(10), True))
         for _ in range(rng.choice([1, 1, 2, 4, 8, 16])):
             kind = rng.random()
-            if kind < 0.72:
-                out.append(self.block("p", self.text(), True))
-            elif kind < 0.8:
-                out.append(self.block(rng.choice(["h2", "h3", "pre"]), self.sentence(8), True))
-            elif kind < 0.86:
+            if kind < 0.62:
+                out.append(self.paragraph(paragraph))
+            elif kind < 0.71:
+                out.append(self.block(rng.choice(["h2", "h3", "h4", "h5", "h6", "pre"]), self.sentence(8), True))
+            elif kind < 0.75:
                 tag = rng.choice(["ul", "ol"])
                 items = "".join(self.block("li", self.text(), True) for _ in range(rng.randint(1, 5)))
                 out.append(f"<{tag}>{items}</{tag}>")
-            elif kind < 0.9:
+            elif kind < 0.78:
+                items = "".join(self.block("dt", self.sentence(4), True) + self.block("dd", self.text(), True) for _ in range(rng.randint(1, 3)))
+                out.append(f"<dl>{items}</dl>")
+            elif kind < 0.81:
                 out.append(f"<blockquote>{self.block('p', self.text(), True)}</blockquote>")
-            elif kind < 0.93:
-                cells = "".join(f"<tr>{self.block('td', self.sentence(3), True)}{self.block('td', self.sentence(3), True)}</tr>" for _ in range(rng.randint(1, 4)))
-                out.append(f"<table>{cells}</table>")
+            elif kind < 0.83:
+                out.append(f'<figure><img src="/{rng.randint(1, 99)}.png">{self.block("figcaption", self.sentence(12), True)}</figure>')
+            elif kind < 0.87:
+                names = [self.block("th", self.sentence(3), True) for _ in range(rng.choice([0, 2]))]
+                head = f"<tr>{''.join(names)}</tr>" if names else ""
+                rows = [f"<tr>{self.block('td', self.sentence(3), True)}{self.block('td', self.sentence(3), True)}</tr>" for _ in range(rng.randint(1, 4))]
+                out.append(f"<table>{head}{''.join(rows)}</table>")
             else:
                 out.append(self.other(rng.choice(["ad", "ad", "side", "form", "share", "notice"])))
         if rng.random() < 0.15:
             out.append(self.other("comments"))
         inner = "".join(out)
         wrap = rng.random()
-        if wrap < 0.4:
+        if wrap < 0.35:
             return f"<article>{inner}</article>"
-        if wrap < 0.5:
+        if wrap < 0.45:
             return f"<main>{rng.choice([inner, f'<article>{inner}</article>'])}</main>"
-        if wrap < 0.95:
+        if wrap < 0.75:
             return self.part("main", inner, 1.0)
+        if wrap < 0.92:
+            return f"<{(tag := rng.choice(['div', 'div', 'div', 'section']))}>{inner}</{tag}>"
         return inner
 
+    def paragraph(self, kind: str) -> str:
+        if kind == "div p":
+            return f"<div>{self.block('p', self.text(), True)}</div>"
+        if kind != "bare":
+            return self.block(kind, self.text(), True)
+        text = self.text()
+        self.main.append(" ".join(text.split()))
+        return f"{html.escape(text, quote=False)}<hr>"
+
     def page(self) -> str:
         rng = self.rng
         before = [k for k in ("notice", "header", "nav", "ad", "form", "share") if rng.random() < 0.4]

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import html
 import re
+import time
 
 import duckdb
 import numpy as np
 import pytest
+from hand_pages import PAGES
 
 from pairloom.llm import dom, extraction, layouts, urls
 
@@ -80,7 +82,7 @@ def test_leaf_blocks():
         "a & b é c", "d ef", "g", "h", "i"]
     assert texts_of('<script>var t="</p>";</script>x<style>p{}</style><SCRIPT a=">">y</SCRIPT> z<noscript>n') == ["x z"]
     assert texts_of("a < b <3 </nothing> <div title='x > y' class=q>c</div") == ["a < b <3", "c</div"]
-    assert texts_of('<div hidden>a</div><div style="display: none"><p>b</p></div><p>c') == ["c"]
+    assert texts_of('<div hidden>a</div><div style="display: none"><p>b</p></div><p>c') == ["a", "b", "c"]
     assert texts_of("") == texts_of("  <p> <div>\n") == []
     deep = dom.blocks('<body><nav class="Main-menu topNav"><ul><li><a href=x>link</a></li></ul></nav>t')
     assert deep[0].tags == ("body", "nav", "ul", "li") and deep[0].names == {"main", "menu", "top", "nav"}
@@ -101,14 +103,67 @@ def test_nothing_is_swallowed():
     assert len(texts_of(many)) == 20_000
 
 
+def hidden_of(page):
+    return [b.text for b in dom.blocks(page) if b.hidden]
+
+
 def test_hidden_is_an_attribute_and_not_a_word():
+    """Hidden text is read, and marked: whether it is main text is for the model to say."""
     shown = ['title="the hidden door"', 'class="x hidden y"', "hidden=until-found", 'data-style="display:none"', 'alt="a style=\'display:none\'"']
     for attributes in shown:
-        assert texts_of(f"<div {attributes}>a</div><p>c") == ["a", "c"], attributes
+        assert texts_of(f"<div {attributes}>a</div><p>c") == ["a", "c"] and hidden_of(f"<div {attributes}>a</div><p>c") == [], attributes
     for attributes in ("hidden", 'HIDDEN=""', 'hidden="hidden"', 'id=x style="color:red; Display : none"', "style=display:none"):
-        assert texts_of(f"<div {attributes}>a</div><p>c") == ["c"], attributes
-    assert texts_of('<body style="display:none"><p>a</p><div hidden>b</div>') == ["a"]
-    assert texts_of("<div hidden><p>a</p></div>") == ["a"]
+        page = f"<div {attributes}><ul><li>a</li></ul></div><p>c"
+        assert texts_of(page) == ["a", "c"] and hidden_of(page) == ["a"], attributes
+    assert hidden_of('<body style="display:none"><p>a</p><div hidden>b</div>') == ["b"]
+
+
+def test_tags_end_as_written():
+    assert texts_of('<p title="a > b">x</p>') == ["x"] and texts_of("<p title='a > b' class=\"q > r\">x</p>") == ["x"]
+    assert texts_of('<p>a</p><p title="open>b</p><p>c</p>') == ["a", "b", "c"]  # quotes that never close
+    assert texts_of("<p>a</p><!-- no <p>no</p>") == ["a"] and texts_of("a<!---->b<!-- > -->c") == ["abc"]
+    assert texts_of("a <p") == ["a <p"] and texts_of("x <1> y </ z> <?php a ?> w") == ["x <1> y w"]
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<p" * 100_000, "<p " * 60_000 + '"', '<a ">" ' * 30_000 + '"', "<!" * 100_000, "<div>" * 40_000 + "</p>" * 40_000,
+     "<object>" * 20_000 + "x" + "</object>" * 20_000, "<video><source>" * 15_000 + "</video>", "<script>" * 30_000,
+     "<li>" * 40_000, "<svg><title>" * 20_000, "<a class='" + "x " * 100_000 + "'>y", "&" * 200_000, "<!--" * 50_000],
+)
+def test_time_follows_the_length_of_a_page(page):
+    start = time.process_time()
+    dom.blocks(page)
+    assert time.process_time() - start < 5
+
+
+def test_deep_nesting_keeps_its_text():
+    found = dom.blocks("<div>" * 3000 + "<p>a</p>" + "<b>c" + "</div>" * 3000 + "<p>d")
+    assert [b.text for b in found] == ["a", "c", "d"] and len(found[0].tags) == dom.DEEPEST
+
+
+def test_hand_written_pages():
+    chain = extraction.default_chain()
+    for page, main in PAGES:
+        assert extraction.main_text(chain, page) == "\n".join(main), page
+
+
+def test_marginals_equal_sums_over_all_labellings():
+    rng = np.random.default_rng(4)
+    emit, pairs = rng.normal(size=(3, 5, 2)), rng.normal(size=(2, 2))
+    real = np.array([[1, 1, 1, 1, 1], [1, 1, 1, 0, 0], [1, 0, 0, 0, 0]], dtype=bool)
+    emit[~real] = 0
+    share, joint = extraction.marginals(emit, real, pairs)
+    for i, t in enumerate(real.sum(axis=1)):
+        every = [[k >> j & 1 for j in range(t)] for k in range(1 << t)]
+        score = np.array([sum(emit[i, j, y] for j, y in enumerate(ys)) + sum(pairs[a, b] for a, b in zip(ys, ys[1:])) for ys in every])
+        p = np.exp(score - score.max()) / np.exp(score - score.max()).sum()
+        for j in range(t):
+            assert share[i, j] == pytest.approx(sum(q for q, ys in zip(p, every) if ys[j]))
+        for j in range(t - 1):
+            for a in (0, 1):
+                for b in (0, 1):
+                    assert np.exp(joint[i, j, a, b]) == pytest.approx(sum(q for q, ys in zip(p, every) if ys[j : j + 2] == [a, b]))
 
 
 def test_viterbi_finds_the_best_labelling():
