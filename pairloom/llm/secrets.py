@@ -13,7 +13,7 @@ BASE = [("assign", ASSIGN, 2, 8), ("access", "AKIA[A-Z0-9]+", 0, 16), ("hex", "[
 
 # What the method looks at beside them: long runs that change often between digits, small and capital letters.
 OWNED, OWNED_RUN, OWNED_CHANGES = "owned", "[A-Za-z0-9_-]{20,}", 6
-WIDE_OWNERS = 3  # a value that so many owners hold is a copied example
+WIDE_OWNERS, WIDE_REPOSITORIES = 3, 20  # a value that so many owners, or so many repositories, hold is a copied example
 
 SPAN = "struct<start:int, rank:int, kind:string, stop:int, digest:string>"
 KEY = ["_doc", "_text_hash"]
@@ -82,10 +82,12 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", car
     may have any name, behind those of the scan.
 
     ``base`` holds the spans of the listed kinds. ``added`` holds other long mixed runs that touch no base span and
-    whose value belongs to fewer than WIDE_OWNERS owners in the whole corpus. ``live`` are the spans of both whose
-    value is so owner-specific; other base spans are widely copied examples. Spans are (start, rank, kind, stop,
-    digest), in code points with an exclusive end, by start and kind. Null text reads as empty and has no spans; a
-    null owner counts as none. The columns of ``docs`` that are not named are not read.
+    whose value is owner-specific: in the whole corpus fewer than WIDE_OWNERS owners hold it, and fewer than
+    WIDE_REPOSITORIES repositories, be they all of one owner. ``live`` are the spans of both whose value is so; other
+    base spans are widely copied examples. Spans are (start, rank, kind, stop, digest, owners, repositories), in code
+    points with an exclusive end, by start and kind; the last two count who holds the value. Null text reads as empty
+    and has no spans; a null owner or repository counts as none. An empty table gives no rows. The columns of ``docs``
+    that are not named are not read.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(
@@ -107,18 +109,26 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", car
     some = found.filter((F.size("base") > 0) | (F.size("_owned") > 0))
     each = some.select(*KEY, "_owner", "_repository", F.explode(F.concat("base", "_owned")).alias("s"))
     each = each.select(*KEY, F.col("_owner").alias("owner"), F.col("_repository").alias("repository"), "s.digest")
-    wide = written(ownership(each).filter(F.col("owners") >= WIDE_OWNERS), "copied")
-    copied = each.select(*KEY, "digest").join(wide, "digest").groupBy(*KEY).agg(F.collect_set("digest").alias("_copied"))
-    copied = written(copied, "copied-in")
+    counted = written(ownership(each), "ownership")
+    held = each.select(*KEY, "digest").distinct().join(counted, "digest").groupBy(*KEY)
+    held = held.agg(F.map_from_entries(F.collect_list(F.struct("digest", F.struct("owners", "repositories")))).alias("_held"))
+    held = written(held, "held")
 
-    own = lambda x: ~F.array_contains(F.coalesce("_copied", F.array().cast("array<string>")), x["digest"])
-    out = found.join(copied, KEY, "left").withColumn("added", F.filter("_owned", own))
-    out = out.withColumn("live", F.array_sort(F.concat(F.filter("base", own), "added")))
-    return out.select("doc_id", "base", "added", "live", *carried(carry, back=True))
+    def counts(x: Column) -> Column:
+        return F.col("_held")[x["digest"]]
+
+    own = lambda x: (counts(x)["owners"] < WIDE_OWNERS) & (counts(x)["repositories"] < WIDE_REPOSITORIES)
+    with_counts = lambda spans: F.transform(
+        spans, lambda x: x.withField("owners", counts(x)["owners"]).withField("repositories", counts(x)["repositories"])
+    )
+    out = found.join(held, KEY, "left").withColumn("added", with_counts(F.filter("_owned", own)))
+    out = out.withColumn("live", F.array_sort(F.concat(with_counts(F.filter("base", own)), "added")))
+    return out.select("doc_id", with_counts(F.col("base")).alias("base"), "added", "live", *carried(carry, back=True))
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """The scan in counts, digests and listed spans; ``n_live`` and ``n_copied`` count spans by ownership."""
+    """The scan in counts, digests and listed spans; ``n_live`` and ``n_copied`` count spans by ownership, ``owners`` and
+    ``repositories`` list how many hold the value of each span. An empty table gives no rows."""
     count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
     every = F.array_sort(F.concat("base", "added"))
     n_live = F.size("live").cast("long")
@@ -129,12 +139,15 @@ def report(docs: DataFrame) -> DataFrame:
         _listed(every).alias("spans"),
         n_live.alias("n_live"),
         (F.size("base") + F.size("added") - n_live).alias("n_copied"),
+        F.array_join(F.transform(every, lambda x: x["owners"].cast("string")), ",").alias("owners"),
+        F.array_join(F.transform(every, lambda x: x["repositories"].cast("string")), ",").alias("repositories"),
     )
 
 
 def without_secrets(docs: DataFrame) -> DataFrame:
     """``docs`` with every live secret in ``text`` replaced by a mark, and ``n_chars``, if it is there, set to the
-    length of the new text. Widely copied examples and all other columns stay as they are; null text stays null."""
+    length of the new text. Widely copied examples and all other columns stay as they are; null text stays null. An
+    empty table gives no rows."""
     names = docs.columns
     found = scan(docs, carry=tuple(names))
     hidden = found.toDF("_id", "_base", "_added", "_live", *names)
@@ -201,22 +214,26 @@ candidates AS (
   SELECT * FROM spans s WHERE rank = 3
     AND NOT EXISTS (SELECT 1 FROM base b WHERE b.r = s.r AND b.start < s.stop AND s.start < b.stop)
 ),
-wide AS (
-  SELECT secret FROM candidates JOIN docs USING (r) GROUP BY secret HAVING count(DISTINCT source) >= 3
+held AS (
+  SELECT secret, count(DISTINCT source) AS owners, count(DISTINCT doc_id) AS repositories
+  FROM candidates JOIN docs USING (r) GROUP BY secret
 ),
 kept AS (
-  SELECT c.*, w.secret IS NOT NULL AS copied FROM candidates c LEFT JOIN wide w USING (secret)
+  SELECT c.*, owners, repositories, owners >= 3 OR repositories >= 20 AS copied FROM candidates c JOIN held USING (secret)
 ),
 listed AS (
   SELECT r,
     count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex,
     string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (rank < 3) AS base,
     string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (rank < 3 OR NOT copied) AS spans,
-    count(*) FILTER (NOT copied) AS n_live, count(*) FILTER (copied AND rank < 3) AS n_copied
+    count(*) FILTER (NOT copied) AS n_live, count(*) FILTER (copied AND rank < 3) AS n_copied,
+    string_agg(owners::VARCHAR, ',' ORDER BY start, rank) FILTER (rank < 3 OR NOT copied) AS owners,
+    string_agg(repositories::VARCHAR, ',' ORDER BY start, rank) FILTER (rank < 3 OR NOT copied) AS repositories
   FROM kept GROUP BY r
 )
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
-  coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied
+  coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied, coalesce(owners, '') AS owners,
+  coalesce(repositories, '') AS repositories
 FROM docs LEFT JOIN listed USING (r)
 """

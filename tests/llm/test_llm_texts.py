@@ -6,6 +6,7 @@ import hashlib
 import random
 import zlib
 
+import duckdb
 import numpy as np
 import plain
 import public_tokenizers
@@ -244,9 +245,32 @@ def test_secret_spans(spark):
     assert by[5].spans == "owned:3:24" and (by[5].n_live, by[5].n_copied) == (1, 0)
     assert (by[10].spans, by[10].n_live, by[10].n_copied) == ("assign:37:54", 0, 1)
     assert by[21].n_assign == 2 and by[21].n_live == 2
+    assert (by[10].owners, by[10].repositories) == ("4", "4") and (by[5].owners, by[5].repositories) == ("1", "1")
+    assert (by[21].owners, by[21].repositories) == ("1,1", "1,1")
+    assert (by[None].owners, by[None].repositories) == ("0", "0")  # of nobody known
     assert secrets.report(owned(spark).filter("doc_id < 0")).count() == 0
 
 
+def test_one_owner_and_many_repositories(spark):
+    """What one owner copies into twenty repositories is an example; in nineteen it is still one owner's."""
+    rows = [(i, f"aB9cD8eF7gH6iJ5kL4mN{n} token=copiedkey{n}", "one") for n in (0, 1) for i in range(100 * n, 100 * n + 20 - n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    by = {r.doc_id: r for r in secrets.report(docs).collect()}
+    assert (by[0].spans, by[0].n_live, by[0].n_copied, by[0].owners, by[0].repositories) == ("assign:22:38", 0, 1, "1", "20")
+    assert (by[100].spans, by[100].n_live, by[100].owners, by[100].repositories) == ("owned:0:21,assign:22:38", 2, "1,1", "19,19")
+    kept = {r.doc_id: r.text for r in secrets.without_secrets(docs).collect()}
+    assert kept[0] == rows[0][1] and kept[100] == "<secret> <secret>"
+
+
+def test_secret_query_equals_sql(spark):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", [(d, t, f"owner{d}" if d else None) for d, t in SECRETS])
+    want = con.sql(secrets.ORACLE_SQL)
+    got = secrets.report(owned(spark)).select(*want.columns).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want.fetchall()))
+
+
 def test_secrets_cut_from_texts(spark):
     df = owned(spark).withColumns({"n_chars": F.char_length("text").cast("long"), "base": F.lit(1), "live": F.lit("l")})
     got = secrets.without_secrets(df)
