@@ -11,6 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.llm.shared import dropped, written
 from pairloom.llm.words import chunks
 
 GRAMS = (1, 2, 3)
@@ -91,10 +92,11 @@ def trained(docs: DataFrame) -> tuple[list[str], np.ndarray]:
             yield pa.record_batch([names, pa.array(at.astype(np.int32)), pa.array(own[at])], names=["lang", "bucket", "n"])
 
     parts = known.select("lang", "text").mapInArrow(run, "lang string, bucket int, n long")
-    total = parts.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    total = written(parts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "grams")
     if (found := total.agg(F.countDistinct("lang")).first()[0]) > MAX_LANGUAGES:
         raise ValueError(f"{found} languages; {MAX_LANGUAGES} at most make a model")
     rows = total.toPandas()
+    dropped(total)
     langs = sorted(rows["lang"].unique())
     counts = np.zeros((len(langs), BUCKETS))
     counts[rows["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy(dtype=int), rows["bucket"]] = rows["n"]
