@@ -44,10 +44,10 @@ def grams(texts: pa.Array) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndar
     has_letter = np.zeros(n, dtype=bool)
     owner = np.repeat(np.arange(n), sizes)
     has_letter[owner[letter]] = True
-    # one space before each text and one behind the last one, then runs of spaces are cut to one
+    # one space before and one behind each text, then runs of spaces are cut to one
     code = np.where(letter, code, 32)
-    places = np.append(ends - sizes, len(code))
-    code, owner = np.insert(code, places, 32), np.insert(owner, places, np.append(np.arange(n), n - 1 if n else 0))
+    places = np.column_stack([ends - sizes, ends]).ravel()
+    code, owner = np.insert(code, places, 32), np.insert(owner, places, np.repeat(np.arange(n), 2))
     keep = np.ones(len(code), dtype=bool)
     keep[1:] = (code[1:] != 32) | (code[:-1] != 32) | (owner[1:] != owner[:-1])
     code, owner = code[keep].astype(np.uint64), owner[keep]
