@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.operators.joins import HOT_ROWS, hot_keys, spread_join
+from pairloom.sinks import files
+from pairloom.sinks.staging import stage
 
 DIGEST = "_digest"
+LISTED = "parts.json"  # readers pass over names that begin with an underscore
 
 
 def enrich_by_key(
@@ -49,3 +54,62 @@ def per_batch(key: str, function: Callable[[pd.Series], pd.DataFrame], ddl: str)
         return keys.mapInPandas(batches, f"{key} {key_type}, {ddl}")
 
     return compute
+
+
+def enrich_with_store(
+    df: DataFrame,
+    key: str,
+    compute: Callable[[DataFrame], DataFrame],
+    ddl: str,
+    path: str,
+    spread_by: list[str],
+    hot_rows: int = HOT_ROWS,
+    most_parts: int = 32,
+) -> tuple[DataFrame, int]:
+    """As ``enrich_by_key``, with what was computed kept at ``path`` from run to run, by digest of the key.
+
+    Only keys that the store does not hold are computed; ``ddl`` declares the columns that ``compute`` adds. The store is
+    a folder of parts, one from each run that found new keys, listed by a file that is replaced when a part is complete:
+    a run that fails leaves the store as it was. When ``most_parts`` are listed they are merged into one. A store is for
+    one function: another one, or another version of it, needs another path. One run at a time may write to a store.
+
+    Returns the enriched rows and how many keys were computed.
+    """
+    spark = df.sparkSession
+    parts = _listed(spark, path)
+    stored_ddl = f"{DIGEST} STRING, {ddl}"
+    held = _stored(spark, path, parts, stored_ddl)
+    rows = df.withColumn(DIGEST, F.sha2(F.col(key).cast("string"), 256))
+    keys = rows.filter(F.col(key).isNotNull()).groupBy(DIGEST).agg(F.any_value(key).alias(key))
+    new = stage(keys.join(held.select(DIGEST), DIGEST, "left_anti"), "new-keys")
+    if new.rows:
+        added = compute(new.frame.select(key)).withColumn(DIGEST, F.sha2(F.col(key).cast("string"), 256))
+        part = f"part-{uuid.uuid4().hex}"
+        added.selectExpr(*(f"`{f.name}`" for f in held.schema.fields)).write.parquet(f"{path}/{part}")
+        parts = [*parts, part]
+        if len(parts) > most_parts:
+            whole = f"part-{uuid.uuid4().hex}"
+            _stored(spark, path, parts, stored_ddl).write.parquet(f"{path}/{whole}")
+            parts = [whole]
+        files.replace(spark, f"{path}/{LISTED}", json.dumps(parts))
+        held = _stored(spark, path, parts, stored_ddl)
+    return spread_join(rows, held, DIGEST, spread_by, hot_keys(rows, DIGEST, hot_rows)).drop(DIGEST), new.rows
+
+
+def _listed(spark: SparkSession, path: str) -> list[str]:
+    return json.loads(files.text_of(spark, f"{path}/{LISTED}")) if files.exists(spark, f"{path}/{LISTED}") else []
+
+
+def _stored(spark: SparkSession, path: str, parts: list[str], ddl: str) -> DataFrame:
+    if not parts:
+        return spark.createDataFrame([], ddl)
+    return spark.read.schema(ddl).parquet(*(f"{path}/{p}" for p in parts))
+
+
+def drop_unlisted(spark: SparkSession, path: str) -> list[str]:
+    """Deletes parts of a store that its list does not name: merged ones, and those of runs that failed. For a time when
+    nobody reads or writes the store. Returns their names."""
+    gone = sorted(set(files.folders(spark, path)) - set(_listed(spark, path)))
+    for part in gone:
+        files.delete(spark, f"{path}/{part}")
+    return gone

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
-NARROW_SALTS = 8
+NULL_SLOTS = 1 << 16  # rows without a key meet no lookup row, so they may go anywhere
 SLOTS = "_slots"
 
 
@@ -35,31 +35,13 @@ def spread_join(
     salt is a hash of ``spread_by``, so a task that runs again yields the same rows.
     """
     marked = F.broadcast(hot.select(key, SLOTS))
-    many = F.when(F.col(key).isNull(), F.lit(NARROW_SALTS)).otherwise(F.coalesce(SLOTS, F.lit(1)))
+    many = F.when(F.col(key).isNull(), F.lit(NULL_SLOTS)).otherwise(F.coalesce(SLOTS, F.lit(1)))
     salted = df.join(marked, key, "left").withColumn("_salt", F.pmod(F.xxhash64(*spread_by), many).cast("int"))
     numbers = F.sequence(F.lit(0), F.coalesce(SLOTS, F.lit(1)) - 1)
     repeated = lookup.join(marked, key, "left").withColumn("_salt", F.explode(numbers))
     return salted.drop(SLOTS).join(repeated.drop(SLOTS), [key, "_salt"], how).drop("_salt")
 
 
-def salted_join(
-    df: DataFrame, lookup: DataFrame, key: str, spread_by: list[str], how: str = "inner", salts: int = NARROW_SALTS
-) -> DataFrame:
-    """Join with every key spread over ``salts`` tasks: for narrow lookups, whose rows are cheap to repeat,
-    and inputs that are not staged, so that counting their hot keys would compute them twice."""
-    salted = df.withColumn("_salt", _slot(spread_by, salts))
-    repeated = lookup.withColumn("_salt", F.explode(_slots(salts)))
-    return salted.join(repeated, [key, "_salt"], how).drop("_salt")
-
-
-def _slot(spread_by: list[str], salts: int) -> Column:
-    return F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-
-
-def _slots(salts: int) -> Column:
-    return F.sequence(F.lit(0), F.lit(salts - 1))
-
-
 def sparse_lookup(df: DataFrame, lookup: DataFrame, key: str, spread_by: str) -> DataFrame:
     """Left join on a key that is NULL on most rows.
 

@@ -9,7 +9,7 @@ from pairloom import schema as s
 from pairloom.config import PairConfig
 from pairloom.functions.numeric import ratio
 from pairloom.functions.text import none_if, pair_keys
-from pairloom.operators.joins import salted_join, sparse_lookup
+from pairloom.operators.joins import hot_keys, sparse_lookup, spread_join
 from pairloom.operators.selection import middle_values
 from pairloom.sinks.staging import stage
 from pairloom.sources import Tables
@@ -35,7 +35,8 @@ def parent_map(tables: Tables, compounds: DataFrame | None = None) -> DataFrame:
     parents = tables["molecule_dictionary"].select(F.col("molregno").alias(s.PARENT), PHASE)
     if compounds is not None:
         parents = parents.join(compounds, s.PARENT, "left_semi")
-    forms = salted_join(tables["molecule_hierarchy"], parents, s.PARENT, ["molregno"])
+    hierarchy = tables["molecule_hierarchy"]
+    forms = spread_join(hierarchy, parents, s.PARENT, ["molregno"], hot_keys(hierarchy, s.PARENT), "inner")
     return forms.select("molregno", s.PARENT, PHASE)
 
 
@@ -64,7 +65,7 @@ def assay_targets(
     assays = tables["assays"]
     if assay_types:
         assays = assays.filter(F.col("assay_type").isin(*assay_types))
-    assays = salted_join(assays, targets, s.TID, ["assay_id"])
+    assays = spread_join(assays, targets, s.TID, ["assay_id"], hot_keys(assays, s.TID), "inner")
     assays = sparse_lookup(assays, tables["variant_sequences"], "variant_id", "assay_id")
     return assays.select("assay_id", "assay_type", s.TID, s.MUTATION, THERAPEUTIC)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -118,10 +119,14 @@ UNIQUE_KEYS = {
 }
 
 
-def repeated_keys(df: DataFrame, key: str, check: str) -> DataFrame:
-    """One row: how many values of ``key`` are on more than one row."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return counts.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(check).alias("check"), "violations")
+def repeated_keys(checked: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """(check, violations) rows: how many values of a key are on more than one row, for frames and keys by check. All of
+    them are counted in one shuffle."""
+    keys = [df.select(F.lit(check).alias("check"), F.col(key).cast("string").alias("key")) for check, (df, key) in checked.items()]
+    counts = reduce(DataFrame.unionAll, keys).groupBy("check", "key").agg(F.count(F.lit(1)).alias("n"))
+    found = counts.groupBy("check").agg(F.count_if(F.col("n") > 1).alias("violations"))
+    every = keys[0].sparkSession.createDataFrame([(check,) for check in checked], "check string")
+    return every.join(found, "check", "left").select("check", F.coalesce("violations", F.lit(0)).alias("violations"))
 
 
 def bag_marks(df: DataFrame) -> list[Column]:

@@ -81,6 +81,34 @@ def distinct_stats(df: DataFrame) -> DataFrame:
     return distinct_counts(df, list(COUNTED), subsets)
 
 
+BITMAP_DDL = "column STRING, subset_type STRING, bucket BIGINT, bitmap BINARY"
+
+
+def distinct_bitmaps(df: DataFrame, columns: list[str], subsets: Mapping[str, Column]) -> DataFrame:
+    """Which values of whole-number columns each subset has, as bitmaps over ranges of values (BITMAP_DDL).
+
+    Store them with a release: ``union_counts`` then counts any union of subsets, of one release or several, exactly and
+    without the rows. A range that holds no value has no bitmap. NULL and negative values are not kept: they are no ids.
+    """
+    members = F.filter(F.array(*(F.when(c, name) for name, c in subsets.items())), lambda x: x.isNotNull())
+    entries = F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("long").alias("value")) for c in columns))
+    each = df.select(members.alias("subsets"), F.explode(entries).alias("e")).filter("e.value >= 0")
+    each = each.select("e.column", F.explode("subsets").alias("subset_type"), F.col("e.value").alias("value"))
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position("value")).alias("bitmap")
+    return each.groupBy("column", "subset_type", F.bitmap_bucket_number("value").alias("bucket")).agg(bits)
+
+
+def union_counts(bitmaps: DataFrame, unions: Mapping[str, list[str]]) -> DataFrame:
+    """``column``, ``union_type``, ``counts``: different values of each column in the subsets of a union, from bitmaps of
+    any number of releases. Unions without a value are left out."""
+    wanted = bitmaps.sparkSession.createDataFrame(
+        [(name, subset) for name, own in unions.items() for subset in own], "union_type STRING, subset_type STRING"
+    )
+    merged = bitmaps.join(F.broadcast(wanted), "subset_type").groupBy("column", "union_type", "bucket")
+    merged = merged.agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+    return merged.groupBy("column", "union_type").agg(F.sum(F.bitmap_count("bitmap")).alias("counts"))
+
+
 def step_sizes(df: DataFrame, steps: Mapping[str, tuple[Column, Column]]) -> DataFrame:
     """One row per step with the counts of all pair keys over its rows and over its drug rows.
 

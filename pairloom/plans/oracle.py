@@ -47,6 +47,21 @@ def cleaned(ddl: str) -> str:
     return ", ".join(out)
 
 
+def union_select() -> str:
+    unions = {
+        "known": ("DT", "D_DT"),
+        "late": ("D_DT", "C3_DT", "C2_DT"),
+        "early": ("C1_DT", "C0_DT"),
+        "any": ("DT", "D_DT", "C0_DT", "C1_DT", "C2_DT", "C3_DT"),
+    }
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", '{name}' AS union_type, count(DISTINCT {c}) AS counts FROM flagged "
+        f"WHERE DTI IN {in_list(classes)} HAVING count(*) > 0"
+        for c in ("parent_molregno", "tid")
+        for name, classes in unions.items()
+    )
+
+
 def round_listed(columns) -> str:
     return ", ".join(f"{rounded(c)} AS {c}" for c in columns)
 
@@ -440,6 +455,7 @@ WHERE contains(target_class_l1, '|') OR contains(target_class_l2, '|')"""),
         "step_sizes_measured": sizes_select(measured_only=True),
         "dq_summary": quality_select(),
         "csv_roundtrip": query(f"SELECT {full} FROM flagged"),
+        "union_counts": query(union_select()),
         "ordered_positions": query(
             "SELECT cpd_target_pair_mutation, row_number() OVER (ORDER BY cpd_target_pair_mutation) AS position FROM flagged"
         ),
@@ -461,6 +477,7 @@ FROM split WHERE l_linenumber > 3 AND l_partkey % 3 <> 0""",
         "smiles_descriptors": query(
             f"SELECT molregno, canonical_smiles, {smiles_select()} FROM compound_structures"
         ),
+        "enrich_from_store": "SELECT doc_id, source, md5(strip_accents(text)) AS plain_md5 FROM documents",
         "enrich_by_key": "SELECT doc_id, source, strlen(text) AS text_bytes FROM documents",
         "full_dataset": query(f"SELECT {full} FROM flagged"),
         "full_dataset_hot": query(f"SELECT {full} FROM flagged"),

@@ -85,9 +85,12 @@ def related_pairs(tables: Tables, cfg: PairConfig) -> DataFrame:
     return interaction.keep_related(universe(tables, cfg, only_known_targets=True))
 
 
-def describe_compounds(pairs: Staged, tables: Tables, cfg: PairConfig) -> DataFrame:
-    """All compound columns and efficiencies, for mixtures too."""
+def describe_compounds(pairs: Staged, tables: Tables, cfg: PairConfig, counts: bool = False) -> DataFrame:
+    """All compound columns and efficiencies, for mixtures too; with ``counts`` those of the structure text, taken once
+    per compound."""
     profile = compounds.compound_profile(tables, cfg)
+    if counts:
+        profile = profile.withColumns(smiles_counts(F.col(s.SMILES)))
     hot = pairs.hot(s.PARENT)
     described = spread_join(pairs.frame.drop(PHASE), profile, s.PARENT, [s.TID, s.MUTATION], hot)
     return compounds.add_efficiency(described).withColumns(pair_keys())
@@ -179,7 +182,7 @@ def quality_summary(
     """Violations of all invariants: on the described pairs (which may hold mixtures), and on the final
     table made of ``pairs``."""
     hot_compounds = described.hot(s.PARENT)
-    before = describe_compounds(described, tables, cfg).withColumns(smiles_counts(F.col(s.SMILES)))
+    before = describe_compounds(described, tables, cfg, counts=True)
     null_flags, property_checks = quality.property_checks(compounds.compound_props(tables))
     labelled = compounds.atc_labels(tables).select(s.PARENT, F.lit(True).alias("_has_atc"))
     for lookup in (null_flags, labelled):
@@ -203,9 +206,8 @@ def quality_summary(
     checks = quality.label_check("target_class_l1", "_has_l1") | quality.label_check("target_class_l2", "_has_l2")
     checks |= quality.literal_null_checks(final) | quality.flag_checks(cfg)
     found = found.unionByName(quality.count_violations(after, checks))
-    for name, key in quality.UNIQUE_KEYS.items():
-        found = found.unionByName(quality.repeated_keys(tables[name], key, f"unique:{name}"))
-    return found.unionByName(quality.repeated_keys(final, s.ROW_KEY, "duplicate_row_key"))
+    unique = {f"unique:{name}": (tables[name], key) for name, key in quality.UNIQUE_KEYS.items()}
+    return found.unionByName(quality.repeated_keys(unique | {"duplicate_row_key": (final, s.ROW_KEY)}))
 
 
 def single_structure_pairs(related: Staged, tables: Tables) -> Staged:

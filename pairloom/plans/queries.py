@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import unicodedata
 import uuid
 from collections.abc import Callable
 
@@ -128,6 +130,24 @@ def distinct_stats(tables: Tables) -> DataFrame:
     return stats.distinct_stats(pair_table.core(tables, CONFIG).frame)
 
 
+#: Unions of subsets that overlap in compounds and targets.
+UNIONS = {
+    "known": ["comparators", "drugs"],
+    "late": ["drugs", "candidates_phase_3", "candidates_phase_2"],
+    "early": ["candidates_phase_1", "candidates_phase_0"],
+    "any": ["comparators", "drugs", "candidates"],
+}
+
+
+def union_counts(tables: Tables) -> DataFrame:
+    """Unions counted from stored bitmaps of two parts of the table, as of two releases."""
+    pairs = pair_table.core(tables, CONFIG).frame
+    subset = {name: F.col(s.INTERACTION).isin(*classes) for name, classes in stats.CLASS_SUBSETS.items()}
+    parts = [pairs.filter(F.col(s.PARENT) % 3 == 0), pairs.filter(F.col(s.PARENT) % 3 != 0)]
+    stored = [stage(stats.distinct_bitmaps(p, [s.PARENT, s.TID], subset), "bitmaps").frame for p in parts]
+    return stats.union_counts(stored[0].unionByName(stored[1]), UNIONS)
+
+
 def step_sizes(measured_only: bool) -> Query:
     return on_tables(lambda tables: pair_table.step_sizes(tables, CONFIG, measured_only))
 
@@ -135,7 +155,7 @@ def step_sizes(measured_only: bool) -> Query:
 def dq_summary(tables: Tables) -> DataFrame:
     related = stage(pair_table.related_pairs(tables, DESCRIBED), "related")
     pairs = pair_table.single_structure_pairs(related, tables)
-    final = pair_table.full_table(pairs, tables, DESCRIBED)
+    final = stage(pair_table.full_table(pairs, tables, DESCRIBED), "full").frame
     return pair_table.quality_summary(related, pairs, final, tables, DESCRIBED)
 
 
@@ -193,6 +213,27 @@ def enrich_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.enrich_by_key(documents, "text", compute, ["doc_id"]).drop("text")
 
 
+def plain_letters(texts: pd.Series) -> pd.DataFrame:
+    """Digest of a text without the marks on its letters: nothing that Spark has built in."""
+
+    def plain(text: str) -> str:
+        marked = unicodedata.normalize("NFD", text)
+        return unicodedata.normalize("NFC", "".join(c for c in marked if unicodedata.category(c) != "Mn"))
+
+    digests = [hashlib.md5(plain(t).encode()).hexdigest() for t in texts]
+    return pd.DataFrame({"plain_md5": digests})
+
+
+def enrich_from_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs on one store: the first half of the documents, then all of them, of which only the others are computed."""
+    documents = base_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    compute = enrich.per_batch("text", plain_letters, "plain_md5 STRING")
+    path = f"{shared_folder(spark)}/store-{uuid.uuid4().hex}"
+    for rows in (documents.filter("doc_id % 2 = 0"), documents):
+        found, _ = enrich.enrich_with_store(rows, "text", compute, "plain_md5 STRING", path, ["doc_id"])
+    return found.drop("text")
+
+
 def all_queries() -> dict[str, Query]:
     out = {
         "activity_pairs": on_tables(lambda t: pair_table.activity_rows(t, CONFIG)),
@@ -221,6 +262,7 @@ def all_queries() -> dict[str, Query]:
         "subset_flags": on_tables(subset_flags),
         "subset_flags_hot": on_tables(lambda t: subset_flags(t, HOT)),
         "distinct_stats": on_tables(distinct_stats),
+        "union_counts": on_tables(union_counts),
         "step_sizes": step_sizes(measured_only=False),
         "step_sizes_measured": step_sizes(measured_only=True),
         "dq_summary": on_tables(dq_summary),
@@ -230,6 +272,7 @@ def all_queries() -> dict[str, Query]:
         "rejected_values": rejected_values,
         "smiles_descriptors": on_tables(smiles_descriptors),
         "enrich_by_key": enrich_by_key,
+        "enrich_from_store": enrich_from_store,
         "full_dataset": full_dataset(CONFIG),
         "full_dataset_hot": on_tables(full_dataset_hot),
         "full_dataset_all_sources": full_dataset(ALL_SOURCES),
