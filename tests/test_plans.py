@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import re
 
+import hand_tables as hand
 import pytest
 from pyspark.sql import functions as F
 
-from pairloom.operators import compounds, stats, subsets
+from pairloom.config import PairConfig
+from pairloom.operators import compounds, measurements, stats, subsets
 from pairloom.plans import pair_table
 from pairloom.plans.queries import CONFIG
+from pairloom.sources import read_tables
 from pairloom.sources.fixture_views import fixture_tables
 
 SETTINGS = {
@@ -98,3 +101,29 @@ def test_filters_reach_the_scan(spark, tables, tmp_path):
     (scan,) = lines(rows, "FileScan", "src_id")
     assert "EqualTo(src_id,1)" in scan
     assert rows.agg(F.count("*")).first()[0] > 0
+
+
+def test_runtime_filters_reach_the_measurements(spark, tmp_path):
+    """Spark cuts measurements by a Bloom filter of the assays and documents before it shuffles them, once its scan is
+    large (10 GB unless set): here at any size."""
+    small = hand.hand_tables(spark, **hand.compounds(1), **hand.targets(5), **hand.measurements((1, 5, 5.0)))
+    for name in small:
+        small[name].write.parquet(f"{tmp_path}/{name}")
+    stored, cfg = read_tables(spark, str(tmp_path)), PairConfig()
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        assays = measurements.assay_targets(stored, cfg, assay_types=measurements.USED_ASSAYS)
+        rows = measurements.measurement_rows(stored, cfg, assays)
+        plan = rows._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    scan = next(line for line in plan if "Filter" in line and "standard_relation" in line)
+    assert "might_contain" in scan and "xxhash64(assay_id" in scan and "xxhash64(doc_id" in scan
