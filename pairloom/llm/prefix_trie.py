@@ -20,7 +20,7 @@ from pairloom.llm.shared import written
 
 FAMILY = 100  # conversations that share the first turns of one of them
 MOST_SHARED = 5
-BAND_HEIGHT = 8
+BAND_HEIGHT = 32
 KEY = ["d", "x1", "x2"]
 CHUNK_IDS = 10_000
 SUMS = ["n_children", "n_leaves", "saved_tokens"]
@@ -134,21 +134,28 @@ def rolled_up(nodes: DataFrame, height: int) -> DataFrame:
     """Totals of what lies below nodes, from ``nodes`` with their own values and ``up``; nodes without any may lack."""
     in_band = written(_added(nodes.filter(F.col("d") % height != 0)), "in-band")
     deepest = nodes.agg(F.max("d")).first()[0] or 0
+    if deepest < height:
+        return in_band
+    below = [F.col(c).alias(f"below_{c}") for c in SUMS[1:]]
+    roots = nodes.filter((F.col("d") % height == 0) & (F.col("d") > 0)).select(*KEY, "up", *SUMS[1:])
+    roots = _with_below(roots.join(in_band.select(*KEY, *below), KEY, "left"))
+    roots = written(roots.repartitionByRange("d").sortWithinPartitions("d"), "band-roots")  # a round reads its own depth
     sums, received = in_band, None
     for top in range(deepest // height * height, 0, -height):
-        roots = nodes.filter(F.col("d") == top).select(*KEY, "up", "n_leaves", "saved_tokens")
-        below = in_band.filter(F.col("d") == top)
+        whole = roots.filter(F.col("d") == top)
         if received is not None:
-            below = below.unionByName(received.filter(F.col("d") == top))
-        below = below.groupBy(*KEY).agg(*(F.sum(c).alias(f"below_{c}") for c in SUMS[1:]))
-        whole = roots.join(below, KEY, "left").select(
-            "up", *((F.col(c) + F.coalesce(f"below_{c}", F.lit(0))).alias(c) for c in SUMS[1:])
-        )
+            more = received.filter(F.col("d") == top).select(*KEY, *below)
+            whole = _with_below(whole.join(more, KEY, "left"))
         received = written(_added(whole), "received")
         sums = sums.unionByName(received)
     return sums
 
 
+def _with_below(nodes: DataFrame) -> DataFrame:
+    """The sums of nodes with those that were joined to them."""
+    return nodes.select(*KEY, "up", *((F.col(c) + F.coalesce(f"below_{c}", F.lit(0))).alias(c) for c in SUMS[1:]))
+
+
 def trie(turns: DataFrame, height: int = BAND_HEIGHT) -> DataFrame:
     """One row per node: ``conv_id`` (its smallest member), ``depth``, ``parent_conv_id``, ``n_convs``, ``n_children``,
     ``n_leaves``, ``saved_tokens`` and ``ends_sha256``.
