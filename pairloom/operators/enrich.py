@@ -6,15 +6,21 @@ import json
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructField, StructType
 
 from pairloom.operators.joins import HOT_ROWS, hot_keys, spread_join
 from pairloom.sinks import files
 from pairloom.sinks.staging import stage
 
 DIGEST = "_digest"
+PART_BYTES = 1 << 22  # of text that a function gets at a time, one longer key aside
 LISTED = "parts.json"  # readers pass over names that begin with an underscore
 
 
@@ -36,22 +42,40 @@ def enrich_by_key(
     return spread_join(rows, added, DIGEST, spread_by, hot_keys(rows, DIGEST, hot_rows)).drop(DIGEST)
 
 
+def cut_by_bytes(batch: pa.RecordBatch, column: int, most: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batch`` in order, in slices with about ``most`` bytes of a text column; other kinds stay whole."""
+    values = batch.column(column)
+    if not (pa.types.is_string(values.type) or pa.types.is_large_string(values.type)):
+        yield batch
+        return
+    sizes = pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(sizes.astype(np.int64)) // most
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 def per_batch(key: str, function: Callable[[pd.Series], pd.DataFrame], ddl: str) -> Callable[[DataFrame], DataFrame]:
     """A ``compute`` for any vectorised function of a key batch; ``ddl`` declares the columns it returns.
 
-    This is the place for descriptors from a library that the cluster ships.
+    This is the place for descriptors from a library that the cluster ships. The function gets at most PART_BYTES of text
+    keys at a time, however many rows the batches of the session have: Python holds several copies of what it gets.
     """
 
     def compute(keys: DataFrame) -> DataFrame:
-        key_type = keys.schema[key].dataType.simpleString()
-
-        def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame in frames:
-                added = function(frame[key])
-                added.insert(0, key, frame[key])
-                yield added
-
-        return keys.mapInPandas(batches, f"{key} {key_type}, {ddl}")
+        key_type = keys.schema[key].dataType
+        wanted = StructType.fromDDL(ddl)
+        schema = to_arrow_schema(wanted)
+
+        def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part in cut_by_bytes(batch, 0):
+                    added = function(part.column(0).to_pandas())
+                    columns = [pa.Array.from_pandas(added[f.name], type=f.type) for f in schema]
+                    yield pa.record_batch([part.column(0), *columns], names=[key, *schema.names])
+
+        return keys.select(key).mapInArrow(parts, StructType([StructField(key, key_type), *wanted.fields]))
 
     return compute
 

@@ -54,6 +54,17 @@ def test_parts_are_merged_and_a_failed_run_leaves_none(spark, tmp_path):
     assert run(spark, ["k0", "same", "other"], path)[1] == 1
 
 
+def test_functions_get_keys_by_bytes(spark):
+    """Long keys come in parts of few bytes, whatever the rows of a batch; no key is lost, other kinds of keys work."""
+    keys = [chr(97 + i % 26) * 300_000 + str(i) for i in range(40)]
+    most = enrich.per_batch("k", lambda k: pd.DataFrame({"n": k.str.len(), "held": [int(k.str.len().sum())] * len(k)}), "n BIGINT, held BIGINT")
+    found = most(frame(spark, keys).coalesce(1).select("k")).collect()
+    assert sorted(r.k for r in found) == sorted(keys) and all(r.n == len(r.k) for r in found)
+    assert max(r.held for r in found) < 2 * enrich.PART_BYTES < sum(map(len, keys))
+    twice = enrich.per_batch("id", lambda k: pd.DataFrame({"d": k * 2}), "d BIGINT")
+    assert sorted((r.id, r.d) for r in twice(frame(spark, "abc").select("id")).collect()) == [(0, 0), (1, 2), (2, 4)]
+
+
 def test_unions_of_bitmaps(spark):
     rng = random.Random(2)
     rows = [(rng.choice([None, -5, rng.randint(0, 100_000)]), rng.randint(0, 40), rng.choice("abc")) for _ in range(3000)]
