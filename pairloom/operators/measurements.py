@@ -62,9 +62,12 @@ def assay_targets(
     else:
         known = known_targets.select(s.TID, F.lit(True).alias(THERAPEUTIC))
         targets = targets.join(known, s.TID, "left").withColumn(THERAPEUTIC, F.coalesce(THERAPEUTIC, F.lit(False)))
-    assays = tables["assays"]
-    if assay_types:
-        assays = assays.filter(F.col("assay_type").isin(*assay_types))
+
+    def used(assays: DataFrame) -> DataFrame:
+        return assays.filter(F.col("assay_type").isin(*assay_types)) if assay_types else assays
+
+    # counted and joined, so staged; the filter on what is staged lets Spark cut measurements by these assays
+    assays = used(stage(used(tables["assays"]), "assays").frame)
     assays = spread_join(assays, targets, s.TID, ["assay_id"], hot_keys(assays, s.TID), "inner")
     assays = sparse_lookup(assays, tables["variant_sequences"], "variant_id", "assay_id")
     return assays.select("assay_id", "assay_type", s.TID, s.MUTATION, THERAPEUTIC)

@@ -52,6 +52,17 @@ def test_measurements_are_read_once_with_their_columns_only(universe):
     assert "l_extendedprice" not in scans[0] and "l_shipdate" not in scans[0]
 
 
+def test_assays_are_made_once(universe):
+    """Their keys are counted and they are joined, all from the staged table."""
+    assert len(lines(universe, "FileScan", "lineitem.parquet")) == 1
+
+
+def test_records_meet_their_documents_in_one_shuffle(tables):
+    first = compounds.first_publication(tables, CONFIG)
+    assert len(lines(first, "Exchange hashpartitioning", "8)")) == len(lines(first, "Exchange ")) == 5
+    assert len(lines(first, "FileScan", "lineitem.parquet")) == 1
+
+
 def test_measurements_are_shuffled_per_join_and_folded_before_the_pairs(universe):
     """Three joins, the folding, the pairs: five shuffles on the way of the measurements."""
     for keys in (
