@@ -85,10 +85,12 @@ def related_pairs(tables: Tables, cfg: PairConfig) -> DataFrame:
     return interaction.keep_related(universe(tables, cfg, only_known_targets=True))
 
 
-def describe_compounds(pairs: Staged, tables: Tables, cfg: PairConfig, counts: bool = False) -> DataFrame:
+def describe_compounds(
+    pairs: Staged, tables: Tables, cfg: PairConfig, counts: bool = False, profile: DataFrame | None = None
+) -> DataFrame:
     """All compound columns and efficiencies, for mixtures too; with ``counts`` those of the structure text, taken once
-    per compound."""
-    profile = compounds.compound_profile(tables, cfg)
+    per compound. ``profile``: the compound columns, if they are there already."""
+    profile = compounds.compound_profile(tables, cfg) if profile is None else profile
     if counts:
         profile = profile.withColumns(smiles_counts(F.col(s.SMILES)))
     hot = pairs.hot(s.PARENT)
@@ -114,10 +116,11 @@ def target_profile(tables: Tables) -> DataFrame:
 
 
 def add_compounds(
-    pairs: DataFrame, hot: DataFrame | None, tables: Tables, cfg: PairConfig
+    pairs: DataFrame, hot: DataFrame | None, tables: Tables, cfg: PairConfig, profile: DataFrame | None = None
 ) -> DataFrame:
-    """Compound columns, efficiencies and, if asked for, descriptors; ``hot`` are hot compounds."""
-    profile = compounds.drop_mixtures(compounds.compound_profile(tables, cfg))
+    """Compound columns, efficiencies and, if asked for, descriptors; ``hot`` are hot compounds, ``profile`` as in
+    ``describe_compounds``."""
+    profile = compounds.drop_mixtures(compounds.compound_profile(tables, cfg) if profile is None else profile)
     if cfg.descriptors:
         profile = profile.withColumns(smiles_counts(F.col(s.SMILES)))
     described = spread_join(pairs.drop(PHASE), profile, s.PARENT, [s.TID, s.MUTATION], hot, "inner")
@@ -131,7 +134,9 @@ def clean_table(pairs: Staged, tables: Tables, cfg: PairConfig, hot_rows: int =
     return cleaning.clean(described, s.result_ddl(cfg.descriptors))
 
 
-def full_table(pairs: Staged, tables: Tables, cfg: PairConfig, hot_rows: int = HOT_ROWS) -> DataFrame:
+def full_table(
+    pairs: Staged, tables: Tables, cfg: PairConfig, hot_rows: int = HOT_ROWS, profile: DataFrame | None = None
+) -> DataFrame:
     """The staged pairs with all columns and the subset flags, cleaned.
 
     Flags and target columns depend on target and mutation, so one lookup brings both. It comes before
@@ -142,7 +147,7 @@ def full_table(pairs: Staged, tables: Tables, cfg: PairConfig, hot_rows: int = H
     lookup = groups.join(target_profile(tables), s.TID, "left").drop(s.TID, "n_rows")
     located = spread_join(pairs.frame, lookup, subsets.GROUP, [s.PARENT], hot)
     flagged = subsets.apply_scope(located, cfg)
-    described = add_compounds(flagged, pairs.hot(s.PARENT, hot_rows), tables, cfg)
+    described = add_compounds(flagged, pairs.hot(s.PARENT, hot_rows), tables, cfg, profile)
     return cleaning.clean(described, s.full_ddl(cfg.min_pairs_bf, cfg.min_pairs_b, cfg.descriptors))
 
 
@@ -177,12 +182,17 @@ def step_sizes(tables: Tables, cfg: PairConfig, measured_only: bool, pairs: Stag
 
 
 def quality_summary(
-    described: Staged, pairs: Staged, final: DataFrame, tables: Tables, cfg: PairConfig
+    described: Staged,
+    pairs: Staged,
+    final: DataFrame,
+    tables: Tables,
+    cfg: PairConfig,
+    profile: DataFrame | None = None,
 ) -> DataFrame:
     """Violations of all invariants: on the described pairs (which may hold mixtures), and on the final
     table made of ``pairs``."""
     hot_compounds = described.hot(s.PARENT)
-    before = describe_compounds(described, tables, cfg, counts=True)
+    before = describe_compounds(described, tables, cfg, counts=True, profile=profile)
     null_flags, property_checks = quality.property_checks(compounds.compound_props(tables))
     labelled = compounds.atc_labels(tables).select(s.PARENT, F.lit(True).alias("_has_atc"))
     for lookup in (null_flags, labelled):

@@ -155,8 +155,9 @@ def step_sizes(measured_only: bool) -> Query:
 def dq_summary(tables: Tables) -> DataFrame:
     related = stage(pair_table.related_pairs(tables, DESCRIBED), "related")
     pairs = pair_table.single_structure_pairs(related, tables)
-    final = stage(pair_table.full_table(pairs, tables, DESCRIBED), "full").frame
-    return pair_table.quality_summary(related, pairs, final, tables, DESCRIBED)
+    profile = stage(compounds.compound_profile(tables, DESCRIBED), "profile").frame
+    final = stage(pair_table.full_table(pairs, tables, DESCRIBED, profile=profile), "full").frame
+    return pair_table.quality_summary(related, pairs, final, tables, DESCRIBED, profile)
 
 
 def csv_roundtrip(tables: Tables) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pairloom.config import PairConfig
 from pairloom.operators import compounds, measurements, stats, subsets
-from pairloom.plans import pair_table
+from pairloom.plans import pair_table, queries
 from pairloom.plans.queries import CONFIG
 from pairloom.sources import read_tables
 from pairloom.sources.fixture_views import fixture_tables
@@ -57,6 +57,13 @@ def test_assays_are_made_once(universe):
     assert len(lines(universe, "FileScan", "lineitem.parquet")) == 1
 
 
+def test_profile_of_the_summary_is_made_once(tables, monkeypatch):
+    made, profile = [], compounds.compound_profile
+    monkeypatch.setattr(compounds, "compound_profile", lambda *a: made.append(a) or profile(*a))
+    assert queries.dq_summary(tables).columns == ["check", "violations"]
+    assert len(made) == 1
+
+
 def test_records_meet_their_documents_in_one_shuffle(tables):
     first = compounds.first_publication(tables, CONFIG)
     assert len(lines(first, "Exchange hashpartitioning", "8)")) == len(lines(first, "Exchange ")) == 5
