@@ -163,7 +163,7 @@ def dq_summary(tables: Tables) -> DataFrame:
 def csv_roundtrip(tables: Tables) -> DataFrame:
     full = pair_table.full_table(pair_table.core(tables, CONFIG), tables, CONFIG)
     path = f"{shared_folder(full.sparkSession)}/roundtrip-{uuid.uuid4().hex}"
-    return write_verified(stage(full, "full").frame, path)
+    return write_verified(full, path)
 
 
 def ordered_positions(tables: Tables) -> DataFrame:

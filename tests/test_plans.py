@@ -64,6 +64,12 @@ def test_profile_of_the_summary_is_made_once(tables, monkeypatch):
     assert len(made) == 1
 
 
+def test_table_is_written_as_text_without_a_copy(tables, monkeypatch):
+    names, stage = [], queries.stage
+    monkeypatch.setattr(queries, "stage", lambda df, name: names.append(name) or stage(df, name))
+    assert queries.csv_roundtrip(tables).count() > 0 and "full" not in names
+
+
 def test_records_meet_their_documents_in_one_shuffle(tables):
     first = compounds.first_publication(tables, CONFIG)
     assert len(lines(first, "Exchange hashpartitioning", "8)")) == len(lines(first, "Exchange ")) == 5
