@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from pairloom.llm.shared import written
 from pairloom.llm.tokens import ID, words
-from pairloom.llm.words import chunks, mixed
+from pairloom.llm.words import grouped, mixed
 
 SEQUENCE = 4096
 END_ID = 2
@@ -29,6 +29,7 @@ CELL_BITS = 8
 BUCKETS = 4096
 SEED = 20
 ROWS_OUT = 20_000
+GROUP_BYTES = 1 << 22  # of text, whose distinct units are looked up together
 RANGE_IDS = 1 << 24  # in the part of the curve that a task packs
 
 PIECE_DDL = (
@@ -48,10 +49,10 @@ def tokenized(docs: DataFrame, tokenizer: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = words(tokenizer)
-        pull = projection(len(known.ends_unit))
-        kind = narrow(len(known.ends_unit))
+        pull = projection(known.n_ids)
+        kind = narrow(known.n_ids)
         last = np.array([END_ID], dtype=ID).tobytes()
-        for batch in chunks(batches):
+        for batch in grouped(batches, GROUP_BYTES):
             found = known.ids([t or "" for t in batch.column("text").to_pylist()])
             sizes = np.array([len(x) // ID.itemsize + 1 for x in found])
             ids = np.frombuffer(last.join([*found, b""]), dtype=ID)
@@ -168,7 +169,7 @@ def packed(docs: DataFrame, tokenizer: str) -> DataFrame:
     dealt = placed.select(*order, "ids").repartitionByRange(1 + n_ids // RANGE_IDS, *order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = narrow(len(words(tokenizer).ends_unit))
+        kind = narrow(words(tokenizer).n_ids)
         first = TaskContext.get().partitionId() << 40
         documents = (
             row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "ids", "curve")))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import zlib
 
 import duckdb
@@ -17,7 +18,7 @@ from conftest import ODD, ordered
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from pairloom.llm import fingerprints, language, packing, quality, secrets, tokens
+from pairloom.llm import fingerprints, language, packing, quality, secrets, tokens, words
 from pairloom.llm.shared import documents
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -98,6 +99,39 @@ def test_word_by_word_ids_equal_the_tokenizer():
         assert np.frombuffer(known.ids([text])[0], tokens.ID).tolist() == want, text
 
 
+def test_units_are_those_of_the_rule_and_encoded_once():
+    rule = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-zß-öø-ÿ0-9]+")
+    rng = random.Random(4)
+    texts = ["", "'", "'s", "x'", "re", "don't", "''s", "'s's 'sad they'r", "e", "l'l 'll12", "é'ré\t'ved", " \n", "'"]
+    texts += ["".join(rng.choice("''abdelmrstvéß 1.\n") for _ in range(rng.randint(0, 40))) for _ in range(500)]
+    found, last = tokens.units(texts)
+    cuts = [0, *last.tolist()]
+    assert [found[a:b].to_pylist() for a, b in zip(cuts, cuts[1:])] == [rule.findall(t) for t in texts]
+    known, encoded = tokens.Words(TOKENIZER), []
+    encode = known._encode_units
+    known._encode_units = lambda new: encoded.extend(new) or encode(new)
+    known.ids(texts), known.ids(texts[::-1])
+    assert sorted(encoded) == sorted(set(found.to_pylist()))
+
+
+def test_forgotten_units_have_the_same_ids(monkeypatch):
+    monkeypatch.setattr(tokens, "KNOWN", 20)
+    few = tokens.Words(TOKENIZER)
+    parts = [[" ".join(f"the{chr(97 + i)}w{'xyz'[j % 3] * j}" for j in range(30))] for i in [*range(8), 0, 3]]
+    for part in parts:
+        want = [few.tokenizer.encode(t, add_special_tokens=False).ids for t in part]
+        assert [np.frombuffer(x, tokens.ID).tolist() for x in few.ids(part)] == want
+    assert len(few.units.units) < 100 < sum(len(set(t.split())) for p in parts[:8] for t in p)
+
+
+def test_short_texts_are_grouped_and_long_ones_cut():
+    texts = [None, "a" * 5, "", "b" * 4, "é" * 30, "c", *["dd"] * 9]
+    batches = [pa.record_batch({"text": pa.array(texts[i : i + 2], pa.string())}) for i in range(0, len(texts), 2)]
+    groups = [b.column("text").to_pylist() for b in words.grouped(iter(batches), 10)]
+    assert [t for g in groups for t in g] == texts
+    assert max(sum(len((t or "").encode()) for t in g) for g in groups) <= 64 and len(groups) < len(batches)
+
+
 def test_hilbert_curve_visits_each_cell_by_single_steps():
     for dimensions, bits in ((2, 4), (3, 3), (4, 2)):
         cells = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dimensions, indexing="ij"), -1).reshape(-1, dimensions)
