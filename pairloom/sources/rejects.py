@@ -9,10 +9,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    ByteType,
+    DataType,
     DoubleType,
     FloatType,
+    IntegerType,
     IntegralType,
+    LongType,
     NumericType,
+    ShortType,
     StringType,
     StructField,
     StructType,
@@ -36,26 +41,62 @@ class Dealt:
     rejected: DataFrame
 
 
-def fitted(field: StructField, own: StructField) -> tuple[Column, Column]:
-    """The value as the declared type, or NULL, and the reason why a value is lost, or NULL.
+#: Texts that a cast to a floating number may take (fixed by Java's numbers and their special names). A cast that fails
+#: costs an exception with its message, so texts that cannot be numbers are told apart before.
+FLOATING = r"^[\x00-\x20\d+\-.a-fA-FxXpPnNiItTyY]+$"
+#: Texts that a cast to BIGINT takes, and some beyond its range.
+WHOLE = r"^[\x00-\x20\x7f]*[+-]?0*\d{1,19}[\x00-\x20\x7f]*$"
 
-    Text and numbers become whole numbers if they are whole, as 7.0 is.
+
+def floating(value: Column, own: DataType, kind: DataType) -> Column:
+    return F.when(value.rlike(FLOATING), value.try_cast(kind)) if isinstance(own, StringType) else value.try_cast(kind)
+
+
+def exactly(value: Column, own: DataType, kind: IntegralType) -> Column:
+    """The whole number that ``value`` is without a way over floating numbers, or NULL."""
+    if isinstance(own, (DoubleType, FloatType)):
+        return F.lit(None).cast(kind)
+    if not isinstance(own, StringType):
+        return value.try_cast(kind)
+    return F.when(value.rlike(WHOLE), value.try_cast("bigint"))
+
+
+def in_range(number: Column, kind: IntegralType) -> Column:
+    bits = {ByteType: 7, ShortType: 15, IntegerType: 31, LongType: 63}[type(kind)]
+    # as a floating number, the largest BIGINT is 2 ** 63, which is none
+    return (number >= -(2**bits)) & ((number < 2.0**63) if bits == 63 else (number <= 2**bits - 1))
+
+
+def fitted(df: DataFrame, fields: list[StructField]) -> DataFrame:
+    """``df`` with, for field ``i``, the value as the declared type in ``_typed{i}``, or NULL, and the reason why a value is
+    lost in ``_reason{i}``, or NULL.
+
+    Text and numbers become whole numbers if they are whole, as 7.0 is. Each step is a projection of its own, so that
+    what several columns refer to is computed once.
     """
-    value, kind = F.col(f"`{own.name}`"), field.dataType
-    if kind == own.dataType or isinstance(kind, StringType):
-        return value.cast(kind), F.lit(None).cast("string")
-    if isinstance(kind, IntegralType):
-        number = value.try_cast("double")
-        whole = number % 1 == 0
-        held = (number >= -(2.0**63)) & (number < 2.0**63)  # a cast would take 2 ** 63 for the largest number
-        exact = value.try_cast(kind) if not isinstance(own.dataType, (DoubleType, FloatType)) else F.lit(None).cast(kind)
-        typed = F.coalesce(exact, F.when(whole & held, number.try_cast(kind)))
-        reason = F.when(number.isNull(), NO_NUMBER).when(whole | (F.abs(number) == float("inf")), OUT_OF_RANGE).otherwise(NOT_WHOLE)
-    elif isinstance(kind, NumericType):
-        typed, reason = value.try_cast(kind), F.lit(NO_NUMBER)
-    else:
-        typed, reason = value.try_cast(kind), F.lit(f"no {kind.simpleString()}")
-    return typed, F.when(value.isNotNull() & typed.isNull(), reason)
+    steps: list[dict[str, Column]] = [{}, {}, {}, {}, {}]
+    for i, field in enumerate(fields):
+        value, own, kind = F.col(f"`{field.name}`"), df.schema[field.name].dataType, field.dataType
+        exact, held, number, fits = (F.col(f"_{step}{i}") for step in ("exact", "held", "number", "typed"))
+        if kind == own or isinstance(kind, StringType):
+            typed, reason = value.cast(kind), F.lit(None).cast("string")
+        elif isinstance(kind, IntegralType):
+            steps[0][f"_exact{i}"] = exactly(value, own, kind)
+            in_kind = exact.isNotNull() if isinstance(kind, LongType) else in_range(exact, kind)
+            steps[1][f"_held{i}"] = F.when(in_kind, exact.try_cast(kind))
+            steps[2][f"_number{i}"] = F.when(held.isNull(), floating(value, own, DoubleType()))
+            whole = number % 1 == 0
+            typed = F.coalesce(held, F.when(whole & in_range(number, kind), number.try_cast(kind)))
+            lost = F.when(whole | (F.abs(number) == float("inf")), OUT_OF_RANGE).otherwise(NOT_WHOLE)
+            reason = F.when(number.isNull(), NO_NUMBER).otherwise(lost)
+        elif isinstance(kind, NumericType):
+            typed = floating(value, own, kind) if isinstance(kind, (DoubleType, FloatType)) else value.try_cast(kind)
+            reason = F.lit(NO_NUMBER)
+        else:
+            typed, reason = value.try_cast(kind), F.lit(f"no {kind.simpleString()}")
+        steps[3][f"_typed{i}"] = typed
+        steps[4][f"_reason{i}"] = F.when(value.isNotNull() & fits.isNull(), reason)
+    return reduce(DataFrame.withColumns, filter(None, steps), df)
 
 
 def deal(df: DataFrame, ddl: str, table: str) -> Dealt:
@@ -69,16 +110,20 @@ def deal(df: DataFrame, ddl: str, table: str) -> Dealt:
     if missing:
         raise ValueError(f"table {table} lacks the columns {missing}")
     corrupt = F.col(CORRUPT) if CORRUPT in df.columns else F.lit(None).cast("string")
+    names = wanted.names
+    reasons = [F.col(f"_reason{i}") for i in range(len(names))]
     row = F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns if c != CORRUPT)))
-    parts = {f.name: fitted(f, df.schema[f.name]) for f in wanted.fields}
+    at_fault = reduce(Column.__or__, (r.isNotNull() for r in reasons), corrupt.isNotNull())
+    judged = fitted(df, wanted.fields).withColumn("_row", F.when(at_fault, row))
     fault = lambda column, reason, value: F.struct(
-        F.lit(table).alias("table"), column.alias("column"), reason.alias("reason"), value.alias("value"), row.alias("row")
+        F.lit(table).alias("table"), column.alias("column"), reason.alias("reason"), value.alias("value"), F.col("_row").alias("row")
     )
-    each = [F.when(reason.isNotNull(), fault(F.lit(c), reason, F.col(f"`{c}`").cast("string"))) for c, (_, reason) in parts.items()]
-    none = F.lit(None).cast("string")
-    malformed = F.array(fault(none, F.lit(MALFORMED), corrupt))
-    faults = F.when(corrupt.isNotNull(), malformed).otherwise(F.filter(F.array(*each), lambda x: x.isNotNull()))
-    staged = stage(df.select(*(typed.alias(c) for c, (typed, _) in parts.items()), faults.alias("_faults")), f"dealt-{table}").frame
+    each = [F.when(r.isNotNull(), fault(F.lit(c), r, F.col(f"`{c}`").cast("string"))) for c, r in zip(names, reasons)]
+    malformed = F.array(fault(F.lit(None).cast("string"), F.lit(MALFORMED), corrupt))
+    found = F.filter(F.array(*each), lambda x: x.isNotNull())
+    faults = F.when(corrupt.isNotNull(), malformed).when(F.col("_row").isNotNull(), found).otherwise(F.array())
+    typed = [F.col(f"_typed{i}").alias(c) for i, c in enumerate(names)]
+    staged = stage(judged.select(*typed, faults.alias("_faults")), f"dealt-{table}").frame
     accepted = staged.filter(F.size("_faults") == 0).select(*(F.col(f"`{c}`") for c in wanted.names))
     rejected = staged.filter(F.size("_faults") > 0).select(F.explode("_faults").alias("f")).select("f.*")
     return Dealt(accepted, rejected)

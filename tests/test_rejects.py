@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 import math
 import os
+import re
+from collections import Counter
 
 import pytest
 from hand_tables import compounds, curated, hand_tables, measurements, targets
@@ -12,6 +14,7 @@ from hand_tables import compounds, curated, hand_tables, measurements, targets
 from pairloom.config import OutputConfig, PairConfig
 from pairloom.plans.publish import publish, read_release, release_name
 from pairloom.schema import INPUT_DDL
+from pairloom.sinks.staging import stage
 from pairloom.sources import read_tables_dealt, rejects
 
 DDL = "id BIGINT, small INT, number DOUBLE, flag BOOLEAN, day DATE, name STRING"
@@ -51,6 +54,47 @@ def test_numbers(spark):
     assert [(c, r) for c, r, _ in rejected] == sorted([("id", "not whole"), ("id", "not whole"), ("id", "out of range"), ("id", "out of range"), ("small", "out of range")], key=str)
 
 
+ODD = [
+    "", " ", "5", " 5 ", "\t-5\n", "+5", "\x7f5\x7f", "\x005", "--5", "+", "5-", "007", "0" * 30 + "7", "7.0", "7.", ".5", "-.0", "1e3", "1E+2", "1e",
+    "5d", "5F", "0x1p3", "0xAP0", "NaN", "nan", " NAN ", "inf", "+Inf", "-infinity", "INFINITY", "infinit", "fat", "12 kg", "1,5", "unknown", "n/a",
+    "\u0665", "\u20285", "5\u2028", "5\u00a0", "2147483647", "2147483648", "-2147483648", "-2147483649", "99999999999", "9223372036854775807",
+    "-9223372036854775808", "9223372036854775808", "-9223372036854775809", "9999999999999999999", "1" * 25, "9007199254740993", "9007199254740993.0",
+    "32768", "-32768", "128", "1e400", "4.9e-400", "1e38", "1e39",
+]
+
+
+@pytest.mark.parametrize("kind", ["BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT"])
+def test_odd_texts_are_read_as_by_casts(spark, kind):
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(ODD)], "n INT, id STRING")
+    out = rejects.deal(rows, f"n INT, id {kind}", "t")
+    cast = f"try_cast(id AS {kind})"
+    if kind not in ("DOUBLE", "FLOAT"):
+        number = "try_cast(id AS DOUBLE)"
+        cast = f"coalesce({cast}, CASE WHEN {number} % 1 = 0 AND {number} >= -9223372036854775808D AND {number} < 9223372036854775808D THEN try_cast({number} AS {kind}) END)"
+    want = {r.n: str(r.x) for r in rows.selectExpr("n", f"{cast} AS x").collect() if r.x is not None}
+    assert {r.n: str(r.id) for r in out.accepted.collect()} == want
+    lost = {r.value: r.reason for r in out.rejected.collect()}
+    assert lost.keys() == {t for i, t in enumerate(ODD) if i not in want}
+    if kind == "INT":
+        assert (lost["99999999999"], lost["1e39"], lost["inf"], lost[".5"], lost["nan"], lost["fat"], lost["12 kg"]) == (
+            "out of range", "out of range", "out of range", "not whole", "not whole", "no number", "no number",
+        )
+
+
+def test_a_value_is_cast_once(spark, monkeypatch):
+    plans = []
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return stage(df, name)
+
+    monkeypatch.setattr(rejects, "stage", seen)
+    dealt(spark, [("1", "7.0", "1e3", "true", "2024-02-29", ""), ("x",) * 6])
+    casts = Counter(re.findall(r"cast\((\w+)#\d+ as (\w+)\)", plans[0]))
+    assert casts["small", "double"] == casts["small", "bigint"] == casts["id", "double"] == casts["number", "double"] == 1
+    assert max(casts.values()) == 1
+
+
 def test_no_rows_and_missing_columns(spark):
     accepted, rejected, out = dealt(spark, [])
     assert accepted == rejected == [] and rejects.reject_counts(out.rejected).count() == 0
