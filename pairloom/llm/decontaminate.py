@@ -18,6 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.llm.shared import dropped, written
 from pairloom.llm.words import WORD_BASES, Runs, Words, chunks, utf8, word_hashes
 
 PASSAGE = 24
@@ -197,10 +198,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no passage of ``benchmark``, all columns unchanged; matching as above. Each row
-    is judged where it is read, so nothing is shuffled."""
-    for passages in _blocks(benchmark):
-        docs = _without(docs, passages)
-    return docs
+    is judged where it is read, so nothing is shuffled. What a pass leaves is written for the next one: a task of all
+    passes would have a Python worker with compiled pieces for each."""
+    blocks = _blocks(benchmark)
+    out, last = _without(docs, next(blocks)), None
+    for passages in blocks:
+        kept = written(out, "decontaminated")
+        if last is not None:
+            dropped(last)
+        out, last = _without(kept, passages), kept
+    return out
 
 
 def _without(docs: DataFrame, passages: list[Passage]) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.shared import written
+from pairloom.llm.shared import dropped, written
 from pairloom.llm.words import chunks, split, utf8, word_hashes
 
 THRESHOLD = 0.3
@@ -184,8 +184,13 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
 
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that the classifier does not reject, all columns unchanged. It learns as ``scored``."""
-    model = trained(described(docs), labels)
+    """The rows of ``docs`` that the classifier does not reject, all columns unchanged. It learns as ``scored``.
+
+    Statistics are written before they are learned from: a task that makes them and sums them has two Python workers,
+    which executors keep for all later stages."""
+    rows = written(described(docs), "statistics")
+    model = trained(rows, labels)
+    dropped(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):

@@ -8,12 +8,14 @@ import numpy as np
 import plain
 import public_tokenizers
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
+from pyspark.sql.readwriter import DataFrameWriter
 from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
 import corpus_pipeline
 from conftest import ODD
-from pairloom.llm import quality, shared
+from pairloom.llm import decontaminate, quality, shared
 from pairloom.llm.shared import documents, written
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -122,6 +124,50 @@ def test_steps_are_deleted_and_results_stay(spark, monkeypatch, tmp_path):
     assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["packing"] and out.count() > 0
 
 
+def python_nodes(plan):
+    """How many nodes of each stage of a physical plan have a Python worker of their own in every task."""
+    counts, path = [0], [(-1, 0)]
+    for line in plan.splitlines():
+        depth = re.search(r"[A-Za-z]", line)
+        if not depth:
+            continue
+        while path[-1][0] >= depth.start():
+            path.pop()
+        stage = path[-1][1]
+        counts[stage] += bool(re.match(r"MapIn|\w*EvalPython|\w*InPandas|\w*InArrow", line[depth.start() :]))
+        if re.match(r"\w*Exchange", line[depth.start() :]):
+            stage = len(counts)
+            counts.append(0)
+        path.append((depth.start(), stage))
+    return counts
+
+
+def test_a_task_has_one_python_worker(spark, kept, monkeypatch):
+    """Executors keep the workers for the stages that follow, each with the tokenizer and other tables of its own."""
+    plans = []
+
+    def noted(owner, name, frame):
+        plain_way = getattr(owner, name)
+
+        def run(self, *args, **kwargs):
+            plans.append(re.sub(r"\*\(\d+\) ", "", frame(self)._jdf.queryExecution().executedPlan().toString()))
+            return plain_way(self, *args, **kwargs)
+
+        monkeypatch.setattr(owner, name, run)
+
+    noted(DataFrame, "collect", lambda df: df)
+    noted(DataFrameWriter, "parquet", lambda writer: writer._df)
+    monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 5)
+    for (name, stage), before in zip(corpus_pipeline.STAGES, kept):
+        plans.clear()
+        done = written(stage(spark, before, SF_DIR), name)
+        found = [n for plan in plans for n in python_nodes(plan)]
+        assert max(found) <= 1, (name, plans)
+        assert max(found) == 1 or name == "secret_scans"
+        if name == "benchmark_decontamination":
+            assert sum(found) > 2 and sorted(texts(done)) == sorted(texts(kept[3]))
+
+
 def test_a_cluster_needs_a_shared_folder(monkeypatch):
     class Conf:
         get = staticmethod(lambda name, default=None: {"spark.sql.warehouse.dir": "/warehouse"}.get(name, default))
