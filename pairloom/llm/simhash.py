@@ -61,6 +61,9 @@ def links(fps: DataFrame) -> DataFrame:
     Each fingerprint is stored under both of its 32-bit halves. Of two halves that differ in one bit, the
     one without the bit reaches the other, so a fingerprint asks for its half and for its half with each
     unset bit set. What the table returns is verified over all 64 bits inside the join, so only links leave it.
+
+    The join is never a broadcast: Spark sizes rows as if ``explode`` made one of each, and would send all questions, 17 of
+    each half on average, through the driver.
     """
     low = F.col("fp").bitwiseAND(F.lit((1 << HALF_BITS) - 1))
     high = F.shiftrightunsigned("fp", HALF_BITS)
@@ -72,7 +75,7 @@ def links(fps: DataFrame) -> DataFrame:
               i -> half | shiftleft(1L, i)))"""
     )
     asked = stored.select(F.col("fp").alias("a"), "side", F.col("half").alias("own"), F.explode(ball).alias("half"))
-    found = stored.withColumnRenamed("fp", "b").join(asked, ["side", "half"])
+    found = stored.withColumnRenamed("fp", "b").hint("merge").join(asked.hint("merge"), ["side", "half"])
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_DISTANCE
     once = (F.col("own") != F.col("half")) | (F.col("a") < F.col("b"))
     return found.filter(near & once).select("a", "b")

@@ -151,6 +151,16 @@ def test_links_at_the_bound(spark):
     assert got == want
 
 
+def test_exploded_halves_are_never_broadcast(spark, tmp_path):
+    """Spark sizes them as if each row stayed one row, so it would send them however many they are."""
+    spark.range(1, 2_000).selectExpr("id AS fp").write.parquet(f"{tmp_path}/fps")
+    found = simhash.links(spark.read.parquet(f"{tmp_path}/fps"))
+    pairs = {frozenset(r) for r in found.collect()}
+    assert len(pairs) == sum((a ^ b).bit_count() <= 3 for a in range(1, 2_000) for b in range(1, a))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_one_of_each_group_stays(frame):
     rows = [(5, "one two three four"), (4, "ONE two three four"), (4, "ONE two three four"), (9, "something else entirely"),
             (None, "one two three four"), (None, "only without id"), (7, None), (8, "")]
