@@ -9,6 +9,7 @@ from pairloom import schema as s
 from pairloom.config import PairConfig
 from pairloom.functions.numeric import efficiency_metrics
 from pairloom.functions.text import joined_labels
+from pairloom.operators.joins import shuffled
 from pairloom.operators.measurements import LITERATURE_SOURCE, compound_attributes
 from pairloom.sources import Tables
 
@@ -27,12 +28,12 @@ def first_publication(tables: Tables, cfg: PairConfig) -> DataFrame:
         docs = docs.filter(F.col("src_id") == LITERATURE_SOURCE)
     per_form = (
         tables["compound_records"]
-        .join(docs.select("doc_id", "year"), "doc_id")
+        .join(shuffled(docs.select("doc_id", "year")), "doc_id")
         .groupBy("molregno")
         .agg(F.min("year").alias("year"))
     )
     return (
-        per_form.join(tables["molecule_hierarchy"], "molregno")
+        per_form.join(shuffled(tables["molecule_hierarchy"]), "molregno")
         .groupBy(s.PARENT)
         .agg(F.min("year").alias("first_publication_cpd"))
     )
@@ -46,8 +47,8 @@ def compound_props(tables: Tables) -> DataFrame:
     parents = tables["molecule_hierarchy"].select(F.col(s.PARENT).alias("molregno"))
     return (
         tables["compound_properties"]
-        .join(parents, "molregno", "left_semi")
-        .join(tables["compound_structures"], "molregno")
+        .join(shuffled(parents), "molregno", "left_semi")
+        .join(shuffled(tables["compound_structures"]), "molregno")
         .withColumnRenamed("molregno", s.PARENT)
     )
 
@@ -59,7 +60,7 @@ def atc_labels(tables: Tables) -> DataFrame:
     return (
         tables["molecule_atc_classification"]
         .join(levels, "level5")
-        .join(tables["molecule_hierarchy"], "molregno")
+        .join(shuffled(tables["molecule_hierarchy"]), "molregno")
         .groupBy(s.PARENT)
         .agg(joined_labels(F.collect_set("label"), ATC_SEPARATOR).alias("atc_level1"))
     )
@@ -69,9 +70,9 @@ def compound_profile(tables: Tables, cfg: PairConfig) -> DataFrame:
     """One row per compound with every compound-side column; all joins share the shuffle on the parent."""
     return (
         compound_attributes(tables)
-        .join(first_publication(tables, cfg), s.PARENT, "left")
-        .join(compound_props(tables), s.PARENT, "left")
-        .join(atc_labels(tables), s.PARENT, "left")
+        .join(shuffled(first_publication(tables, cfg)), s.PARENT, "left")
+        .join(shuffled(compound_props(tables)), s.PARENT, "left")
+        .join(shuffled(atc_labels(tables)), s.PARENT, "left")
     )
 
 

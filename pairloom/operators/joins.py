@@ -14,6 +14,15 @@ NULL_SLOTS = 1 << 16  # rows without a key meet no lookup row, so they may go an
 SLOTS = "_slots"
 
 
+def shuffled(lookup: DataFrame) -> DataFrame:
+    """``lookup`` for a join that is never a broadcast, as it grows with the data.
+
+    Spark would decide by the compressed bytes of files, scaled to the columns that are read, and passes over what an
+    explode adds: it sends tables of many times its threshold through the driver, several at a time.
+    """
+    return lookup.hint("merge")
+
+
 def slots(rows: Column, hot_rows: int = HOT_ROWS) -> Column:
     """Tasks over which the rows of a hot key are dealt: as many as keep each at ``hot_rows``."""
     return F.ceil(rows / hot_rows).cast("int")
@@ -39,7 +48,7 @@ def spread_join(
     salted = df.join(marked, key, "left").withColumn("_salt", F.pmod(F.xxhash64(*spread_by), many).cast("int"))
     numbers = F.sequence(F.lit(0), F.coalesce(SLOTS, F.lit(1)) - 1)
     repeated = lookup.join(marked, key, "left").withColumn("_salt", F.explode(numbers))
-    return salted.drop(SLOTS).join(repeated.drop(SLOTS), [key, "_salt"], how).drop("_salt")
+    return salted.drop(SLOTS).join(shuffled(repeated.drop(SLOTS)), [key, "_salt"], how).drop("_salt")
 
 
 def sparse_lookup(df: DataFrame, lookup: DataFrame, key: str, spread_by: str) -> DataFrame:
@@ -48,7 +57,7 @@ def sparse_lookup(df: DataFrame, lookup: DataFrame, key: str, spread_by: str) ->
     The second condition repeats the first one, but hashes rows without a key by ``spread_by``, so
     they do not meet in one task.
     """
-    left, right = df.alias("l"), lookup.alias("r")
+    left, right = df.alias("l"), shuffled(lookup).alias("r")
     matches = (F.col(f"l.{key}") == F.col(f"r.{key}")) & (
         F.coalesce(F.col(f"l.{key}"), F.col(f"l.{spread_by}")) == F.col(f"r.{key}")
     )

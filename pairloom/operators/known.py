@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pairloom import schema as s
 from pairloom.functions.text import pair_keys
+from pairloom.operators.joins import shuffled
 from pairloom.operators.measurements import CARRIED, PHASE, THERAPEUTIC, describe_pairs, pair_aggregates, parent_map
 from pairloom.sources import Tables
 
@@ -29,7 +30,7 @@ KEEP_BINDING = "keep_for_binding"
 def known_pairs(tables: Tables) -> DataFrame:
     """Distinct curated pairs of parent compound and target that matter for the disease."""
     curated = tables["drug_mechanism"].filter((F.col("disease_efficacy") == 1) & F.col(s.TID).isNotNull())
-    return curated.join(parent_map(tables), "molregno").select(*s.PAIR, PHASE).distinct()
+    return curated.join(shuffled(parent_map(tables)), "molregno").select(*s.PAIR, PHASE).distinct()
 
 
 def target_mappings(tables: Tables) -> DataFrame:
@@ -48,7 +49,10 @@ def target_mappings(tables: Tables) -> DataFrame:
     )
     related = tables["target_relations"].filter(relation.isin(SUPERSET, EQUIVALENT))
     return (
-        related.join(side(1, s.TID), s.TID).join(side(2, "related_tid"), "related_tid").filter(carries_over).distinct()
+        related.join(shuffled(side(1, s.TID)), s.TID)
+        .join(shuffled(side(2, "related_tid")), "related_tid")
+        .filter(carries_over)
+        .distinct()
     )
 
 
@@ -56,7 +60,7 @@ def expand_pairs(pairs: DataFrame, mappings: DataFrame) -> DataFrame:
     """The pairs and those of directly related targets (one hop); one pass and one distinct."""
     hops = mappings.select(s.TID, "related_tid").distinct()
     reached = F.array_compact(F.array(F.col(s.TID), F.col("related_tid")))
-    return pairs.join(hops, s.TID, "left").withColumn(s.TID, F.explode(reached)).drop("related_tid").distinct()
+    return pairs.join(shuffled(hops), s.TID, "left").withColumn(s.TID, F.explode(reached)).drop("related_tid").distinct()
 
 
 def targets_of(pairs: DataFrame) -> DataFrame:
@@ -72,7 +76,7 @@ def mechanism_pairs(expanded: DataFrame, tables: Tables) -> DataFrame:
 def missing_known_pairs(expanded: DataFrame, measured: DataFrame) -> DataFrame:
     """Curated pairs that have no measured row without a mutation."""
     unmutated = measured.filter(F.col(s.MUTATION).isNull()).select(*s.PAIR)
-    return expanded.select(*s.PAIR).join(unmutated, s.PAIR, "left_anti")
+    return expanded.select(*s.PAIR).join(shuffled(unmutated), s.PAIR, "left_anti")
 
 
 def pair_universe(cells: DataFrame, expanded: DataFrame, hot_values: int | None = None) -> DataFrame:

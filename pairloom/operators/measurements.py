@@ -9,7 +9,7 @@ from pairloom import schema as s
 from pairloom.config import PairConfig
 from pairloom.functions.numeric import ratio
 from pairloom.functions.text import none_if, pair_keys
-from pairloom.operators.joins import hot_keys, sparse_lookup, spread_join
+from pairloom.operators.joins import hot_keys, shuffled, sparse_lookup, spread_join
 from pairloom.operators.selection import middle_values
 from pairloom.sinks.staging import stage
 from pairloom.sources import Tables
@@ -34,7 +34,7 @@ def parent_map(tables: Tables, compounds: DataFrame | None = None) -> DataFrame:
     """
     parents = tables["molecule_dictionary"].select(F.col("molregno").alias(s.PARENT), PHASE)
     if compounds is not None:
-        parents = parents.join(compounds, s.PARENT, "left_semi")
+        parents = parents.join(shuffled(compounds), s.PARENT, "left_semi")
     hierarchy = tables["molecule_hierarchy"]
     forms = spread_join(hierarchy, parents, s.PARENT, ["molregno"], hot_keys(hierarchy, s.PARENT), "inner")
     return forms.select("molregno", s.PARENT, PHASE)
@@ -58,10 +58,10 @@ def assay_targets(
     if known_targets is None:
         targets = targets.withColumn(THERAPEUTIC, F.lit(None).cast("boolean"))
     elif only_known:
-        targets = targets.join(known_targets, s.TID, "left_semi").withColumn(THERAPEUTIC, F.lit(True))
+        targets = targets.join(shuffled(known_targets), s.TID, "left_semi").withColumn(THERAPEUTIC, F.lit(True))
     else:
         known = known_targets.select(s.TID, F.lit(True).alias(THERAPEUTIC))
-        targets = targets.join(known, s.TID, "left").withColumn(THERAPEUTIC, F.coalesce(THERAPEUTIC, F.lit(False)))
+        targets = targets.join(shuffled(known), s.TID, "left").withColumn(THERAPEUTIC, F.coalesce(THERAPEUTIC, F.lit(False)))
 
     def used(assays: DataFrame) -> DataFrame:
         return assays.filter(F.col("assay_type").isin(*assay_types)) if assay_types else assays
@@ -85,14 +85,14 @@ def measurement_rows(
         .filter(F.col("data_validity_comment").isNull())
         .select("molregno", "assay_id", "doc_id", s.VALUE)
     )
-    years, located = tables["docs"], valid.join(assays, "assay_id")
+    years, located = tables["docs"], valid.join(shuffled(assays), "assay_id")
     if cfg.literature_only:
         years = years.filter(F.col("src_id") == LITERATURE_SOURCE)
-        dated = located.join(years.select("doc_id", "year"), "doc_id")
+        dated = located.join(shuffled(years.select("doc_id", "year")), "doc_id")
     else:
         dated = sparse_lookup(located, years.select("doc_id", "year"), "doc_id", "molregno")
     return (
-        dated.join(parent_map(tables, compounds), "molregno")
+        dated.join(shuffled(parent_map(tables, compounds)), "molregno")
         .select(*s.PAIR_MUTATION, "assay_type", s.VALUE, "year", *CARRIED)
     )
 
@@ -193,8 +193,8 @@ def describe_rows(rows: DataFrame, tables: Tables) -> DataFrame:
     """Measurement rows with compound and target columns and the text keys."""
     return (
         rows.drop(*CARRIED)
-        .join(compound_attributes(tables), s.PARENT)
-        .join(target_attributes(tables, fix_organism=False), s.TID)
+        .join(shuffled(compound_attributes(tables)), s.PARENT)
+        .join(shuffled(target_attributes(tables, fix_organism=False)), s.TID)
         .withColumns(pair_keys())
     )
 
@@ -204,7 +204,7 @@ def describe_pairs(pairs: DataFrame, tables: Tables, how: str = "left") -> DataF
     carried = [c for c in CARRIED if c in pairs.columns]
     return (
         pairs.drop(*carried)
-        .join(compound_attributes(tables), s.PARENT, how)
-        .join(target_attributes(tables), s.TID, how)
+        .join(shuffled(compound_attributes(tables)), s.PARENT, how)
+        .join(shuffled(target_attributes(tables)), s.TID, how)
         .withColumns(pair_keys())
     )

@@ -12,6 +12,7 @@ from pyspark.sql.types import StringType, StructType
 from pairloom import schema as s
 from pairloom.config import PairConfig
 from pairloom.operators.interaction import is_drug, is_known
+from pairloom.operators.joins import shuffled
 from pairloom.operators.known import IN_KNOWN_MUTATION, KEEP_BINDING
 from pairloom.operators.subsets import GROUP, in_scope
 
@@ -173,7 +174,9 @@ def parent_consistency(dataset_compounds: DataFrame, hierarchy: DataFrame, struc
         .agg(F.count(F.lit(1)).alias("_n"), F.min(s.SMILES).alias("_known"))
     )
     joined = (
-        mixtures.join(parents, s.PARENT, "left").join(moved, s.PARENT, "left").join(known, s.PARENT, "left")
+        mixtures.join(shuffled(parents), s.PARENT, "left")
+        .join(shuffled(moved), s.PARENT, "left")
+        .join(shuffled(known), s.PARENT, "left")
     )
     checks = {
         "mixture": F.lit(True),

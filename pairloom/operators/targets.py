@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pairloom import schema as s
 from pairloom.functions.text import joined_labels
+from pairloom.operators.joins import shuffled
 from pairloom.sinks.staging import stage
 from pairloom.sources import Tables
 
@@ -30,7 +31,7 @@ def class_hierarchy(tables: Tables) -> DataFrame:
             F.col("protein_class_id").alias("up"), F.col("up").alias("_up"), F.col("path").alias("_path")
         )
         done = paths.frame.filter(F.col("up").isNull())
-        longer = paths.frame.join(above, "up").withColumn("path", F.concat("_path", "path")).withColumn("up", F.col("_up"))
+        longer = paths.frame.join(shuffled(above), "up").withColumn("path", F.concat("_path", "path")).withColumn("up", F.col("_up"))
         paths = stage(done.unionByName(longer.select(*done.columns)), "classes")
         if paths.frame.filter(F.col("up").isNotNull()).isEmpty():
             break
@@ -50,11 +51,11 @@ def target_class_rows(tables: Tables) -> DataFrame:
     """(target, level 1, level 2) over the components of a target; rows may repeat."""
     component_labels = (
         tables["component_class"]
-        .join(tables["component_sequences"], "component_id", "left_semi")
-        .join(class_hierarchy(tables).select("protein_class_id", "l1", "l2"), "protein_class_id")
+        .join(shuffled(tables["component_sequences"]), "component_id", "left_semi")
+        .join(shuffled(class_hierarchy(tables).select("protein_class_id", "l1", "l2")), "protein_class_id")
         .select("component_id", "l1", "l2")
     )
-    return tables["target_components"].join(component_labels, "component_id").select(s.TID, "l1", "l2")
+    return tables["target_components"].join(shuffled(component_labels), "component_id").select(s.TID, "l1", "l2")
 
 
 def target_classes(tables: Tables, targets: DataFrame | None = None) -> DataFrame:
@@ -62,7 +63,7 @@ def target_classes(tables: Tables, targets: DataFrame | None = None) -> DataFram
     is kept only where it is the sole one. Targets without any label are left out."""
     rows = target_class_rows(tables)
     if targets is not None:
-        rows = rows.join(targets, s.TID, "left_semi")
+        rows = rows.join(shuffled(targets), s.TID, "left_semi")
     names = F.col("names_l1")
     level1 = F.when(F.size(names) > 1, F.array_remove(names, UNCLASSIFIED)).otherwise(names)
     return (

@@ -25,7 +25,7 @@ from pairloom.operators import (
     subsets,
     targets,
 )
-from pairloom.operators.joins import HOT_ROWS, hot_keys, spread_join
+from pairloom.operators.joins import HOT_ROWS, hot_keys, shuffled, spread_join
 from pairloom.operators.measurements import PHASE
 from pairloom.sinks.staging import Staged, stage
 from pairloom.sources import Tables
@@ -112,7 +112,7 @@ def core(tables: Tables, cfg: PairConfig) -> Staged:
 
 def target_profile(tables: Tables) -> DataFrame:
     """One row per target with every target-side column."""
-    return measurements.target_attributes(tables).join(targets.target_classes(tables), s.TID, "left")
+    return measurements.target_attributes(tables).join(shuffled(targets.target_classes(tables)), s.TID, "left")
 
 
 def add_compounds(
@@ -144,7 +144,7 @@ def full_table(
     """
     groups = stage(subsets.group_qualification(pairs.frame, cfg, keep=[s.TID]), "groups").frame
     hot = subsets.hot_groups(groups, hot_rows)
-    lookup = groups.join(target_profile(tables), s.TID, "left").drop(s.TID, "n_rows")
+    lookup = groups.join(shuffled(target_profile(tables)), s.TID, "left").drop(s.TID, "n_rows")
     located = spread_join(pairs.frame, lookup, subsets.GROUP, [s.PARENT], hot)
     flagged = subsets.apply_scope(located, cfg)
     described = add_compounds(flagged, pairs.hot(s.PARENT, hot_rows), tables, cfg, profile)

@@ -151,3 +151,27 @@ def test_runtime_filters_reach_the_measurements(spark, tmp_path):
             spark.conf.set(key, value)
     scan = next(line for line in plan if "Filter" in line and "standard_relation" in line)
     assert "might_contain" in scan and "xxhash64(assay_id" in scan and "xxhash64(doc_id" in scan
+
+
+def broadcasts(df) -> list[str]:
+    """The part of the plan below each broadcast."""
+    found, all_lines = [], plan(df)
+    place = lambda line: re.search(r"[A-Za-z*]", line).start()
+    for i, line in enumerate(all_lines):
+        if "BroadcastExchange" in line:
+            below = next((j for j in range(i + 1, len(all_lines)) if place(all_lines[j]) <= place(line)), len(all_lines))
+            found.append("\n".join(all_lines[i:below]))
+    return found
+
+
+@pytest.mark.parametrize("name", ["subset_bf", "subset_bf_n", "subset_b_n_known", "parent_consistency", "pair_universe"])
+def test_lookups_that_grow_are_never_broadcast(spark, tables, name):
+    """By the bytes of their files Spark would broadcast all of them here: only hot keys and lists of fixed length go."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        found = broadcasts(queries.all_queries()[name](spark, "/root/testdata/sf0.001"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", SETTINGS["spark.sql.autoBroadcastJoinThreshold"])
+    assert found
+    for below in found:
+        assert "_slots" in below or "nation.parquet" in below or "p_brand" in below, below
