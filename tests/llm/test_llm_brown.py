@@ -6,6 +6,7 @@ import math
 import random
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import plain
@@ -170,6 +171,61 @@ def test_every_listed_word_is_placed_by_all_its_neighbours(frame, monkeypatch):
     close(brown.scored(frame(rows)).collect(), plain_scores(rows, model_of(frame(rows))))
 
 
+def test_words_that_tasks_do_not_know_are_placed_too(frame, monkeypatch):
+    """Behind the words that every task knows, each other word takes the step, by all its neighbours."""
+    for name, value in (("KNOWN", 15), ("EXCHANGED", 5), ("STEPPED", 7)):
+        monkeypatch.setattr(brown, name, value)
+    rng = random.Random(6)
+    kinds = [[f"{k}{i}" * (1 + i % 3) for i in range(12)] for k in "pqr"]
+    rows = [(i, " ".join([*(rng.choice(kind) for kind in kinds), *(["twice"] * (i % 3)), "x1", "--"])) for i in range(150)]
+    rows += [(300 + i, f"{'é' * 600}{i % 2} twice once{i} {'z' * 2000} {'z' * 2000}") for i in range(9)] + ODD[:5] + [(None, "p0 q0")]
+    model = model_of(frame(rows))
+    assert len(model.known) <= 15
+    train = [tokens_of(t) for d, t in rows if d is not None and not outside(d)]
+    counts = Counter(w for words in train for w in words)
+    clustered = list(model.known)[:5]
+    begin = lambda w: 0 if w is None else 1 + clustered.index(w.encode()) if w.encode() in clustered else 6 + brown.shape_of(w.encode())
+    pairs = Counter(p for words in train for p in zip([None, *words], [*words, None]))
+    bigrams = np.zeros((6 + brown.SHAPES,) * 2)
+    for (a, b), n in pairs.items():
+        bigrams[begin(a), begin(b)] += n
+    own, clusters = brown.exchanged(bigrams, fixed=brown.SHAPES)
+    after, before = ({w: np.zeros(model.n_classes) for w in counts} for _ in range(2))
+    for (a, b), n in pairs.items():
+        if a != b and a is not None:
+            after[a][own[begin(b)]] += n
+        if a != b and b is not None:
+            before[b][own[begin(a)]] += n
+    place = {w: int(own[begin(w)]) for w in counts}
+    for w in counts:
+        if w.encode() not in clustered:
+            place[w] = brown.one_step(clusters, place[w], after[w], before[w], pairs[w, w])
+    assert all(place[w.decode()] == model.class_of[i] for w, i in model.known.items())
+    others = [w for w in counts if w.encode() not in model.known]
+    assert sum(place[w] <= brown.CLASSES for w in others) > 10 and any(pairs[w, w] for w in others)
+    every = {w.encode(): i for i, w in enumerate(place)}
+    whole = SimpleNamespace(known=every, class_of=list(place.values()), n_classes=model.n_classes)
+    close(brown.scored(frame(rows)).collect(), plain_scores(rows, whole))
+
+
+def test_many_steps_are_single_steps(monkeypatch):
+    monkeypatch.setattr(brown, "CLASSES", 6)
+    rng = np.random.default_rng(4)
+    size, words = 1 + 6 + brown.SHAPES, 400
+    own = rng.integers(7, size, words)
+    word = np.repeat(np.arange(words), 4)
+    place = np.concatenate([rng.choice(2 * size + 1, 4, replace=False) for _ in range(words)])
+    n = rng.integers(1, 9, len(word)).astype(float)
+    pairs = rng.integers(30, 300, (size, size)).astype(float)
+    clusters = brown.Clusters(pairs)
+    found = brown.many_steps(clusters, own, word, place, n)
+    for w in range(words):
+        counts = np.zeros(2 * size + 1)
+        counts[place[word == w]] = n[word == w]
+        assert found[w] == brown.one_step(clusters, own[w], counts[:size], counts[size:-1], counts[-1])
+    assert 50 < (found <= 6).sum()
+
+
 def test_nothing_to_learn_from(frame):
     held = [(d, "some words") for d in range(100) if outside(d)] + [(None, "others")]
     found = brown.scored(frame(held)).collect()
